@@ -29,6 +29,7 @@ from linkrank.functions.urls import (
 )
 
 EDGE_KEYS = ["link_type", "src", "dst"]
+CORRUPT = "corrupt"  # link_type under which unreadable input rows are kept
 
 
 def drop_index_rows(pages: DataFrame, url_col: str = "url") -> DataFrame:
@@ -36,9 +37,13 @@ def drop_index_rows(pages: DataFrame, url_col: str = "url") -> DataFrame:
     return pages.filter(F.col(url_col).isNotNull())
 
 
-def _accepted(pages: DataFrame, url_col: str, on_missing_url: str) -> DataFrame:
+def _accepted(
+    pages: DataFrame, url_col: str, on_missing_url: str, corrupt_col: str | None
+) -> DataFrame:
     if on_missing_url == "drop":
-        return drop_index_rows(pages, url_col)
+        if corrupt_col is None:
+            return drop_index_rows(pages, url_col)
+        return pages.filter(F.col(url_col).isNotNull() | F.col(corrupt_col).isNotNull())
     if on_missing_url == "error_url":
         return pages
     raise ValueError("on_missing_url must be 'drop' or 'error_url'")
@@ -56,19 +61,26 @@ def list_raw_links(
 
 
 def _page_links(
-    pages: DataFrame, url: Column, hrefs: Column, link_types: Iterable[str], variant: str
+    pages: DataFrame,
+    url: Column,
+    hrefs: Column,
+    link_types: Iterable[str],
+    variant: str,
+    corrupt_col: str | None,
 ) -> DataFrame:
     link_types = list(link_types)
     check_names(link_types, variant)
-    parent = F.col("parent")
+    parent, corrupt = F.col("parent"), F.col("corrupt")
     decoded = pages.select(
-        clean_parent(url).alias("parent"), F.transform(hrefs, unquote).alias("decoded")
+        clean_parent(url).alias("parent"),
+        F.transform(hrefs, unquote).alias("decoded"),
+        (F.col(corrupt_col) if corrupt_col else F.lit(None).cast("string")).alias("corrupt"),
     )
     children = F.filter(
         F.transform("decoded", lambda href: resolve_child(parent, href)),
         lambda child: child.isNotNull(),
     )
-    cleaned = decoded.select("parent", children.alias("children"))
+    cleaned = decoded.select("parent", children.alias("children"), "corrupt")
     # Hosts are worked out once and serve both type2 and type3.
     hosts = cleaned.select(
         "*",
@@ -90,11 +102,22 @@ def _page_links(
         F.struct(
             names[t][0].alias("parent_url"),
             names[t][1].alias("child_links"),
+            corrupt.alias("bad_record"),
             F.lit(t).alias("link_type"),
         )
         for t in link_types
     ]
-    return hosts.select(F.inline(F.array(*records)))
+    if corrupt_col is None:
+        return hosts.select(F.inline(F.array(*records))).drop("bad_record")
+    rejected = F.struct(
+        F.lit(None).cast("string").alias("parent_url"),
+        F.lit(None).cast("array<string>").alias("child_links"),
+        corrupt.alias("bad_record"),
+        F.lit(CORRUPT).alias("link_type"),
+    )
+    return hosts.select(
+        F.inline(F.when(corrupt.isNull(), F.array(*records)).otherwise(F.array(rejected)))
+    )
 
 
 def parse_pages(
@@ -105,14 +128,17 @@ def parse_pages(
     link_types: Iterable[str] = LINK_TYPES,
     extractor: str = "native",
     on_missing_url: str = "drop",
+    corrupt_col: str | None = None,
 ) -> DataFrame:
     """Raw pages -> page links at the wanted granularities, in one pass over the HTML.
 
-    Pages without usable HTML stay, with no child links.
+    Pages without usable HTML stay, with no child links.  With ``corrupt_col`` (the text of
+    rows that could not be parsed) such rows come out in the same pass, once each, with
+    ``link_type = 'corrupt'`` and their text in ``bad_record``.
     """
-    pages = _accepted(pages, url_col, on_missing_url)
+    pages = _accepted(pages, url_col, on_missing_url, corrupt_col)
     hrefs = EXTRACTORS[extractor](F.col(html_col))
-    return _page_links(pages, F.col(url_col), hrefs, link_types, "current")
+    return _page_links(pages, F.col(url_col), hrefs, link_types, "current", corrupt_col)
 
 
 def clean_extracted(
@@ -123,13 +149,14 @@ def clean_extracted(
     link_types: Iterable[str] = LINK_TYPES,
     variant: str = "legacy",
     on_missing_url: str = "error_url",
+    corrupt_col: str | None = None,
 ) -> DataFrame:
     """Pages whose links are already extracted -> page links."""
-    pages = _accepted(pages, url_col, on_missing_url)
+    pages = _accepted(pages, url_col, on_missing_url, corrupt_col)
     hrefs = F.coalesce(
         F.filter(children_col, lambda href: href.isNotNull()), F.array().cast("array<string>")
     )
-    return _page_links(pages, F.col(url_col), hrefs, link_types, variant)
+    return _page_links(pages, F.col(url_col), hrefs, link_types, variant, corrupt_col)
 
 
 def _decoded_hrefs(rows: DataFrame, parent: str, href: str, keep: Iterable[str]) -> DataFrame:

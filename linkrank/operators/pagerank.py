@@ -15,6 +15,7 @@ nodes without out-links are observed during that write, so a step is one job.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterable
 
 from pyspark import StorageLevel
@@ -71,14 +72,16 @@ def pagerank(
 ) -> DataFrame:
     """(node, one column per walk).  ``edges`` should be a stored table: it is read twice.
 
+    ``node_degrees``, if at hand, is the stored result of :func:`degrees` on these edges.
+
     Starts at 1/N, spreads the rank of nodes without out-links evenly and stops once the
     summed change is below ``N * tol``; raises :class:`NotConverged` after ``max_iter``.
     With ``fixed_iters`` it makes exactly that many steps instead.
     """
     walks = list(walks)
     spark = edges.sparkSession
-    source = node_degrees if node_degrees is not None else degrees(edges)
-    totals = stage(source.select("node", "outdeg", "uniqueout"), "totals")
+    totals = node_degrees if node_degrees is not None else stage(degrees(edges), "degrees")
+    totals = totals.select("node", "outdeg", "uniqueout")
     shape = totals.agg(
         F.count(F.lit(1)).alias("nodes"),
         F.coalesce(F.sum("uniqueout"), F.lit(0)).alias("edges"),
@@ -97,14 +100,17 @@ def pagerank(
         math.ceil(shape["edges"] / ROWS_PER_PARTITION),
     )
     links, keys = _layout(edges, totals, shape["hubs"], parts, rows_per_slice)
-    links = links.persist(StorageLevel.MEMORY_AND_DISK)
+    links.persist(StorageLevel.MEMORY_AND_DISK)
+    # A view of our own: frames passed to spark.sql() are uncached when the call returns.
+    view = f"linkrank_links_{uuid.uuid4().hex}"
+    links.createOrReplaceTempView(view)
     idle = {w: shape[w] / n for w in walks}  # rank on nodes that link nowhere
     moving = set(walks)
     folders = [scratch_path(spark, "ranks"), scratch_path(spark, "ranks")]
     try:
         for step in range(fixed_iters if fixed_iters is not None else max_iter):
             seen = Observation()
-            update = _step(ranks, links, keys, walks, moving, idle, n, damping, rows_per_slice)
+            update = _step(ranks, view, keys, walks, moving, idle, n, damping, rows_per_slice)
             update = update.observe(
                 seen,
                 *[F.sum(F.abs(F.col(w) - F.col(f"{w}_old"))).alias(f"{w}_change") for w in walks],
@@ -121,11 +127,12 @@ def pagerank(
             if fixed_iters is None:
                 raise NotConverged(f"{sorted(moving)} not converged after {max_iter} steps")
     finally:
+        spark.catalog.dropTempView(view)
         links.unpersist()
     return ranks.select("node", *walks)
 
 
-def _step(ranks, links, keys, walks, moving, idle, n, damping, rows_per_slice) -> DataFrame:
+def _step(ranks, view, keys, walks, moving, idle, n, damping, rows_per_slice) -> DataFrame:
     """New ranks beside the old ones.  Walks that have converged keep their value.
 
     Written as one SQL statement: a step is analysed once, not once per method call.  Adding
@@ -159,7 +166,7 @@ def _step(ranks, links, keys, walks, moving, idle, n, damping, rows_per_slice) -
           select dst as node, {columns("{w}_share {times} as {w}_in")},
                  cast(null as bigint) as outdeg, cast(null as bigint) as uniqueout,
                  {columns("cast(null as double) as {w}_old")}
-          from {{links}} join shares using ({", ".join(keys)})
+          from {view} join shares using ({", ".join(keys)})
         ), carried as (
           select node, {columns("0.0D as {w}_in")}, outdeg, uniqueout, {columns("{w} as {w}_old")}
           from {{ranks}}
@@ -169,4 +176,4 @@ def _step(ranks, links, keys, walks, moving, idle, n, damping, rows_per_slice) -
         from (select * from inflow union all select * from carried)
         group by node
     """
-    return ranks.sparkSession.sql(query, ranks=ranks, links=links)
+    return ranks.sparkSession.sql(query, ranks=ranks)
