@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkrank.operators.positions import with_position
+from linkrank.operators.staging import stage
 
 MAP_TYPE = "map<string,map<string,bigint>>"
 
@@ -88,27 +89,31 @@ def with_ratios(table: DataFrame) -> DataFrame:
 
 def graph_summary(edges: DataFrame, parents: DataFrame) -> DataFrame:
     """One row: names, edges, total weight, parents."""
-    names = graph_nodes(edges, parents).agg(F.count(F.lit(1)).alias("names"))
-    totals = edges.agg(
-        F.count(F.lit(1)).alias("edges"), F.coalesce(F.sum("weight"), F.lit(0)).alias("links")
-    )
-    pages = parents.select("src").distinct().agg(F.count(F.lit(1)).alias("parents"))
-    # Three one-row frames side by side.
-    return names.withColumn("k", F.lit(1)).join(totals.withColumn("k", F.lit(1)), "k").join(
-        pages.withColumn("k", F.lit(1)), "k"
-    ).drop("k")
+    one = F.lit(1)
+    parts = [
+        graph_nodes(edges, parents).agg(F.count(one).alias("names")),
+        edges.agg(F.count(one).alias("edges"), F.coalesce(F.sum("weight"), F.lit(0)).alias("links")),
+        parents.select("src").distinct().agg(F.count(one).alias("parents")),
+    ]
+    counts = ["names", "edges", "links", "parents"]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    return rows.agg(*[F.max(c).alias(c) for c in counts])
 
 
 def edge_table(edges: DataFrame, min_sources: int = 2) -> DataFrame:
     """Edges whose destination has at least ``min_sources`` sources, with that count.
 
     Counted and joined back, not windowed: a window would bring a whole hub to one task,
-    while the count is partial and adaptive execution can split the hub in the join.
+    while the count is partial.  The counts are staged, so that the join reads both sides
+    straight from a shuffle; only then can adaptive execution split a hub.
     """
-    sources = (
+    sources = stage(
         edges.groupBy("dst")
         .agg(F.count(F.lit(1)).alias("dstcount"))
-        .filter(F.col("dstcount") >= min_sources)
+        .filter(F.col("dstcount") >= min_sources),
+        "sources",
     )
     return edges.select("src", "dst", "weight").join(sources, "dst").select(
         "src", "dst", "weight", "dstcount"
@@ -125,24 +130,30 @@ def node_connectivity(
     pages without links appear with an empty map.
     """
     edges = edges.select("src", "dst", "weight")
-    large = (
+    large = stage(
         edges.groupBy("src")
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > max_children)
-        .select("src", F.ceil(F.col("n") / max_children).cast("int").alias("slices"))
+        .select("src", F.ceil(F.col("n") / max_children).cast("int").alias("slices")),
+        "large",
     )
     place = F.conv(F.substring(F.md5(F.col("dst").cast("binary")), 1, 8), 16, 10).cast("long")
     slice_no = F.when(F.col("slices").isNull(), F.lit(0)).otherwise(
         F.pmod(place, F.col("slices")).cast("int")
     )
+    # Placed by (src, slice): without this, a join that shuffles by src would leave all
+    # slices of a hub in one task.
     maps = (
         edges.join(large, "src", "left")
-        .groupBy("src", slice_no.alias("slice"))
+        .select("src", slice_no.alias("slice"), "dst", "weight")
+        .repartition("src", "slice")
+        .groupBy("src", "slice")
         .agg(F.map_from_entries(F.collect_list(F.struct("dst", "weight"))).alias("children"))
     )
     if parents is None:
         return maps
-    empty = parents.select("src").distinct().join(edges, "src", "left_anti")
+    linked = edges.select("src").distinct()
+    empty = parents.select("src").distinct().join(linked, "src", "left_anti")
     return maps.unionByName(
         empty.select(
             "src", F.lit(0).alias("slice"), F.create_map().cast("map<string,bigint>").alias("children")

@@ -67,11 +67,13 @@ def _page_links(
     link_types: Iterable[str],
     variant: str,
     corrupt_col: str | None,
+    keep: Iterable[str],
 ) -> DataFrame:
-    link_types = list(link_types)
+    link_types, keep = list(link_types), list(keep)
     check_names(link_types, variant)
     parent, corrupt = F.col("parent"), F.col("corrupt")
     decoded = pages.select(
+        *keep,
         clean_parent(url).alias("parent"),
         F.transform(hrefs, unquote).alias("decoded"),
         (F.col(corrupt_col) if corrupt_col else F.lit(None).cast("string")).alias("corrupt"),
@@ -80,7 +82,7 @@ def _page_links(
         F.transform("decoded", lambda href: resolve_child(parent, href)),
         lambda child: child.isNotNull(),
     )
-    cleaned = decoded.select("parent", children.alias("children"), "corrupt")
+    cleaned = decoded.select(*keep, "parent", children.alias("children"), "corrupt")
     # Hosts are worked out once and serve both type2 and type3.
     hosts = cleaned.select(
         "*",
@@ -108,7 +110,7 @@ def _page_links(
         for t in link_types
     ]
     if corrupt_col is None:
-        return hosts.select(F.inline(F.array(*records))).drop("bad_record")
+        return hosts.select(*keep, F.inline(F.array(*records))).drop("bad_record")
     rejected = F.struct(
         F.lit(None).cast("string").alias("parent_url"),
         F.lit(None).cast("array<string>").alias("child_links"),
@@ -116,7 +118,7 @@ def _page_links(
         F.lit(CORRUPT).alias("link_type"),
     )
     return hosts.select(
-        F.inline(F.when(corrupt.isNull(), F.array(*records)).otherwise(F.array(rejected)))
+        *keep, F.inline(F.when(corrupt.isNull(), F.array(*records)).otherwise(F.array(rejected)))
     )
 
 
@@ -129,6 +131,7 @@ def parse_pages(
     extractor: str = "native",
     on_missing_url: str = "drop",
     corrupt_col: str | None = None,
+    keep: Iterable[str] = (),
 ) -> DataFrame:
     """Raw pages -> page links at the wanted granularities, in one pass over the HTML.
 
@@ -138,7 +141,7 @@ def parse_pages(
     """
     pages = _accepted(pages, url_col, on_missing_url, corrupt_col)
     hrefs = EXTRACTORS[extractor](F.col(html_col))
-    return _page_links(pages, F.col(url_col), hrefs, link_types, "current", corrupt_col)
+    return _page_links(pages, F.col(url_col), hrefs, link_types, "current", corrupt_col, keep)
 
 
 def clean_extracted(
@@ -150,13 +153,14 @@ def clean_extracted(
     variant: str = "legacy",
     on_missing_url: str = "error_url",
     corrupt_col: str | None = None,
+    keep: Iterable[str] = (),
 ) -> DataFrame:
     """Pages whose links are already extracted -> page links."""
     pages = _accepted(pages, url_col, on_missing_url, corrupt_col)
     hrefs = F.coalesce(
         F.filter(children_col, lambda href: href.isNotNull()), F.array().cast("array<string>")
     )
-    return _page_links(pages, F.col(url_col), hrefs, link_types, variant, corrupt_col)
+    return _page_links(pages, F.col(url_col), hrefs, link_types, variant, corrupt_col, keep)
 
 
 def _decoded_hrefs(rows: DataFrame, parent: str, href: str, keep: Iterable[str]) -> DataFrame:
@@ -221,9 +225,9 @@ def select_types(rows: DataFrame, link_types: Iterable[str]) -> DataFrame:
     return rows.filter(F.col("link_type").isin(*link_types))
 
 
-def link_rows(page_links: DataFrame) -> DataFrame:
+def link_rows(page_links: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
     return page_links.select(
-        "link_type", F.col("parent_url").alias("src"), F.explode("child_links").alias("dst")
+        *keep, "link_type", F.col("parent_url").alias("src"), F.explode("child_links").alias("dst")
     )
 
 
@@ -261,12 +265,16 @@ def known_parents(page_links: DataFrame) -> DataFrame:
     )
 
 
-def linkless_parents(page_links: DataFrame) -> DataFrame:
-    """Pages none of whose copies kept a link; one aggregation, no self-join."""
+def linkless_parents(page_links: DataFrame, extra_keys: Iterable[str] = ()) -> DataFrame:
+    """Pages none of whose copies kept a link; one aggregation, no self-join.
+
+    With ``extra_keys`` (say, the crawl file), none of the copies there.
+    """
+    keys = list(extra_keys)
     return (
         page_links.filter(_usable_parent("parent_url"))
-        .groupBy("link_type", F.col("parent_url").alias("src"))
+        .groupBy(*keys, "link_type", F.col("parent_url").alias("src"))
         .agg(F.max(F.size("child_links")).alias("links"))
         .filter(F.col("links") == 0)
-        .select("link_type", "src")
+        .select(*keys, "link_type", "src")
     )

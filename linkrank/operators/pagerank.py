@@ -19,7 +19,7 @@ import uuid
 from collections.abc import Iterable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from linkrank.operators.graph import degrees
@@ -28,7 +28,8 @@ from linkrank.operators.staging import scratch_path, stage, write_and_read
 # Result column -> (total that a node shares out, whether a link counts by its weight).
 WALKS = {"pagerank": ("outdeg", True), "pagerank_noweight": ("uniqueout", False)}
 ROWS_PER_SLICE = 1_000_000
-ROWS_PER_PARTITION = 2_000_000
+MIN_ROWS_PER_PARTITION = 100_000
+MAX_ROWS_PER_PARTITION = 10_000_000
 
 
 class NotConverged(RuntimeError):
@@ -55,6 +56,13 @@ def _layout(edges: DataFrame, totals: DataFrame, hubs: int, parts: int, rows_per
     return links.repartition(parts, *keys).sortWithinPartitions(*keys), keys
 
 
+def _partitions(spark: SparkSession, rows: int) -> int:
+    """The configured number of shuffle partitions, unless they would be tiny or huge."""
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(configured, math.ceil(rows / MIN_ROWS_PER_PARTITION))
+    return max(1, wanted, math.ceil(rows / MAX_ROWS_PER_PARTITION))
+
+
 def _slices(rows_per_slice: int):
     return F.ceil(F.col("uniqueout") / rows_per_slice).cast("int")
 
@@ -95,11 +103,9 @@ def pagerank(
     if n == 0:
         return ranks.select("node", *walks)
 
-    parts = min(
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-        math.ceil(shape["edges"] / ROWS_PER_PARTITION),
+    links, keys = _layout(
+        edges, totals, shape["hubs"], _partitions(spark, shape["edges"]), rows_per_slice
     )
-    links, keys = _layout(edges, totals, shape["hubs"], parts, rows_per_slice)
     links.persist(StorageLevel.MEMORY_AND_DISK)
     # A view of our own: frames passed to spark.sql() are uncached when the call returns.
     view = f"linkrank_links_{uuid.uuid4().hex}"

@@ -44,7 +44,7 @@ def top(attributes: DataFrame, n: int, by: str = "pagerank") -> DataFrame:
 
 def exclude_listed(attributes: DataFrame, urls: DataFrame) -> DataFrame:
     """Leave out the URLs of a table; Spark broadcasts it if it is small enough."""
-    return attributes.join(urls.select("url"), "url", "left_anti")
+    return attributes.join(urls.select("url").distinct(), "url", "left_anti")
 
 
 def exclude_urls(attributes: DataFrame, urls: Iterable[str]) -> DataFrame:

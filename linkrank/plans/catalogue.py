@@ -173,8 +173,10 @@ def preextracted_links(spark, sf_dir):
 
 @query
 def linkless_parents(spark, sf_dir):
-    rows = links.clean_extracted(crawl_pages(spark, sf_dir), variant="current")
-    return links.linkless_parents(rows)
+    rows = links.clean_extracted(
+        crawl_pages(spark, sf_dir), variant="current", keep=["crawl_file"]
+    )
+    return links.linkless_parents(rows, extra_keys=["crawl_file"])
 
 
 @query

@@ -3,23 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from linkrank.functions.urls import LINK_TYPES
+from linkrank.functions.urls import LINK_TYPES, clean_parent, normalize
 from linkrank.operators.attributes import url_attributes
+from linkrank.operators.audit import completeness_audit
 from linkrank.operators.graph import build_index, graph_nodes, node_connectivity
 from linkrank.operators.links import (
     clean_extracted,
     count_links,
+    drop_index_rows,
     known_parents,
     link_rows,
     parse_pages,
 )
 from linkrank.operators.ranking import exclude_listed, exclude_urls, top
-from linkrank.operators.staging import write_and_read
+from linkrank.operators.staging import stage, write_and_read
 from linkrank.options import Options
 from linkrank.sinks import tables
-from linkrank.sources.crawl import CORRUPT_COLUMN, read_extracted, read_pages
-from linkrank.sources.graph import read_edges, read_page_links, read_url_list
+from linkrank.sources.crawl import CORRUPT_COLUMN, FILE_COLUMN, read_extracted, read_pages
+from linkrank.sources.graph import PAGE_LINKS, read_edges, read_page_links, read_url_list
 
 
 def parse_stage(
@@ -35,6 +38,7 @@ def parse_stage(
             on_missing_url=options.on_missing_url or "error_url",
             link_types=LINK_TYPES,
             corrupt_col=CORRUPT_COLUMN,
+            keep=[FILE_COLUMN],
         )
     else:
         pages = read_pages(
@@ -48,10 +52,32 @@ def parse_stage(
             on_missing_url=options.on_missing_url or "drop",
             link_types=LINK_TYPES,
             corrupt_col=CORRUPT_COLUMN,
+            keep=[FILE_COLUMN],
         )
     tables.write_page_links(rows, f"{out}/links")
 
 
+def audit_stage(spark: SparkSession, src: str, out: str, options: Options) -> DataFrame:
+    """Compare the pages named in the crawl files with those in the stored links.
+
+    Reads the input once more, so it is not part of :func:`run_pipeline`.  The verdicts are
+    appended to a log and returned.
+    """
+    pages = drop_index_rows(
+        read_pages(spark, src, url_col=options.url_col, html_col=options.html_col), options.url_col
+    )
+    inputs = pages.select(
+        FILE_COLUMN, normalize(clean_parent(F.col(options.url_col)), "type1").alias("src")
+    )
+    stored = spark.read.schema(f"{PAGE_LINKS}, {FILE_COLUMN} string").parquet(f"{out}/links")
+    outputs = stored.filter(F.col("link_type") == "type1").select(
+        FILE_COLUMN, F.col("parent_url").alias("src")
+    )
+    verdicts = stage(completeness_audit(inputs, outputs, FILE_COLUMN), "audit")
+    tables.append_audit_log(verdicts, f"{out}/audit_log")
+    return verdicts
+
+
 def count_stage(spark: SparkSession, out: str, options: Options) -> None:
     links = link_rows(read_page_links(spark, f"{out}/links", options.link_types))
     tables.write_edges(count_links(links), f"{out}/edges")

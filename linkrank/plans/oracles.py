@@ -195,8 +195,9 @@ def oracle_sql() -> dict[str, str]:
         "linkless_parents": _with(
             _CLEANED,
             " union all ".join(
-                f"select '{t}' as link_type, src from ({_PARENT_NAMES[t]})"
-                f" where src not in (select {_name('parent', t)} from cleaned)"
+                f"select distinct crawl_file, '{t}' as link_type, {_name(_PARENT, t)} as src from crawl"
+                f" where length({_name(_PARENT, t)}) > 1 and (crawl_file, {_name(_PARENT, t)}) not in"
+                f" (select (crawl_file, {_name('parent', t)}) from cleaned)"
                 for t in c.URL_TYPES
             ),
         ),

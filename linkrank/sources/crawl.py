@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT_COLUMN = "_corrupt_record"
+FILE_COLUMN = "crawl_file"
 
 
 def page_schema(url_col: str = "url", html_col: str = "raw_content") -> T.StructType:
@@ -39,6 +40,7 @@ def _read(spark: SparkSession, path, schema, fail_fast: bool, min_partitions: in
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         .json(path)
         .filter(not_a_ledger())
+        .withColumn(FILE_COLUMN, F.col("_metadata.file_name"))
     )
     if min_partitions and rows.rdd.getNumPartitions() < min_partitions:
         rows = rows.repartition(min_partitions)

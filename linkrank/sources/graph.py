@@ -12,7 +12,6 @@ from linkrank.operators.links import select_types
 from linkrank.sources.crawl import not_a_ledger
 
 PAGE_LINKS = "parent_url string, child_links array<string>, link_type string"
-REJECTED = "bad_record string, link_type string"
 EDGES = "src string, dst string, weight bigint, link_type string"
 
 
