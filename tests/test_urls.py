@@ -1,0 +1,110 @@
+import pytest
+from pyspark.sql import functions as F
+
+from linkrank.functions import urls
+
+# input, type1, type2, type3, legacy type1, legacy type2, legacy type3
+NAMES = """
+http://www.a.com/x?y=1 | http://a.com/x | a.com | a.com | http://www.a.com/x | www.a.com | a.com
+https://shop.b.co.uk/p;jsess=1?q | https://shop.b.co.uk/p | shop.b.co.uk | b.co.uk | https://shop.b.co.uk/p | shop.b.co.uk | b.co.uk
+http://a.com?x=1.2 | http://a.com | a.com | a.com | http://a.com | a.com?x=1.2 | com?x=1.2
+http://a.com#top | http://a.com#top | a.com | a.com | http://a.com#top | a.com#top | a.com#top
+https://a.com:8080/z | https://a.com:8080/z | a.com:8080 | a.com:8080 | https://a.com:8080/z | a.com:8080 | a.com:8080
+http:/one.com/slash | http:/one.com/slash | one.com | one.com | http:/one.com/slash | one.com | one.com
+http://r.com/?u=http://q.com/w | http://r.com/ | r.com | r.com | http://r.com/ | r.com | r.com
+HTTP://Up.COM/X | HTTP://Up.COM/X | HTTP: | HTTP: | HTTP://Up.COM/X | HTTP: | HTTP:
+http://localhost/x | http://localhost/x | localhost | localhost | http://localhost/x | localhost | localhost
+http://10.1.2.3/x | http://10.1.2.3/x | 10.1.2.3 | 2.3 | http://10.1.2.3/x | 10.1.2.3 | 2.3
+https://notwww.c.com/ | https://notc.com/ | notc.com | notc.com | https://notwww.c.com/ | notwww.c.com | c.com
+http://a.co.example.com/ | http://a.co.example.com/ | a.co.example.com | co.example.com | http://a.co.example.com/ | a.co.example.com | co.example.com
+https:///only/path | https:///only/path | | | https:///only/path | |
+http://error.com | http://error.com | error.com | error.com | http://error.com | error.com | error.com
+http://www.error.com | http://error.com | error.com | error.com | http://www.error.com | www.error.com | error.com
+https://london.craigslist.co.uk/ | https://london.craigslist.co.uk/ | london.craigslist.co.uk | craigslist.co.uk | https://london.craigslist.co.uk/ | london.craigslist.co.uk | craigslist.co.uk
+http://x.com/a#b?c | http://x.com/a#b | x.com | x.com | http://x.com/a#b | x.com | x.com
+/no/host | /no/host | | | /no/host | |
+"""
+
+
+def test_names_in_both_variants(spark):
+    table = [[cell.strip() for cell in line.split("|")] for line in NAMES.strip().splitlines()]
+    url = F.col("url")
+    named = spark.createDataFrame([(r[0],) for r in table], "url string").select(
+        "url",
+        *[
+            urls.normalize(url, t, v).alias(f"{v}_{t}")
+            for v in urls.VARIANTS
+            for t in urls.LINK_TYPES
+        ],
+    )
+    assert sorted(list(r) for r in named.collect()) == sorted(table)
+
+
+def test_unknown_names_are_refused():
+    with pytest.raises(ValueError):
+        urls.check_names(["type4"], "current")
+    with pytest.raises(ValueError):
+        urls.check_names(["type1"], "newest")
+
+
+@pytest.mark.parametrize(
+    "escaped, plain",
+    [
+        ("a+b%zz%41%", "a+b%zzA%"),
+        ("x%2525252525252541", "x%252541"),
+        ("http%3A%2F%2Fq.com", "http://q.com"),
+        ("caf%C3%A9%20au", "café au"),
+        ("%", "%"),
+        ("%%%41", "%%A"),
+        ("100%2525", "100%"),
+        ("no escapes+", "no escapes+"),
+        ("", ""),
+        (None, None),
+    ],
+)
+def test_unquote(spark, escaped, plain):
+    row = spark.createDataFrame([(escaped,)], "u string").select(urls.unquote(F.col("u")))
+    assert row.first()[0] == plain
+
+
+@pytest.mark.parametrize(
+    "raw, clean",
+    [
+        ("  http://p.com/a  ", "http://p.com/a"),
+        ("%20%09http://p.com/a%20b", "http://p.com/a"),
+        ("http://p.com/a b", "http://p.com/a"),
+        ("\t\nhttp://p.com", "http://p.com"),
+        ("", ""),
+        (None, "http://www.error.com"),
+    ],
+)
+def test_clean_parent(spark, raw, clean):
+    row = spark.createDataFrame([(raw,)], "u string").select(urls.clean_parent(F.col("u")))
+    assert row.first()[0] == clean
+
+
+@pytest.mark.parametrize(
+    "href, link, kind",
+    [
+        ("/b", "http://p.com/a/b", "internal"),
+        ("//cdn.q.com/x", "http://p.com/a//cdn.q.com/x", "internal"),
+        ("/b c", "http://p.com/a/b", "internal"),
+        ("http://q.com/x y", "http://q.com/x", "external"),
+        ("http%3A%2F%2Fq.com", "http://q.com", "external"),
+        ("%2Fb%20c", "http://p.com/a/b", "internal"),
+        ("httpfoo", "httpfoo", "external"),
+        ("b.html", None, "dropped"),
+        ("#top", None, "dropped"),
+        ("mailto:x", None, "dropped"),
+        ("javascript:void(0)", None, "dropped"),
+        (" /b", None, "dropped"),
+        ("HTTP://q.com", None, "dropped"),
+        ("", None, "dropped"),
+    ],
+)
+def test_children(spark, href, link, kind):
+    decoded = urls.unquote(F.col("h"))
+    row = spark.createDataFrame([(href,)], "h string").select(
+        urls.resolve_child(F.lit("http://p.com/a"), decoded), urls.link_disposition(decoded)
+    )
+    assert tuple(row.first()) == (link, kind)
