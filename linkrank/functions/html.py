@@ -40,6 +40,8 @@ _HREF_TOKEN = r"""(?is)^href\s*(?:=\s*)?(?:"(.*)"|'(.*)'|(.*))$"""
 # One piece of text from one ``&`` up to the next.
 _ENTITY_PIECE = r"(?s)^&(#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?|[A-Za-z][A-Za-z0-9]*;)(.*)$"
 _MAX_CODE_POINT = 0x10FFFF
+# "name character" per line: one literal that Spark folds into a map.
+_ENTITIES = "\n".join(f"{n} {chr(c)}" for n, c in {**name2codepoint, "apos": 39}.items())
 
 
 def _code_point_text(code: Column) -> Column:
@@ -55,9 +57,7 @@ def _decode_piece(piece: Column) -> Column:
     digits = F.regexp_extract(name, "^#[xX]?([0-9a-fA-F]+)$", 1)
     is_hex = F.lower(F.substring(name, 2, 1)) == "x"
     code = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).try_cast("int")
-    names = F.create_map(
-        *[F.lit(v) for n, c in sorted({**name2codepoint, "apos": 39}.items()) for v in (n, chr(c))]
-    )
+    names = F.str_to_map(F.lit(_ENTITIES), F.lit("\n"), F.lit(" "))
     text = F.when(F.startswith(name, F.lit("#")), _code_point_text(code)).otherwise(
         F.try_element_at(names, name)
     )

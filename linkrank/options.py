@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
+from linkrank.functions.urls import LINK_TYPES
+
 # Keys of the JSON settings file.
 _KEYS = {
     "types": "types to parse",
@@ -28,7 +30,8 @@ def _is_true(value) -> bool:
 class Options:
     """Defaults run everything for hosts and leave nothing out."""
 
-    link_types: tuple[str, ...] = ("type2",)
+    link_types: tuple[str, ...] = ("type2",)  # counted and ranked
+    parse_types: tuple[str, ...] = LINK_TYPES  # written by the parse stage
     sort_by: str = "outdeg"
     write_sorted: bool = True
     write_sorted_filtered: bool = True

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkrank.sources.crawl import spread
+
 # The same text runs in Spark SQL and in DuckDB.
 CRAWL_LINKS_SQL = """
 select l_orderkey as page_key, l_linenumber as pos,
@@ -36,23 +38,28 @@ from lineitem join orders on l_orderkey = o_orderkey
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
 def crawl_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "orders")}
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"
+    )
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     query = CRAWL_LINKS_SQL.replace(
         "from lineitem join orders", "from {lineitem} lineitem join {orders} orders"
     )
-    return spark.sql(query, **tables)
+    return spark.sql(query, lineitem=spread(lineitem), orders=orders)
 
 
 def crawl_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same links as pages with a list of hrefs: (crawl_file, page_key, url, children)."""
-    return (
-        crawl_links(spark, sf_dir)
-        .groupBy("crawl_file", "page_key", F.col("parent_url").alias("url"))
-        .agg(F.collect_list("href").alias("children"))
+    """The same links as pages with a list of hrefs: (crawl_file, page_key, url, children).
+
+    One copy of the page per link, as when a crawl fetches a page again: nothing is grouped, so
+    an order with very many line items is no burden.
+    """
+    return crawl_links(spark, sf_dir).select(
+        "crawl_file", "page_key", F.col("parent_url").alias("url"), F.array("href").alias("children")
     )
 
 

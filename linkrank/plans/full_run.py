@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkrank.functions.urls import LINK_TYPES, clean_parent, normalize
+from linkrank.functions.urls import clean_parent, normalize
 from linkrank.operators.attributes import url_attributes
 from linkrank.operators.audit import completeness_audit
 from linkrank.operators.graph import build_index, graph_nodes, node_connectivity
@@ -28,7 +28,7 @@ from linkrank.sources.graph import PAGE_LINKS, read_edges, read_page_links, read
 def parse_stage(
     spark: SparkSession, src: str, out: str, options: Options, extracted: bool = False
 ) -> None:
-    """Pages to cleaned links of all three types, and unreadable rows, in one pass."""
+    """Pages to cleaned links of all wanted types, and unreadable rows, in one pass."""
     common = {"fail_fast": options.fail_fast, "min_partitions": options.min_partitions}
     if extracted:
         pages = read_extracted(spark, src, url_col=options.url_col, **common)
@@ -36,7 +36,7 @@ def parse_stage(
             pages,
             url_col=options.url_col,
             on_missing_url=options.on_missing_url or "error_url",
-            link_types=LINK_TYPES,
+            link_types=options.parse_types,
             corrupt_col=CORRUPT_COLUMN,
             keep=[FILE_COLUMN],
         )
@@ -50,7 +50,7 @@ def parse_stage(
             html_col=options.html_col,
             extractor=options.extractor,
             on_missing_url=options.on_missing_url or "drop",
-            link_types=LINK_TYPES,
+            link_types=options.parse_types,
             corrupt_col=CORRUPT_COLUMN,
             keep=[FILE_COLUMN],
         )
@@ -58,7 +58,7 @@ def parse_stage(
 
 
 def audit_stage(spark: SparkSession, src: str, out: str, options: Options) -> DataFrame:
-    """Compare the pages named in the crawl files with those in the stored links.
+    """Compare the pages named in the crawl files with those in the stored type1 links.
 
     Reads the input once more, so it is not part of :func:`run_pipeline`.  The verdicts are
     appended to a log and returned.

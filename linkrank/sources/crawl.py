@@ -23,7 +23,7 @@ def extracted_schema(url_col: str = "url", children_col: str = "children") -> T.
     return (
         T.StructType()
         .add(url_col, "string")
-        .add(children_col, "array<string>")
+        .add(children_col, T.ArrayType(T.StringType()))
         .add(CORRUPT_COLUMN, "string")
     )
 
@@ -33,6 +33,15 @@ def not_a_ledger():
     return ~F.endswith(F.col("_metadata.file_name"), F.lit("txt"))
 
 
+def spread(rows: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Shuffle the rows of a scan that has fewer tasks than the cluster has cores.
+
+    Meant for a few unsplittable files; a scan of many files is returned as it is.
+    """
+    wanted = min_partitions or rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(wanted) if rows.rdd.getNumPartitions() < wanted else rows
+
+
 def _read(spark: SparkSession, path, schema, fail_fast: bool, min_partitions: int | None):
     rows = (
         spark.read.schema(schema)
@@ -42,9 +51,7 @@ def _read(spark: SparkSession, path, schema, fail_fast: bool, min_partitions: in
         .filter(not_a_ledger())
         .withColumn(FILE_COLUMN, F.col("_metadata.file_name"))
     )
-    if min_partitions and rows.rdd.getNumPartitions() < min_partitions:
-        rows = rows.repartition(min_partitions)
-    return rows
+    return spread(rows, min_partitions) if min_partitions else rows
 
 
 def read_pages(

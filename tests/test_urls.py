@@ -57,6 +57,8 @@ def test_unknown_names_are_refused():
         ("%", "%"),
         ("%%%41", "%%A"),
         ("100%2525", "100%"),
+        ("caf%E9", "caf\ufffd"),
+        ("%-1%+f", "%-1%+f"),
         ("no escapes+", "no escapes+"),
         ("", ""),
         (None, None),
