@@ -25,11 +25,12 @@ _ATTRIBUTE = r"[\s/]*+[^\s>/][^\s=>/]*+" + _VALUE
 _OTHER_ATTRIBUTE = r"[\s/]*+(?!" + _HREF_NAME + r")[^\s>/][^\s=>/]*+" + _VALUE
 
 # Group 1 is the href attribute of an anchor, e.g. ``href="/x"``; for every other
-# tag, comment, script or style it is empty.
+# tag, comment, declaration, script or style it is empty.
 _TAGS = (
     r"(?is)<(?:"
     r"a(?=[\s/])(?:" + _OTHER_ATTRIBUTE + r")*+[\s/]*+(" + _HREF_NAME + _VALUE + r")(?:" + _ATTRIBUTE + r")*+"
     r"|!--.*?(?:-->|\z)"
+    r"|[!?][^>]*+"
     r"|script(?=[\s/>]).*?(?:</script|\z)"
     r"|style(?=[\s/>]).*?(?:</style|\z)"
     r"|[a-z][^\s/>]*+(?:" + _ATTRIBUTE + r")*+"

@@ -61,8 +61,7 @@ class Options:
             "write_sorted": _is_true(value("write_sorted", False)),
             "write_sorted_filtered": _is_true(value("write_sorted_filtered", False)),
             "exclude_top_pagerank": int(value("top_n", 0)) if _is_true(value("use_top")) else 0,
-            # Any text, even "False", turns the list on; leave the key or the list out to stop it.
-            "exclude_urls": tuple(value("urls", ())) if str(value("use_urls", "")) else (),
+            "exclude_urls": tuple(value("urls", ())) if _is_true(value("use_urls")) else (),
             "exclude_path": value("path") if _is_true(value("use_path")) else None,
         }
         return cls(**{**settings, **more})

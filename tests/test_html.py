@@ -46,6 +46,12 @@ def test_unclosed_entity_names_stay(spark):
     assert df.select(extract_hrefs(F.col("h"))).first()[0] == ["/a?x=1&copy=2&lt=3"]
 
 
+def test_declarations_end_at_the_next_bracket(spark):
+    html = '<!DOCTYPE html><?x a="1"?><![CDATA[ <a href="/in">]]><a href="/out">'
+    df = spark.createDataFrame([(html,)], "h string")
+    assert df.select(extract_hrefs(F.col("h"))).first()[0] == ["/out"]
+
+
 def test_out_of_range_references_do_not_fail(spark):
     html = '<a href="/a&#0;&#xD800;&#x110000;&#9999999;b">'
     df = spark.createDataFrame([(html,)], "h string")
