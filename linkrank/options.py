@@ -43,6 +43,7 @@ class Options:
     extractor: str = "native"
     on_missing_url: str | None = None  # None: drop for raw pages, error URL for extracted links
     encode_nodes: bool = True
+    previous_run: str | None = None  # output folder of an earlier run whose node ids stay
     min_partitions: int | None = None
     fail_fast: bool = False
     pagerank: dict = field(default_factory=dict)

@@ -13,7 +13,9 @@ from linkrank.operators import audit, graph, links, ranking
 from linkrank.operators.attributes import FEATURES, url_attributes
 from linkrank.operators.pagerank import pagerank
 from linkrank.operators.staging import scratch_path, stage
+from linkrank.options import Options
 from linkrank.plans.crawl_view import crawl_links, crawl_pages, markup, pages
+from linkrank.plans.full_run import exclude
 from linkrank.sinks import tables
 from linkrank.sources import crawl, graph as stored
 from linkrank.streaming import ingest
@@ -424,7 +426,7 @@ def exclude_url_list(spark, sf_dir):
     return ranking.exclude_urls(_attributes(spark, sf_dir), EXCLUDED_URLS)
 
 
-def _listed_suppliers(spark, sf_dir) -> DataFrame:
+def _listed_suppliers(spark, sf_dir) -> str:
     """An exclusion list on disk: one host per supplier, with stray blanks around it."""
     path = scratch_path(spark, "exclusions")
     suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
@@ -434,22 +436,24 @@ def _listed_suppliers(spark, sf_dir) -> DataFrame:
     suppliers.select(host.alias("url")).distinct().write.csv(
         path, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
-    return stored.read_url_list(spark, path)
+    return path
 
 
 @query
 def exclude_url_file(spark, sf_dir):
-    return ranking.exclude_listed(_attributes(spark, sf_dir), _listed_suppliers(spark, sf_dir))
+    listed = stored.read_url_list(spark, _listed_suppliers(spark, sf_dir))
+    return ranking.exclude_listed(_attributes(spark, sf_dir), listed)
 
 
 @query
 def ranked_sites_filtered(spark, sf_dir):
     """All exclusions at once; ranks are those of the sites that are left."""
-    table = _attributes(spark, sf_dir)
-    kept = ranking.exclude_top(ranking.exclude_urls(table, EXCLUDED_URLS), 0)
-    kept = ranking.exclude_listed(kept, ranking.top(table, TOP_EXCLUDED))
-    kept = ranking.exclude_listed(kept, _listed_suppliers(spark, sf_dir))
-    return ranking.with_rank(kept, "outdeg")
+    options = Options(
+        exclude_urls=EXCLUDED_URLS,
+        exclude_top_pagerank=TOP_EXCLUDED,
+        exclude_path=_listed_suppliers(spark, sf_dir),
+    )
+    return ranking.with_rank(exclude(_attributes(spark, sf_dir), options), "outdeg")
 
 
 # ---- audit -----------------------------------------------------------------------------

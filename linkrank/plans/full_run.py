@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from linkrank.functions.urls import clean_parent, normalize
 from linkrank.operators.attributes import url_attributes
 from linkrank.operators.audit import completeness_audit
-from linkrank.operators.graph import build_index, graph_nodes, node_connectivity
+from linkrank.operators.graph import build_index, extend_index, graph_nodes, node_connectivity
 from linkrank.operators.links import (
     clean_extracted,
     count_links,
@@ -22,7 +22,15 @@ from linkrank.operators.staging import stage, write_and_read
 from linkrank.options import Options
 from linkrank.sinks import tables
 from linkrank.sources.crawl import CORRUPT_COLUMN, FILE_COLUMN, read_extracted, read_pages
-from linkrank.sources.graph import PAGE_LINKS, read_edges, read_page_links, read_url_list
+from linkrank.sources.graph import (
+    PAGE_LINKS,
+    read_edges,
+    read_index,
+    read_page_links,
+    read_url_list,
+)
+
+INDEX = "node_index"
 
 
 def parse_stage(
@@ -94,12 +102,20 @@ def exclude(attributes: DataFrame, options: Options) -> DataFrame:
     return kept
 
 
-def metrics_stage(spark: SparkSession, out: str, link_type: str, options: Options) -> DataFrame:
-    """Index, graph export, attributes and rankings of one granularity."""
-    folder = f"{out}/metrics/{link_type}"
-    edges = read_edges(spark, f"{out}/edges", [link_type]).select("src", "dst", "weight")
-    parents = known_parents(read_page_links(spark, f"{out}/links", [link_type])).select("src")
-    index = write_and_read(build_index(graph_nodes(edges, parents)), f"{folder}/node_index")
+def measure(
+    edges: DataFrame,
+    parents: DataFrame,
+    folder: str,
+    options: Options,
+    earlier_index: DataFrame | None = None,
+) -> DataFrame:
+    """Index, graph export, attributes and rankings of one graph, written below ``folder``.
+
+    ``edges`` (src, dst, weight) should be a stored table; ``parents`` (src) are all pages.
+    """
+    names = graph_nodes(edges, parents)
+    index = build_index(names) if earlier_index is None else extend_index(earlier_index, names)
+    index = write_and_read(index, f"{folder}/{INDEX}")
     tables.write_connectivity(node_connectivity(edges, parents), f"{folder}/node_connectivity")
 
     attributes = write_and_read(
@@ -118,6 +134,16 @@ def metrics_stage(spark: SparkSession, out: str, link_type: str, options: Option
     return attributes
 
 
+def metrics_stage(spark: SparkSession, out: str, link_type: str, options: Options) -> DataFrame:
+    """:func:`measure` on the stored links and edges of one granularity."""
+    edges = read_edges(spark, f"{out}/edges", [link_type]).select("src", "dst", "weight")
+    parents = known_parents(read_page_links(spark, f"{out}/links", [link_type])).select("src")
+    earlier = None
+    if options.previous_run:
+        earlier = read_index(spark, f"{options.previous_run}/metrics/{link_type}/{INDEX}")
+    return measure(edges, parents, f"{out}/metrics/{link_type}", options, earlier)
+
+
 def run_pipeline(
     spark: SparkSession,
     src: str,

@@ -47,6 +47,10 @@ def read_connectivity(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
     return edges, parents_from_json(lines)
 
 
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("id bigint, name string").parquet(path)
+
+
 def read_forward_index(spark: SparkSession, path: str) -> DataFrame:
     """``{"gnv": [name, ...]}`` -> (id, name)."""
     lists = spark.read.schema("gnv array<string>").json(path)

@@ -1,5 +1,6 @@
 import gzip
 import json
+from dataclasses import replace
 
 import pytest
 
@@ -74,9 +75,8 @@ def test_full_run(spark, crawl, rows):
     # a.com is the top PageRank, c.com is in the settings, b.com is in the file.
     assert read_csv(spark, out / "metrics/type2/link_attributes_filtered") == []
 
-    again = run_pipeline(
-        spark, str(src), str(out), Options(write_sorted=False, write_sorted_filtered=False)
-    )
+    brief = Options(write_sorted=False, write_sorted_filtered=False)
+    again = run_pipeline(spark, str(src), str(out), brief)
     assert {r["url"]: r["outdeg"] for r in again["type2"].collect()} == {
         "a.com": 2, "b.com": 1, "c.com": 1
     }
@@ -84,6 +84,11 @@ def test_full_run(spark, crawl, rows):
     verdicts = audit_stage(spark, str(src), str(out), options)
     assert rows(verdicts, "crawl_file", "complete") == [("a.jl", True), ("b.jl.gz", True)]
 
+    (src / "c.jl").write_text(page("http://a-first.com", "http://d.com"))
+    run_pipeline(spark, str(src), f"{out}-next", replace(brief, previous_run=str(out)))
+    index = spark.read.parquet(f"{out}-next/metrics/type2/node_index")
+    assert rows(index) == [(0, "a.com"), (1, "b.com"), (2, "c.com"), (3, "d.com"), (4, "a-first.com")]
+
 
 def test_extracted_run_by_name(spark, tmp_path):
     src = tmp_path / "in"
