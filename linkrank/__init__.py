@@ -30,6 +30,7 @@ from linkrank.operators.ranking import (
     top,
     with_rank,
 )
+from linkrank.operators.staging import clear_scratch
 from linkrank.options import Options
 from linkrank.plans.full_run import audit_stage, exclude, run_pipeline
 from linkrank.plans.stored_graph import export_edge_table, rerank_stored
@@ -41,6 +42,7 @@ __all__ = [
     "audit_stage",
     "build_index",
     "clean_links",
+    "clear_scratch",
     "completeness_audit",
     "completeness_totals",
     "count_links",

@@ -40,3 +40,9 @@ def write_and_read(df: DataFrame, path: str) -> DataFrame:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     return write_and_read(df, scratch_path(df.sparkSession, name))
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; frames that read them end with it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

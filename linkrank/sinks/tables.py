@@ -3,27 +3,53 @@ order, are the ranking; nothing is funnelled through one task."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkrank.functions.urls import LINK_TYPES
 from linkrank.operators.attributes import FEATURES
 from linkrank.operators.graph import connectivity_json
 from linkrank.operators.ranking import ranked
 
 
+@contextmanager
+def writers_per_type(spark: SparkSession) -> Iterator[None]:
+    """Let a task hold one open file per link type.
+
+    Otherwise Spark sorts every task's rows by the partition column before writing them.
+    """
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(int(before), len(LINK_TYPES) + 1)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _write_by_type(rows: DataFrame, path: str) -> None:
+    with writers_per_type(rows.sparkSession):
+        rows.write.mode("overwrite").partitionBy("link_type").parquet(path)
+
+
 def write_page_links(page_links: DataFrame, path: str) -> None:
-    page_links.write.mode("overwrite").partitionBy("link_type").parquet(path)
+    _write_by_type(page_links, path)
 
 
 def write_page_links_json(page_links: DataFrame, path: str) -> None:
     """Gzip JSON lines ``{"parentURL": ..., "childLinks": [...]}``, one folder per type."""
-    page_links.select(
+    rows = page_links.select(
         F.col("parent_url").alias("parentURL"), F.col("child_links").alias("childLinks"), "link_type"
-    ).write.mode("overwrite").partitionBy("link_type").option("compression", "gzip").json(path)
+    )
+    with writers_per_type(rows.sparkSession):
+        rows.write.mode("overwrite").partitionBy("link_type").json(path, compression="gzip")
 
 
 def write_edges(edges: DataFrame, path: str) -> None:
-    edges.write.mode("overwrite").partitionBy("link_type").parquet(path)
+    _write_by_type(edges, path)
 
 
 def write_index(index: DataFrame, path: str) -> None:

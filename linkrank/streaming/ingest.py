@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from linkrank.functions.urls import LINK_TYPES
-from linkrank.operators.links import EDGE_KEYS, count_links, link_rows, merge_edges, parse_pages
+from linkrank.operators.links import count_links, link_rows, merge_edges, parse_pages
+from linkrank.sinks.tables import write_edges, writers_per_type
 from linkrank.sources.crawl import CORRUPT_COLUMN, not_a_ledger, page_schema
 from linkrank.sources.graph import EDGES, PAGE_LINKS
 
@@ -54,13 +55,14 @@ def ingest_links(
     rows = parse_pages(
         pages, url_col=url_col, html_col=html_col, link_types=link_types, corrupt_col=corrupt_col
     )
-    return (
+    sink = (
         rows.writeStream.format("parquet")
         .partitionBy("link_type")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(out)
     )
+    with writers_per_type(pages.sparkSession):  # the query takes a copy of the settings
+        return sink.start(out)
 
 
 def stream_links(
@@ -101,6 +103,4 @@ def read_edge_counts(spark: SparkSession, out: str) -> DataFrame:
 
 def compact_edge_counts(spark: SparkSession, out: str, target: str) -> None:
     """Write the sum over all batches as one table partitioned by type."""
-    read_edge_counts(spark, out).select(*EDGE_KEYS, "weight").write.mode("overwrite").partitionBy(
-        "link_type"
-    ).parquet(target)
+    write_edges(read_edge_counts(spark, out), target)

@@ -5,6 +5,7 @@ from dataclasses import replace
 import pytest
 
 import linkrank
+from linkrank.__main__ import main
 from linkrank.options import Options
 from linkrank.plans.full_run import audit_stage, run_pipeline
 
@@ -114,3 +115,16 @@ def test_stored_graph(spark, tmp_path):
 
 def test_public_names():
     assert all(getattr(linkrank, name) for name in linkrank.__all__)
+
+
+def test_command_line(spark, crawl, tmp_path):
+    src, out = crawl
+    settings = {**SETTINGS, "types to parse": ["type3"], "output sorted lists by each attribute": "no"}
+    (tmp_path / "settings.json").write_text(json.dumps(settings, indent=1))
+    main(["run", str(src), str(out), "--settings", str(tmp_path / "settings.json")])
+    assert read_csv(spark, out / "metrics/type3/link_attributes_filtered") == ["b.com"]
+    graph = str(out / "metrics/type3/node_connectivity")
+    main(["edge-table", graph, str(tmp_path / "edges")])
+    assert spark.read.option("header", True).csv(str(tmp_path / "edges")).columns == [
+        "src", "dst", "weight", "dstcount"
+    ]

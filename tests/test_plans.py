@@ -1,5 +1,6 @@
 """What the physical plans must look like at any size."""
 
+import os
 import re
 from contextlib import contextmanager
 
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 
 from linkrank.operators import graph, links
 from linkrank.operators.pagerank import _layout, _step
-from linkrank.operators.staging import stage
+from linkrank.operators.staging import clear_scratch, stage
+from linkrank.sinks.tables import write_page_links
 
 EDGES = "src string, dst string, weight bigint"
 
@@ -100,3 +102,25 @@ def test_pagerank_step_leaves_the_edges_in_place(spark, hub_edges):
         placed.unpersist()
     edges_side = plan[plan.index("SortMergeJoin") : plan.index("InMemoryRelation")]
     assert not re.search("Exchange|Sort \\[", edges_side)
+
+
+def last_plan(spark):
+    store = spark._jsparkSession.sharedState().statusStore()
+    runs = store.executionsList()
+    return runs.apply(runs.size() - 1).physicalPlanDescription()
+
+
+def test_writing_by_type_does_not_sort(spark, tmp_path):
+    pages = spark.createDataFrame([("http://a.com", "<a href=/x>")], "url string, raw_content string")
+    write_page_links(links.parse_pages(pages), str(tmp_path / "links"))
+    assert "link_type" in last_plan(spark) and "Sort" not in last_plan(spark)
+    assert len(list((tmp_path / "links").glob("link_type=*"))) == 3
+
+
+def test_scratch_is_cleared(spark):
+    table = stage(spark.range(3), "short-lived")
+    folder = table.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    folder = "/" + folder.lstrip("/")
+    assert os.path.isdir(folder)
+    clear_scratch(spark)
+    assert not os.path.isdir(folder)
