@@ -83,6 +83,35 @@ def crawl_json_scan(spark, sf_dir):
     return rows.select("url", F.length("raw_content").alias("html_chars"))
 
 
+def _json_lines(rows: DataFrame) -> DataFrame:
+    return rows.select(F.to_json(F.struct("url", F.col("html").alias("raw_content"))).alias("value"))
+
+
+def _broken_lines(rows: DataFrame) -> DataFrame:
+    return rows.select(F.concat(F.lit('{"url": '), F.col("url")).alias("value"))
+
+
+def _outcome(page_links: DataFrame) -> DataFrame:
+    return page_links.select(
+        "link_type",
+        "parent_url",
+        F.when(F.col("link_type") != links.CORRUPT, F.size("child_links")).alias("links"),
+        "bad_record",
+    )
+
+
+@query
+def quarantined_rows(spark, sf_dir):
+    """Crawl files in which every other line is not JSON."""
+    path, rows = scratch_path(spark, "crawl"), pages(spark, sf_dir)
+    lines = _json_lines(rows).unionByName(_broken_lines(rows))
+    lines.write.text(path, compression="gzip")
+    parsed = links.parse_pages(
+        crawl.read_pages(spark, path), corrupt_col=crawl.CORRUPT_COLUMN
+    )
+    return _outcome(parsed)
+
+
 @query
 def extract_links(spark, sf_dir):
     raw = links.list_raw_links(pages(spark, sf_dir), url_col="url", html_col="html")
@@ -495,6 +524,14 @@ def pending_inputs(spark, sf_dir):
     return audit.pending_inputs(inputs, outputs)
 
 
+@query
+def audit_log(spark, sf_dir):
+    path = scratch_path(spark, "audit-log")
+    tables.append_audit_log(_rounded(_audit(spark, sf_dir), "missing_pct"), path)
+    schema = "crawl_file string, n_in bigint, n_out bigint, missing_pct double, complete boolean"
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
 # ---- streaming ---------------------------------------------------------------------------
 
 
@@ -533,6 +570,28 @@ def incremental_edges(spark, sf_dir):
     return ingest.read_edge_counts(spark, out)
 
 
+@query
+def running_edges(spark, sf_dir):
+    arriving = ingest.stream_links(spark, _ingested(spark, sf_dir))
+    out = scratch_path(spark, "running-counts")
+    ingest.keep_running_counts(
+        arriving, out, scratch_path(spark, "stream-checkpoint")
+    ).awaitTermination()
+    return stored.read_edges(spark, out, URL_TYPES).select(*links.EDGE_KEYS, "weight")
+
+
+@query
+def incremental_arrivals(spark, sf_dir):
+    """Readable files arrive first, broken ones later; each run reads only what is new."""
+    folder, out = scratch_path(spark, "arrivals"), scratch_path(spark, "stream-links")
+    state, rows = scratch_path(spark, "stream-checkpoint"), pages(spark, sf_dir)
+    for lines in (_json_lines(rows), _broken_lines(rows)):
+        lines.write.mode("append").text(folder, compression="gzip")
+        ingest.ingest_links(ingest.stream_pages(spark, folder), out, state).awaitTermination()
+    schema = "parent_url string, child_links array<string>, bad_record string, link_type string"
+    return _outcome(spark.read.schema(schema).parquet(out))
+
+
 @query
 def hosts_by_outlinks(spark, sf_dir):
     """Flagship: raw pages -> links -> hosts ranked by number of out-links."""

@@ -173,7 +173,21 @@ def oracle_sql() -> dict[str, str]:
     weighted = _with(f"{_edge_ctes()}, {_DEGREES}, {_WEIGHTED}", "", True)
     unweighted = _with(f"{_edge_ctes()}, {_DEGREES}, {_UNWEIGHTED}", "", True)
 
+    outcome = _with(
+        _PAGE_HREFS,
+        " union all ".join(
+            f"select '{t}' as link_type, {_name('url', t)} as parent_url,"
+            " len(list_filter(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1), lambda h:"
+            " starts_with(h, '/') or starts_with(h, 'http')))::integer as links,"
+            " null::varchar as bad_record from pages"
+            for t in c.URL_TYPES
+        )
+        + " union all select 'corrupt', null, null, concat('{\"url\": ', url) from pages",
+    )
+
     sql = {
+        "quarantined_rows": outcome,
+        "incremental_arrivals": outcome,
         "ingest_rows": "select page_id, url, length(html)::integer as html_chars from pages where url is not null",
         "crawl_json_scan": "select url, length(html)::integer as html_chars from pages",
         "extract_links": page_extract,
@@ -285,6 +299,9 @@ sliced as (
         "completeness_audit": _with(
             _AUDIT, f"select crawl_file, n_in, n_out, {_r('missing_pct')}, complete from verdict"
         ),
+        "audit_log": _with(
+            _AUDIT, f"select crawl_file, n_in, n_out, {_r('missing_pct')}, complete from verdict"
+        ),
         "completeness_totals": _with(
             _AUDIT,
             "select count(*) as files, count(*) filter (complete) as passed,"
@@ -296,6 +313,7 @@ sliced as (
         ),
         "incremental_links": page_links,
         "incremental_edges": _with(_PAGE_HREFS, edge_counts.format(_links(source="page_cleaned"))),
+        "running_edges": _with(_PAGE_HREFS, edge_counts.format(_links(source="page_cleaned"))),
         "hosts_by_outlinks": _with(
             f"{_PAGE_HREFS}, edges as (select src, dst, count(*) as weight from"
             f" ({_links(['type2'], source='page_cleaned')}) where length(src) > 1 group by src, dst),"

@@ -82,6 +82,22 @@ def running_edge_counts(links: DataFrame) -> DataFrame:
     return count_links(links)
 
 
+def keep_running_counts(links: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Replace ``out`` by the counts so far after every trigger."""
+
+    def write(counts: DataFrame, batch_id: int) -> None:
+        write_edges(counts, out)
+
+    return (
+        running_edge_counts(links)
+        .writeStream.outputMode("complete")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def ingest_edge_counts(links: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Counts of each micro-batch to a folder of its own; replaying a batch replaces it."""
 
