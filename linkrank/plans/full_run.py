@@ -157,6 +157,9 @@ def run_pipeline(
     stage before, so a run can be repeated, or resumed by calling a later stage.
     """
     options = options or Options()
+    missing = set(options.link_types) - set(options.parse_types)
+    if missing:
+        raise ValueError(f"cannot count {sorted(missing)}: the parse stage does not write them")
     parse_stage(spark, src, out, options, extracted)
     count_stage(spark, out, options)
     return {t: metrics_stage(spark, out, t, options) for t in options.link_types}

@@ -102,6 +102,11 @@ def test_extracted_run_by_name(spark, tmp_path):
     assert {r["url"] for r in tables["type2"].collect()} == {"www.a.com", "b.com", "www.error.com"}
 
 
+def test_counting_unparsed_types_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="type2"):
+        run_pipeline(spark, str(tmp_path), str(tmp_path), Options(parse_types=("type1",)))
+
+
 def test_stored_graph(spark, tmp_path):
     stored = {"a.com": {"b.com": 3, "c.com": 1}, "b.com": {"c.com": 2}, "empty.com": {}}
     (tmp_path / "graph.json").write_text(json.dumps(stored))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from linkrank.operators.attributes import FEATURES, url_attributes
 from linkrank.operators.graph import build_index, graph_nodes
-from linkrank.operators.pagerank import NotConverged, pagerank
+from linkrank.operators.pagerank import NotConverged, _partitions, pagerank
 
 EDGES = "src string, dst string, weight bigint"
 
@@ -100,6 +100,13 @@ def test_not_converged_raises_and_frees_the_cache(spark):
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
 
 
+@pytest.mark.parametrize(
+    "rows, expected", [(1, 1), (150_000, 2), (10**6, 4), (10**9, 100), (10**13, 50_000)]
+)
+def test_layout_partitions(spark, rows, expected):
+    assert _partitions(spark, rows) == expected
+
+
 def test_empty_graph(spark):
     assert pagerank(spark.createDataFrame([], EDGES)).collect() == []
 
