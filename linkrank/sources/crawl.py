@@ -1,8 +1,9 @@
 """Crawl input: JSON lines, plain or gzip, one object per page.
 
 Rows that are not JSON keep their text in ``_corrupt_record`` instead of failing the
-file.  A gzip file is one task from scan to link extraction; raw pages are not shuffled
-unless ``min_partitions`` asks for it because a few large files would idle the cluster.
+file.  A gzip file is one task from scan to link extraction, and raw pages are not
+shuffled, with two exceptions: files larger than one core's share of the input are spread
+after reading, and ``min_partitions`` spreads a scan that has too few tasks.
 """
 
 from __future__ import annotations
@@ -33,6 +34,24 @@ def not_a_ledger():
     return ~F.endswith(F.col("_metadata.file_name"), F.lit("txt"))
 
 
+MIN_SPREAD_BYTES = 256 << 20
+
+
+def oversized_gzip(spark: SparkSession, path: str | list[str]) -> int | None:
+    """Size above which a gzip file would hold up its stage, if there is such a file."""
+    gzip = F.endswith(F.col("_metadata.file_name"), F.lit(".gz"))
+    sizes = (
+        spark.read.format("binaryFile")
+        .load(path)
+        .filter(not_a_ledger())
+        .agg(F.sum("length").alias("total"), F.max(F.when(gzip, F.col("length"))).alias("largest"))
+        .first()
+    )
+    share = (sizes["total"] or 0) // spark.sparkContext.defaultParallelism
+    limit = max(MIN_SPREAD_BYTES, share)
+    return limit if (sizes["largest"] or 0) > limit else None
+
+
 def spread(rows: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Shuffle the rows of a scan that has fewer tasks than the cluster has cores.
 
@@ -43,14 +62,24 @@ def spread(rows: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
 
 def _read(spark: SparkSession, path, schema, fail_fast: bool, min_partitions: int | None):
-    rows = (
+    scan = (
         spark.read.schema(schema)
         .option("mode", "FAILFAST" if fail_fast else "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         .json(path)
         .filter(not_a_ledger())
-        .withColumn(FILE_COLUMN, F.col("_metadata.file_name"))
     )
+    limit = oversized_gzip(spark, path)
+    rows = scan.withColumn(FILE_COLUMN, F.col("_metadata.file_name"))
+    if limit is not None:
+        # Conditions on file metadata choose files, so no file is read twice.
+        large = (F.col("_metadata.file_size") > limit) & F.endswith(FILE_COLUMN, F.lit(".gz"))
+        sized = rows.withColumn("_large", large)
+        rows = (
+            sized.filter(~F.col("_large"))
+            .unionByName(sized.filter("_large").repartition(spark.sparkContext.defaultParallelism))
+            .drop("_large")
+        )
     return spread(rows, min_partitions) if min_partitions else rows
 
 

@@ -38,6 +38,25 @@ def test_crawl_scan(spark, crawl_folder, rows):
     assert crawl.read_pages(spark, crawl_folder, min_partitions=9).rdd.getNumPartitions() == 9
 
 
+def test_a_gzip_file_that_holds_most_of_the_crawl_is_spread(spark, crawl_folder, rows, monkeypatch):
+    import random
+
+    noise = random.Random(1)
+    with gzip.open(f"{crawl_folder}/huge.jl.gz", "wt") as out:
+        for i in range(2000):
+            page = {"url": f"http://h{i}.com", "raw_content": str(noise.random())}
+            out.write(json.dumps(page) + "\n")
+    usual = crawl.read_pages(spark, crawl_folder)
+    assert "Union" not in usual._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(crawl, "MIN_SPREAD_BYTES", 4096)
+    spreading = crawl.read_pages(spark, crawl_folder)
+    assert rows(spreading) == rows(usual)
+    tasks = spreading.filter("crawl_file = 'huge.jl.gz'").groupBy(F.spark_partition_id()).count()
+    assert tasks.count() == spark.sparkContext.defaultParallelism
+    plan = spreading._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" in plan
+
+
 def test_fail_fast(spark, crawl_folder):
     with pytest.raises(Exception, match="(?i)malformed"):
         crawl.read_pages(spark, crawl_folder, fail_fast=True).collect()
