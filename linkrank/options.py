@@ -35,6 +35,7 @@ class Options:
     sort_by: str = "outdeg"
     write_sorted: bool = True
     write_sorted_filtered: bool = True
+    write_connectivity: bool = True  # the graph once more, as JSON maps
     exclude_top_pagerank: int = 0
     exclude_urls: tuple[str, ...] = ()
     exclude_path: str | None = None

@@ -111,12 +111,13 @@ def measure(
 ) -> DataFrame:
     """Index, graph export, attributes and rankings of one graph, written below ``folder``.
 
-    ``edges`` (src, dst, weight) should be a stored table; ``parents`` (src) are all pages.
+    ``edges`` (src, dst, weight) and ``parents`` (src, all pages) should be stored tables.
     """
     names = graph_nodes(edges, parents)
     index = build_index(names) if earlier_index is None else extend_index(earlier_index, names)
     index = write_and_read(index, f"{folder}/{INDEX}")
-    tables.write_connectivity(node_connectivity(edges, parents), f"{folder}/node_connectivity")
+    if options.write_connectivity:
+        tables.write_connectivity(node_connectivity(edges, parents), f"{folder}/node_connectivity")
 
     attributes = write_and_read(
         url_attributes(
@@ -137,7 +138,8 @@ def measure(
 def metrics_stage(spark: SparkSession, out: str, link_type: str, options: Options) -> DataFrame:
     """:func:`measure` on the stored links and edges of one granularity."""
     edges = read_edges(spark, f"{out}/edges", [link_type]).select("src", "dst", "weight")
-    parents = known_parents(read_page_links(spark, f"{out}/links", [link_type])).select("src")
+    pages = read_page_links(spark, f"{out}/links", [link_type])
+    parents = stage(known_parents(pages).select("src"), "parents")
     earlier = None
     if options.previous_run:
         earlier = read_index(spark, f"{options.previous_run}/metrics/{link_type}/{INDEX}")

@@ -1,3 +1,6 @@
+import random
+from urllib.parse import unquote
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,3 +113,46 @@ def test_children(spark, href, link, kind):
         urls.resolve_child(F.lit("http://p.com/a"), decoded), urls.link_disposition(decoded)
     )
     assert tuple(row.first()) == (link, kind)
+
+
+def test_random_escapes_against_a_plain_loop(spark):
+    rng = random.Random(5)
+    pieces = ["%", "%25", "%2525", "%41", "%2B", "+", "%3a", "%zz", "%4", "a", "/", "2", "5", "F", " "]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(0, 9))) for _ in range(1000)]
+
+    def expected(text):
+        for _ in range(5):
+            if "%" in text:
+                text = unquote(text)
+        return text
+
+    decoded = spark.createDataFrame([(t,) for t in texts], "u string").select(
+        "u", urls.unquote(F.col("u")).alias("d")
+    )
+    assert [(r["u"], r["d"]) for r in decoded.collect() if r["d"] != expected(r["u"])] == []
+
+
+def test_random_hosts_against_plain_string_work(spark):
+    rng = random.Random(6)
+    pieces = ["http://", "https://", "http:/", "www.", "a.", "co.", "uk", "com", "/", "?", "#", ".", "x", ":8"]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(0, 9))) for _ in range(1000)]
+
+    def host(text):
+        for scheme in ("http://", "https://", "http:/", "https:/"):
+            text = text.replace(scheme, "")
+        for mark in "/?#":
+            text = text.partition(mark)[0]
+        return text.replace("www.", "")
+
+    def domain(name):
+        labels = name.split(".")
+        return ".".join(labels[-3:] if ".co." in name else labels[-2:])
+
+    url = F.col("u")
+    named = spark.createDataFrame([(t,) for t in texts], "u string").select(
+        "u", urls.normalize(url, "type2").alias("h"), urls.normalize(url, "type3").alias("d")
+    )
+    wrong = [
+        tuple(r) for r in named.collect() if (r["h"], r["d"]) != (host(r["u"]), domain(host(r["u"])))
+    ]
+    assert wrong == []
