@@ -14,6 +14,126 @@ SELECT page_id, payload_bytes,
 FROM d JOIN k USING (h)
 """
 
+WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    "'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
+)
+
+MINHASH = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {WORDS} AS ws FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS sh
+    FROM w, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS t(i)
+    WHERE len(ws) > 0
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+    FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id <> y.doc_id GROUP BY 1, 2
+),
+e AS (
+    SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+    WHERE 100 * c >= 75 * (na.n + nb.n - c)
+),
+r AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT r.a, e.b FROM r JOIN e ON r.b = e.a
+),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, c.doc_id = component_id AS kept
+FROM c LEFT JOIN n USING (doc_id)
+"""
+
+ALNUM = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
+DECONTAMINATION = f"""
+WITH d AS (SELECT doc_id, {ALNUM} AS ws FROM documents),
+b AS (SELECT item_id, {ALNUM} AS ws FROM benchmark),
+bw AS (
+    SELECT DISTINCT item_id, least(len(ws), 13) AS l, array_to_string(ws[i : i + least(len(ws), 13) - 1], ' ') AS k
+    FROM b, unnest(range(1, len(ws) - least(len(ws), 13) + 2)) AS t(i)
+    WHERE len(ws) > 0
+),
+dw AS (
+    SELECT doc_id, l, i, array_to_string(ws[i : i + l - 1], ' ') AS k
+    FROM d, (SELECT DISTINCT l FROM bw), unnest(range(1, len(ws) - l + 2)) AS t(i)
+    WHERE len(ws) >= l
+),
+h AS (SELECT DISTINCT doc_id, i, l, item_id FROM dw JOIN bw USING (l, k)),
+n AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT DISTINCT doc_id, i, l FROM h), unnest(range(i, i + l)) AS t(p) GROUP BY doc_id
+),
+m AS (
+    SELECT doc_id, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS s
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM h) GROUP BY doc_id
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(s, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
+RULES = """
+WITH w AS (
+    SELECT doc_id, lang, source, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws
+    FROM documents
+),
+l AS (
+    SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
+    FROM w, unnest(string_split(text, chr(10))) AS t(line)
+    WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id
+),
+g AS (
+    SELECT doc_id, i, array_to_string(ws[i : i + 7], ' ') AS k
+    FROM w, unnest(range(1, len(ws) - 6)) AS t(i) WHERE len(ws) >= 8
+),
+r AS (
+    SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+    FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS c FROM g), unnest(range(i, i + 8)) AS t(p)
+    WHERE c > 1 GROUP BY doc_id
+),
+c AS (
+    SELECT doc_id, lang, source, len(ws) AS n_words,
+           length(array_to_string(ws, '')) AS word_chars,
+           length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+           coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+    FROM w LEFT JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)
+),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM c),
+m AS (
+    SELECT doc_id, lang, source, unnest([
+        {'m': 'symbols', 'v': 1000 * n_symbols // word_chars, 'slack': 100, 'two': false},
+        {'m': 'repeats', 'v': 1000 * n_repeat_words // n_words, 'slack': 100, 'two': false},
+        {'m': 'lines', 'v': 1000 * n_dup_lines // n_words, 'slack': 50, 'two': false},
+        {'m': 'length', 'v': least(1000, 10 * word_chars // n_words), 'slack': 20, 'two': true}]) AS x
+    FROM f WHERE NOT base_failed
+),
+q AS (
+    SELECT lang, source, x.m AS m, quantile_disc(x.v, 0.25) AS q1, quantile_disc(x.v, 0.75) AS q3
+    FROM m GROUP BY ALL
+),
+o AS (
+    SELECT doc_id, bool_or(x.v > q3 + 3 * (q3 - q1) + x.slack
+                           OR (x.two AND x.v < q1 - 3 * (q3 - q1) - x.slack)) AS out_of_fences
+    FROM m JOIN q ON m.lang IS NOT DISTINCT FROM q.lang AND m.source IS NOT DISTINCT FROM q.source AND m.x.m = q.m
+    GROUP BY doc_id
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce(out_of_fences, true) AS kept
+FROM f LEFT JOIN o USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc": WARC}
+    return {
+        "op4_warc": WARC,
+        "op6_minhash": MINHASH,
+        "op7_decontamination": DECONTAMINATION,
+        "op8_quality_rules": RULES,
+    }

@@ -35,6 +35,25 @@ def op4_warc(spark, sf_dir):
     return archive_pages(table(spark, sf_dir, "pages"))
 
 
+def op6_minhash(spark, sf_dir):
+    from linkrank.llm.minhash import near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op7_decontamination(spark, sf_dir):
+    from linkrank.llm.decontaminate import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_quality_rules(spark, sf_dir):
+    from linkrank.llm.rules import judged
+
+    return judged(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark, sf_dir):
     from linkrank.llm.wordpiece import token_counts
 
@@ -42,5 +61,5 @@ def op10_token_counts(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_bpe, op2_token_files, op4_warc, op10_token_counts]
+    found = [op1_bpe, op2_token_files, op4_warc, op6_minhash, op7_decontamination, op8_quality_rules, op10_token_counts]
     return {q.__name__: q for q in found}

@@ -69,3 +69,25 @@ def labelled_sample(labels: DataFrame, target: str, most: int) -> DataFrame:
         for value in (0, 1)
     ]
     return picked[0].unionByName(picked[1]).select("doc_id", "label")
+
+
+def bitmap(slots: DataFrame, bits: int):
+    """The distinct values of the only column, each below ``bits``, as a numpy bitmap of int64.
+
+    ``bits`` is a fixed parameter, so what reaches the driver does not grow with the rows.
+    """
+    import numpy as np
+
+    slot = F.col(slots.columns[0])
+    out = np.zeros(bits // 64, dtype=np.int64)
+    packed = slots.groupBy((slot / 64).cast("int").alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))).alias("bits")
+    )
+    for row in packed.toLocalIterator():
+        out[row["word"]] = row["bits"]
+    return out
+
+
+def in_bitmap(bits, slots):
+    """Which of an array of slots are set."""
+    return (bits[slots >> 6] >> (slots & 63)) & 1 == 1
