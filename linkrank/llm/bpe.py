@@ -10,8 +10,8 @@ the vocabulary's strings and maps their characters back to bytes.
 from __future__ import annotations
 
 import hashlib
-import heapq
 import json
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +25,9 @@ from linkrank.llm.text import pieces, strings
 #: Fixed value: the pattern that this vocabulary's texts are cut by before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-_SHIFT = 24
-_PLACE = (1 << 40) - 1
+#: An entry of the queue is rank << _SHIFT | place.
+_SHIFT = 40
+_PLACE = (1 << _SHIFT) - 1
 
 
 def byte_characters() -> list[str]:
@@ -49,11 +50,11 @@ class Bpe:
         self.strings = {i: bytes(map(to_byte.__getitem__, s)) for s, i in vocabulary.items()}
         self.strings.update((i, s.encode()) for s, i in self.special.items())
         self.of_byte = [vocabulary[c] for c in characters]
-        self.rank_of: dict[int, int] = {}
+        self.rank_of: dict[tuple[int, int], int] = {}
         self.merged: list[int] = []
         for rank, pair in enumerate(merges):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.rank_of.setdefault(vocabulary[left] << _SHIFT | vocabulary[right], rank)
+            self.rank_of.setdefault((vocabulary[left], vocabulary[right]), rank)
             self.merged.append(vocabulary[left + right])
         self.parts = regex.compile(PATTERN).findall
         self.cut_special = (
@@ -69,31 +70,33 @@ class Bpe:
         if n < 2:
             return symbols
         rank_of, merged = self.rank_of.get, self.merged
-        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        queue = []
-        for i in range(n - 1):
-            rank = rank_of(symbols[i] << _SHIFT | symbols[i + 1])
-            if rank is not None:
-                queue.append(rank << 40 | i)
-        heapq.heapify(queue)
+        # The rank of the pair that begins at each place now: entries of the queue that differ
+        # from it are stale.
+        current = [*map(rank_of, zip(symbols, symbols[1:])), None]
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        queue = [rank << _SHIFT | i for i, rank in enumerate(current) if rank is not None]
+        heapify(queue)
         while queue:
-            entry = heapq.heappop(queue)
-            rank, i = entry >> 40, entry & _PLACE
+            entry = heappop(queue)
+            rank, i = entry >> _SHIFT, entry & _PLACE
+            if current[i] != rank:
+                continue
             j = after[i]
-            if symbols[i] < 0 or j < 0 or rank_of(symbols[i] << _SHIFT | symbols[j]) != rank:
-                continue  # stale
-            symbols[i], symbols[j] = merged[rank], -1
+            symbol = symbols[i] = merged[rank]
+            symbols[j], current[j] = -1, None
             k = after[i] = after[j]
-            if k >= 0:
+            rank = None
+            if k < n:
                 before[k] = i
-                rank = rank_of(symbols[i] << _SHIFT | symbols[k])
+                rank = rank_of((symbol, symbols[k]))
                 if rank is not None:
-                    heapq.heappush(queue, rank << 40 | i)
+                    heappush(queue, rank << _SHIFT | i)
+            current[i] = rank
             h = before[i]
             if h >= 0:
-                rank = rank_of(symbols[h] << _SHIFT | symbols[i])
+                rank = current[h] = rank_of((symbols[h], symbol))
                 if rank is not None:
-                    heapq.heappush(queue, rank << 40 | h)
+                    heappush(queue, rank << _SHIFT | h)
         return [s for s in symbols if s >= 0]
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:

@@ -30,7 +30,9 @@ def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     # Certainly no white space: ASCII other than blanks and controls, or a letter of two bytes.
     plain = ((before > 32) & (before < 127)) | ((before >= 128) & (before2 >= 0xC3) & (before2 < 0xE0))
     plain |= ((after > 32) & (after < 127)) | ((after >= 0xC3) & (after < 0xE0))
-    bounds = np.union1d(offsets.astype(np.int64), space[plain])
+    begins = np.zeros(len(data) + 1, bool)
+    begins[space[plain]] = begins[offsets] = True
+    bounds = np.flatnonzero(begins)
     chunks = pa.StringArray.from_buffers(
         len(bounds) - 1,
         pa.py_buffer(bounds.astype(np.int32)),

@@ -35,6 +35,12 @@ def op4_warc(spark, sf_dir):
     return archive_pages(table(spark, sf_dir, "pages"))
 
 
+def op5_quality(spark, sf_dir):
+    from linkrank.llm.quality import quality_scores
+
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_minhash(spark, sf_dir):
     from linkrank.llm.minhash import near_duplicates
 
@@ -54,6 +60,12 @@ def op8_quality_rules(spark, sf_dir):
     return judged(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark, sf_dir):
+    from linkrank.llm.toxicity import toxicity_scores
+
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_token_counts(spark, sf_dir):
     from linkrank.llm.wordpiece import token_counts
 
@@ -61,5 +73,5 @@ def op10_token_counts(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_bpe, op2_token_files, op4_warc, op6_minhash, op7_decontamination, op8_quality_rules, op10_token_counts]
+    found = [op1_bpe, op2_token_files, op4_warc, op5_quality, op6_minhash, op7_decontamination, op8_quality_rules, op9_toxicity, op10_token_counts]
     return {q.__name__: q for q in found}

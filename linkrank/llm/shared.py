@@ -50,10 +50,11 @@ def remainder(column: str | Column) -> Column:
 
 
 def labelled_sample(labels: DataFrame, target: str, most: int) -> DataFrame:
-    """(doc_id, label): at most ``most`` training rows of each label, the same for the same rows.
+    """(doc_id, label, weight): at most ``most`` training rows of each label.
 
-    Rows without id or label, held-out rows (remainder 0) and ids with both labels are left
-    out.  The bound on the result makes it safe to broadcast.
+    The same rows give the same sample.  Rows without id or label, held-out rows (remainder 0)
+    and ids with both labels are left out.  ``weight`` is the number of usable rows of the label
+    that a row stands for.  The bound on the result makes it safe to broadcast.
     """
     usable = (
         labels.select("doc_id", F.col(target).cast("int").alias("label"))
@@ -64,11 +65,15 @@ def labelled_sample(labels: DataFrame, target: str, most: int) -> DataFrame:
         .filter(F.col("label") == F.col("other"))
         .select("doc_id", "label", F.xxhash64("doc_id").alias("draw"))
     )
+    totals = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}  # two rows
     picked = [
-        usable.filter(F.col("label") == value).orderBy("draw", "doc_id").limit(most)
+        usable.filter(F.col("label") == value)
+        .orderBy("draw", "doc_id")
+        .limit(most)
+        .withColumn("weight", F.lit(max(1.0, totals.get(value, 0) / most)))
         for value in (0, 1)
     ]
-    return picked[0].unionByName(picked[1]).select("doc_id", "label")
+    return picked[0].unionByName(picked[1]).select("doc_id", "label", "weight")
 
 
 def bitmap(slots: DataFrame, bits: int):
