@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, IntegerType
 
 from linkrank.llm import chunks
 from linkrank.llm.shared import ship
@@ -166,7 +167,7 @@ def encode_table(docs: DataFrame, tokenizer: str, text_col: str = "text", out: s
     ship(spark)
     content = spark.sparkContext.broadcast(_file(tokenizer))
     rest = [c for c in docs.columns if c != out]
-    schema = docs.select(*[f"`{c}`" for c in rest]).schema.add(out, "array<int>")
+    schema = docs.select(*[f"`{c}`" for c in rest]).schema.add(out, ArrayType(IntegerType()))
 
     def encode(batches):
         bpe, _ = worker_encoder(content.value)

@@ -24,7 +24,7 @@ DEPTH = 3
 LEAF = 10
 BINS = 32
 SHRINKAGE = 0.3
-LASSO = 2e-4
+LASSO = 1e-3
 STEPS = 400
 SEED = 5
 
@@ -181,12 +181,17 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality") -> RuleMode
 
 
 def scored(docs: DataFrame, model: RuleModel, out: str = "quality_score") -> DataFrame:
-    """``docs`` with the score of its text; other columns may have any name."""
+    """``docs`` with the score of its text; other columns may have any name.
+
+    The statistics go through a generator: Spark would otherwise write their expressions out
+    again at every condition of the rules, and below filters on the score.
+    """
     measures = statistics(F.coalesce("text", F.lit("")))
-    held = "__statistics"
-    features = RuleModel([f"{held}.{n}" for n in model.features], model.rules, model.intercept)
+    names = {n: f"__statistic_{n}" for n in model.features}
+    features = RuleModel([names[n] for n in model.features], model.rules, model.intercept)
     rest = [F.col(f"`{c}`") for c in docs.columns if c != out]
-    return docs.withColumn(held, F.struct(*[c.alias(n) for n, c in measures.items()])).select(
+    once = F.array(F.struct(*[c.alias(names[n]) for n, c in measures.items()]))
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.inline(once)).select(
         *rest, features.score().alias(out)
     )
 
