@@ -29,6 +29,12 @@ def op2_token_files(spark, sf_dir):
     return checksums(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_lm(spark, sf_dir):
+    from linkrank.llm.lm import scores
+
+    return scores(table(spark, sf_dir, "documents"))
+
+
 def op4_warc(spark, sf_dir):
     from linkrank.llm.warc import archive_pages
 
@@ -73,5 +79,5 @@ def op10_token_counts(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_bpe, op2_token_files, op4_warc, op5_quality, op6_minhash, op7_decontamination, op8_quality_rules, op9_toxicity, op10_token_counts]
+    found = [op1_bpe, op2_token_files, op3_lm, op4_warc, op5_quality, op6_minhash, op7_decontamination, op8_quality_rules, op9_toxicity, op10_token_counts]
     return {q.__name__: q for q in found}

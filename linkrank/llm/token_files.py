@@ -32,7 +32,8 @@ from linkrank.llm.text import pieces, strings
 from linkrank.operators.staging import scratch_path, write_and_read
 
 END_ID = 0
-READ_IDS = 1 << 21
+#: Chunks that go to the library in one call.
+JOINED = 1_000
 
 SHARD = "shard int, path string, width int, docs long, null_ids long, tokens long"
 
@@ -55,11 +56,30 @@ def worker_tokenizer(content: bytes):
         tokenizer.no_truncation()
         tokenizer.no_padding()
         width = 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
+        special = {i: t.content for i, t in tokenizer.get_added_tokens_decoder().items() if t.special}
+        mark, between = next(iter(special.items()), (None, None))
 
-        def encode(parts: list[str]) -> list[bytes]:
+        def each(parts: list[str]) -> list[bytes]:
             found = tokenizer.encode_batch_fast(parts, add_special_tokens=False)
             return [np.array(x.ids, number_type(width)).tobytes() for x in found]
 
+        def encode(parts: list[str]) -> list[bytes]:
+            """A special token cuts a text for certain: parts joined by it cost one call."""
+            if between is None or not parts:
+                return each(parts)
+            out: list[bytes] = []
+            for i in range(0, len(parts), JOINED):
+                own = parts[i : i + JOINED]
+                text = between.join(own)
+                if text.count(between) != len(own) - 1 or "" in own:
+                    out += each(own)
+                    continue
+                ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, number_type(width))
+                cuts = np.flatnonzero(ids == mark).tolist()
+                starts, stops = [0, *(c + 1 for c in cuts)], [*cuts, len(ids)]
+                out += [ids[a:b].tobytes() for a, b in zip(starts, stops, strict=True)]
+            return out
+
         _libraries[key] = chunks.Remembered(encode), width
     return _libraries[key]
 
