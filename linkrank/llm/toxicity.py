@@ -25,7 +25,7 @@ SAMPLE = 6_000
 SIZES = (3, 4, 5, 6)
 BUCKETS = 1 << 20
 #: Features: n-grams whose ratio is this many standard errors from zero, at most so many.
-CLEAR = 5.0
+CLEAR = 4.0
 FEATURES = 1 << 14
 THRESHOLD = 0.5
 RIDGE = 1e-6
