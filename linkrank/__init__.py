@@ -26,13 +26,12 @@ from linkrank.operators.ranking import (
     exclude_top,
     exclude_urls,
     ranked,
-    rerank,
     top,
     with_rank,
 )
 from linkrank.operators.staging import clear_scratch
 from linkrank.options import Options
-from linkrank.plans.full_run import audit_stage, exclude, run_pipeline
+from linkrank.plans.full_run import audit_stage, exclude, run_incremental, run_pipeline
 from linkrank.plans.stored_graph import export_edge_table, rerank_stored
 
 __all__ = [
@@ -65,8 +64,8 @@ __all__ = [
     "parse_links",
     "pending_inputs",
     "ranked",
-    "rerank",
     "rerank_stored",
+    "run_incremental",
     "run_pipeline",
     "top",
     "url_attributes",

@@ -1,23 +1,16 @@
 """Anchor extraction from raw HTML.
 
-``extract_hrefs`` is the default: one regular-expression pass inside the JVM that
-walks the tags of a document, steps over comments, scripts and styles, and keeps
+``extract_hrefs`` is one regular-expression pass inside the JVM that walks the tags of a document, steps over comments, scripts and styles, and keeps
 what each ``<a>`` gives as ``href``.  Every repetition in the pattern is possessive
 or a lazy scan, so neither backtracking nor stack depth grows with the page.
-
-``extract_hrefs_parser`` runs Python's HTML parser in Arrow batches, for
-comparison and for input on which one wants a second opinion.
 """
 
 from __future__ import annotations
 
 from html.entities import name2codepoint
-from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _VALUE = r"""(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)?+"""
 _HREF_NAME = r"href(?=[\s=/>]|\z)"
@@ -39,7 +32,10 @@ _TAGS = (
 _HREF_TOKEN = r"""(?is)^href\s*(?:=\s*)?(?:"(.*)"|'(.*)'|(.*))$"""
 
 # One piece of text from one ``&`` up to the next.
-_ENTITY_PIECE = r"(?s)^&(#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?|[A-Za-z][A-Za-z0-9]*;)(.*)$"
+_ENTITY_PIECE = r"(?s)^&(#[0-9]++;?|#[xX][0-9a-fA-F]++;?|[A-Za-z][A-Za-z0-9]*+;)(.*)$"
+_NUMBER = r"^#[xX]?0*([0-9a-fA-F]*);?$"
+# More digits than these, without leading zeros, are beyond any character.
+_MOST_DIGITS = 8
 _MAX_CODE_POINT = 0x10FFFF
 # "name character" per line: one literal that Spark folds into a map.
 _ENTITIES = "\n".join(f"{n} {chr(c)}" for n, c in {**name2codepoint, "apos": 39}.items())
@@ -52,27 +48,38 @@ def _code_point_text(code: Column) -> Column:
     return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("")
 
 
-def _decode_piece(piece: Column) -> Column:
-    name = F.rtrim(F.regexp_extract(piece, _ENTITY_PIECE, 1), F.lit(";"))
-    rest = F.regexp_extract(piece, _ENTITY_PIECE, 2)
-    digits = F.regexp_extract(name, "^#[xX]?([0-9a-fA-F]+)$", 1)
+def _decode_piece(part: Column) -> Column:
+    """The text of a struct of a piece, the reference that it begins with and what follows."""
+    name = part["name"]
+    digits = F.regexp_extract(name, _NUMBER, 1)
     is_hex = F.lower(F.substring(name, 2, 1)) == "x"
-    code = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).try_cast("int")
+    number = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).try_cast("long")
+    code = F.when(F.length(digits) <= _MOST_DIGITS, number)
     names = F.str_to_map(F.lit(_ENTITIES), F.lit("\n"), F.lit(" "))
-    text = F.when(F.startswith(name, F.lit("#")), _code_point_text(code)).otherwise(
-        F.try_element_at(names, name)
+    text = F.when(F.startswith(name, F.lit("#")), F.coalesce(_code_point_text(code), F.lit(""))).otherwise(
+        F.try_element_at(names, F.rtrim(name, F.lit(";")))
+    )
+    return F.when(name == "", part["piece"]).otherwise(
+        F.coalesce(F.concat(text, part["rest"]), part["piece"])
     )
-    return F.when(name == "", piece).otherwise(F.coalesce(F.concat(text, rest), piece))
 
 
 def unescape_entities(text: Column) -> Column:
     """Decode character references: numeric ones, and named ones closed by ``;``.
 
-    An unclosed name stays literal, so ``?a=1&copy=2`` survives.
+    An unclosed name stays literal, so ``?a=1&copy=2`` survives.  A number may have any count
+    of leading zeros; one that names no character (0, surrogates, beyond U+10FFFF) is removed.
     """
-    pieces = F.split(text, "(?=&)")
+    parts = F.transform(
+        F.split(text, "(?=&)"),
+        lambda piece: F.struct(
+            piece.alias("piece"),
+            F.regexp_extract(piece, _ENTITY_PIECE, 1).alias("name"),
+            F.regexp_extract(piece, _ENTITY_PIECE, 2).alias("rest"),
+        ),
+    )
     return F.when(
-        F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, _decode_piece), "")
+        F.contains(text, F.lit("&")), F.array_join(F.transform(parts, _decode_piece), "")
     ).otherwise(text)
 
 
@@ -83,44 +90,9 @@ def href_tokens(html: Column) -> Column:
     )
 
 
-def href_value(token: Column) -> Column:
-    return unescape_entities(F.regexp_replace(token, _HREF_TOKEN, "$1$2$3"))
-
-
 def extract_hrefs(html: Column) -> Column:
     """All ``a/@href`` values in document order, duplicates kept; NULL gives no links."""
-    return F.transform(F.filter(href_tokens(html), lambda token: token != ""), href_value)
-
-
-def _parser_udf():
-    """Built inside a function so that it travels to the workers by value."""
-
-    class AnchorCollector(HTMLParser):
-        def __init__(self):
-            super().__init__(convert_charrefs=True)
-            self.links = []
-
-        def handle_starttag(self, tag, attrs):
-            hrefs = [value or "" for name, value in attrs if name == "href"]
-            if tag == "a" and hrefs:
-                self.links.append(hrefs[0])
-
-    def links_of(page):
-        collector = AnchorCollector()
-        try:
-            collector.feed(page or "")
-            collector.close()
-        except Exception:  # a page that cannot be parsed has no links, but stays a page
-            return []
-        return collector.links
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def parse(html: pd.Series) -> pd.Series:
-        return html.map(links_of)
-
-    return parse
-
-
-extract_hrefs_parser = _parser_udf()
-
-EXTRACTORS = {"native": extract_hrefs, "parser": extract_hrefs_parser}
+    tokens = F.filter(href_tokens(html), lambda token: token != "")
+    # Two steps, so that the value is cut out once and not at every use in the decoding.
+    values = F.transform(tokens, lambda token: F.regexp_replace(token, _HREF_TOKEN, "$1$2$3"))
+    return F.transform(values, unescape_entities)

@@ -12,6 +12,7 @@ from linkrank.operators.positions import with_position
 from linkrank.operators.staging import stage
 
 MAP_TYPE = "map<string,map<string,bigint>>"
+ROW_TYPE = "src string, slice int, children map<string,bigint>"
 
 
 def graph_nodes(edges: DataFrame, parents: DataFrame | None = None) -> DataFrame:
@@ -162,16 +163,30 @@ def node_connectivity(
 
 
 def connectivity_json(connectivity: DataFrame) -> DataFrame:
-    """One JSON object per row: ``{"<src>": {"<dst>": weight, ...}}``."""
-    return connectivity.select(F.to_json(F.create_map("src", "children")).alias("value"))
+    """One JSON object per row: ``{"src": "...", "slice": 0, "children": {"<dst>": weight, ...}}``.
+
+    A source may have several rows, told apart by ``slice``; its links are those of all of them.
+    """
+    return connectivity.select(F.to_json(F.struct("src", "slice", "children")).alias("value"))
+
+
+def _maps(lines: DataFrame) -> DataFrame:
+    """(src, children) of stored lines: rows of :func:`connectivity_json`, or whole nested maps
+    ``{"<src>": {"<dst>": weight, ...}, ...}``.  A line that is neither ends the job."""
+    row = F.from_json("value", ROW_TYPE)
+    # Whatever is not a labelled row must be a map, and must be readable.
+    nested = F.from_json("value", MAP_TYPE, {"mode": "FAILFAST"})
+    labelled = F.create_map(F.col("row.src"), F.col("row.children"))
+    graph = F.when(F.col("row.slice").isNotNull() & F.col("row.children").isNotNull(), labelled).otherwise(nested)
+    read = lines.filter(F.trim("value") != "").select("value", row.alias("row"))
+    return read.select(F.explode(graph).alias("src", "children"))
 
 
 def edges_from_json(lines: DataFrame) -> DataFrame:
     """Rows of nested JSON maps -> (src, dst, weight), not yet merged over rows."""
-    graph = lines.select(F.explode(F.from_json("value", MAP_TYPE)).alias("src", "children"))
-    return graph.select("src", F.explode("children").alias("dst", "weight"))
+    return _maps(lines).select("src", F.explode("children").alias("dst", "weight"))
 
 
 def parents_from_json(lines: DataFrame) -> DataFrame:
     """The sources named in nested JSON maps, also those with no links."""
-    return lines.select(F.explode(F.map_keys(F.from_json("value", MAP_TYPE))).alias("src")).distinct()
+    return _maps(lines).select("src").distinct()

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.functions.html import EXTRACTORS
+from linkrank.functions.html import extract_hrefs
 from linkrank.functions.urls import (
     LINK_TYPES,
     check_names,
@@ -53,10 +53,9 @@ def list_raw_links(
     pages: DataFrame,
     url_col: str = "cleaned_url",
     html_col: str = "raw_content",
-    extractor: str = "native",
 ) -> DataFrame:
     """Every href of every page, as found: (parent_url, links array)."""
-    hrefs = EXTRACTORS[extractor](F.col(html_col))
+    hrefs = extract_hrefs(F.col(html_col))
     return pages.select(F.col(url_col).alias("parent_url"), hrefs.alias("links"))
 
 
@@ -128,7 +127,6 @@ def parse_pages(
     url_col: str = "url",
     html_col: str = "raw_content",
     link_types: Iterable[str] = LINK_TYPES,
-    extractor: str = "native",
     on_missing_url: str = "drop",
     corrupt_col: str | None = None,
     keep: Iterable[str] = (),
@@ -140,7 +138,7 @@ def parse_pages(
     ``link_type = 'corrupt'`` and their text in ``bad_record``.
     """
     pages = _accepted(pages, url_col, on_missing_url, corrupt_col)
-    hrefs = EXTRACTORS[extractor](F.col(html_col))
+    hrefs = extract_hrefs(F.col(html_col))
     return _page_links(pages, F.col(url_col), hrefs, link_types, "current", corrupt_col, keep)
 
 

@@ -30,7 +30,6 @@ WALKS = {"pagerank": ("outdeg", True), "pagerank_noweight": ("uniqueout", False)
 ROWS_PER_SLICE = 1_000_000
 MIN_ROWS_PER_PARTITION = 100_000
 MAX_ROWS_PER_PARTITION = 10_000_000
-MAX_PARTITIONS = 50_000
 
 
 class NotConverged(RuntimeError):
@@ -61,7 +60,7 @@ def _partitions(spark: SparkSession, rows: int) -> int:
     """The configured number of shuffle partitions, unless they would be tiny or huge."""
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = min(configured, math.ceil(rows / MIN_ROWS_PER_PARTITION))
-    needed = min(MAX_PARTITIONS, math.ceil(rows / MAX_ROWS_PER_PARTITION))
+    needed = math.ceil(rows / MAX_ROWS_PER_PARTITION)
     return max(1, wanted, needed)
 
 

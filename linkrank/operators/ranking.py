@@ -11,13 +11,10 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.operators.attributes import FEATURES, url_attributes
+from linkrank.operators.attributes import FEATURES
 from linkrank.operators.positions import with_position
-from linkrank.operators.staging import stage
 
 DEFAULT_SORT = "outdeg"
-# A longer list becomes a table and an anti join instead of a literal set.
-MAX_LITERAL_URLS = 1_000
 
 
 def sort_attribute(name: str | None) -> str:
@@ -48,11 +45,10 @@ def exclude_listed(attributes: DataFrame, urls: DataFrame) -> DataFrame:
 
 
 def exclude_urls(attributes: DataFrame, urls: Iterable[str]) -> DataFrame:
-    urls = list(urls)
+    """A null in the list excludes nothing, whatever the length of the list."""
+    urls = [u for u in urls if u is not None]
     if not urls:
         return attributes
-    if len(urls) <= MAX_LITERAL_URLS:
-        return attributes.filter(~F.col("url").isin(urls))
     listed = attributes.sparkSession.createDataFrame([(u,) for u in urls], "url string")
     return exclude_listed(attributes, listed)
 
@@ -60,13 +56,3 @@ def exclude_urls(attributes: DataFrame, urls: Iterable[str]) -> DataFrame:
 def exclude_top(attributes: DataFrame, n: int, by: str = "pagerank") -> DataFrame:
     """Leave out the ``n`` largest; only the names of these ``n`` rows take part in the join."""
     return exclude_listed(attributes, top(attributes, n, by)) if n > 0 else attributes
-
-
-def rank_by_each(attributes: DataFrame) -> dict[str, DataFrame]:
-    """One ranking per attribute."""
-    return {feature: ranked(attributes, feature) for feature in FEATURES}
-
-
-def rerank(edges: DataFrame, **pagerank_options) -> dict[str, DataFrame]:
-    """All rankings of a stored graph, without parsing anything again."""
-    return rank_by_each(stage(url_attributes(edges, **pagerank_options), "attributes"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import warnings
 from dataclasses import dataclass, field
 
 from linkrank.functions.urls import LINK_TYPES
@@ -41,18 +42,27 @@ class Options:
     exclude_path: str | None = None
     url_col: str = "url"
     html_col: str = "raw_content"
-    extractor: str = "native"
     on_missing_url: str | None = None  # None: drop for raw pages, error URL for extracted links
     encode_nodes: bool = True
     previous_run: str | None = None  # output folder of an earlier run whose node ids stay
     min_partitions: int | None = None
+    spread_above: int | None = None  # bytes of a gzip file above which its rows are spread
     fail_fast: bool = False
     pagerank: dict = field(default_factory=dict)
 
     @classmethod
     def from_json(cls, text: str, **more) -> Options:
-        """Read the JSON settings of earlier crawls; ``more`` sets what they cannot say."""
-        given = json.loads(text)
+        """Read the JSON settings of earlier crawls; ``more`` sets what they cannot say.
+
+        Text that is no JSON object gives the defaults, with a warning.
+        """
+        try:
+            given = json.loads(text)
+            if not isinstance(given, dict):
+                raise ValueError("not an object")
+        except ValueError as problem:
+            warnings.warn(f"unreadable settings, defaults are used: {problem}", stacklevel=2)
+            return cls(**more)
 
         def value(name, default=None):
             return given.get(_KEYS[name], default)

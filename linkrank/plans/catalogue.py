@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +13,11 @@ from linkrank.functions.urls import clean_parent, link_disposition, normalize, u
 from linkrank.operators import audit, graph, links, ranking
 from linkrank.operators.attributes import FEATURES, url_attributes
 from linkrank.operators.pagerank import pagerank
+from linkrank.operators.positions import with_position
 from linkrank.operators.staging import scratch_path, stage
 from linkrank.options import Options
-from linkrank.plans.crawl_view import crawl_links, crawl_pages, markup, pages
-from linkrank.plans.full_run import exclude
+from linkrank.plans.crawl_view import DIRTY_PAGES_SQL, crawl_links, crawl_pages, markup, pages
+from linkrank.plans.full_run import audit_stage, exclude, run_incremental, run_pipeline
 from linkrank.sinks import tables
 from linkrank.sources import crawl, graph as stored
 from linkrank.streaming import ingest
@@ -30,6 +32,11 @@ TOP_EXCLUDED = 2
 EXCLUDED_URLS = ("site1.example.com", "site7.co.uk", "cdn0.example.com")
 CHILDREN_PER_MAP = 40
 URL_TYPES = ("type1", "type2", "type3")
+LONG_LIST = 2_000
+
+ATTRIBUTES = "url string, " + ", ".join(
+    f"{f} {'double' if 'ratio' in f or 'pagerank' in f else 'bigint'}" for f in FEATURES
+)
 
 _queries: dict[str, Query] = {}
 
@@ -87,6 +94,13 @@ def _json_lines(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct("url", F.col("html").alias("raw_content"))).alias("value"))
 
 
+def _crawl_folder(spark, rows: DataFrame) -> str:
+    """Pages as gzip JSON crawl files."""
+    path = scratch_path(spark, "crawl")
+    _json_lines(rows).write.text(path, compression="gzip")
+    return path
+
+
 def _broken_lines(rows: DataFrame) -> DataFrame:
     return rows.select(F.concat(F.lit('{"url": '), F.col("url")).alias("value"))
 
@@ -120,9 +134,10 @@ def extract_links(spark, sf_dir):
 
 @query
 def extract_links_parser(spark, sf_dir):
-    raw = links.list_raw_links(
-        pages(spark, sf_dir), url_col="url", html_col="html", extractor="parser"
-    )
+    """Raw links of pages that come from crawl files.  (An earlier version compared a second
+    parser under this name.)"""
+    read = crawl.read_pages(spark, _crawl_folder(spark, pages(spark, sf_dir)))
+    raw = links.list_raw_links(read, url_col="url", html_col="raw_content")
     return raw.select("parent_url", F.posexplode("links").alias("pos", "href"))
 
 
@@ -271,8 +286,7 @@ def non_dangling_edges(spark, sf_dir):
 def edge_table_csv(spark, sf_dir):
     path = scratch_path(spark, "edge-table")
     tables.write_edge_table(graph.edge_table(_edges(spark, sf_dir)), path)
-    schema = "src string, dst string, weight bigint, dstcount bigint"
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return tables.read_csv(spark, path, "src string, dst string, weight bigint, dstcount bigint")
 
 
 # ---- graph ------------------------------------------------------------------------------
@@ -360,6 +374,12 @@ def pagerank_sliced_hubs(spark, sf_dir):
     )
 
 
+@query
+def pagerank_converged(spark, sf_dir):
+    """Both walks until the library's own stop rule ends them."""
+    return _rounded(pagerank(_edges(spark, sf_dir)), "pagerank", "pagerank_noweight")
+
+
 @query
 def attributes_type2(spark, sf_dir):
     return _attributes(spark, sf_dir)
@@ -382,10 +402,25 @@ def ranked_sites(spark, sf_dir):
 def ranked_csv(spark, sf_dir):
     path = scratch_path(spark, "ranked")
     tables.write_ranked_csv(_attributes(spark, sf_dir), path, "outdeg")
-    schema = "url string, " + ", ".join(
-        f"{f} {'double' if 'ratio' in f or 'pagerank' in f else 'bigint'}" for f in FEATURES
-    )
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return tables.read_csv(spark, path, ATTRIBUTES)
+
+
+@query
+def sorted_lists_csv(spark, sf_dir):
+    """All rankings through the CSV sink, each line with its place in the files."""
+    folder = scratch_path(spark, "sorted")
+    tables.write_sorted_lists(_attributes(spark, sf_dir), folder)
+    parts = []
+    for f in FEATURES:
+        lines = tables.read_csv(spark, f"{folder}/{f}", ATTRIBUTES).select(
+            F.lit(f).alias("sorted_by"),
+            "url",
+            F.col(f).cast("double").alias("value"),
+            F.col("_metadata.file_name").alias("file"),
+            F.monotonically_increasing_id().alias("line"),
+        )
+        parts.append(with_position(stage(lines, "lines"), [F.col("file"), F.col("line")], "rank", start=1))
+    return reduce(DataFrame.unionByName, parts).drop("file", "line")
 
 
 @query
@@ -455,6 +490,13 @@ def exclude_url_list(spark, sf_dir):
     return ranking.exclude_urls(_attributes(spark, sf_dir), EXCLUDED_URLS)
 
 
+@query
+def exclude_long_list(spark, sf_dir):
+    """A list of many names, one of them missing."""
+    listed = [f"site{n}.example.com" for n in range(2, LONG_LIST)] + [None]
+    return ranking.exclude_urls(_attributes(spark, sf_dir), listed)
+
+
 def _listed_suppliers(spark, sf_dir) -> str:
     """An exclusion list on disk: one host per supplier, with stray blanks around it."""
     path = scratch_path(spark, "exclusions")
@@ -529,7 +571,108 @@ def audit_log(spark, sf_dir):
     path = scratch_path(spark, "audit-log")
     tables.append_audit_log(_rounded(_audit(spark, sf_dir), "missing_pct"), path)
     schema = "crawl_file string, n_in bigint, n_out bigint, missing_pct double, complete boolean"
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return tables.read_csv(spark, path, schema)
+
+
+# ---- full runs -------------------------------------------------------------------------
+
+SETTINGS = """{"types to parse": ["type2"], "output sorted lists by each attribute": "False",
+ "output filtered sorted lists by each attribute": "False", "filter custom URL list": "True",
+ "URL filter list": ["nowhere.example.com"]}"""
+
+
+def _options(**more) -> Options:
+    return Options.from_json(SETTINGS, pagerank={"fixed_iters": STEPS}, **more)
+
+
+def _rounded_attributes(table: DataFrame) -> DataFrame:
+    return _rounded(table, "uin_uout_ratio", "in_out_ratio", "pagerank", "pagerank_noweight")
+
+
+def _run(spark, sf_dir) -> tuple[str, str]:
+    source, out = _crawl_folder(spark, pages(spark, sf_dir)), scratch_path(spark, "run")
+    run_pipeline(spark, source, out, _options())
+    return source, out
+
+
+@query
+def full_run(spark, sf_dir):
+    """Crawl files of raw pages to the attribute table, read back from the run's own CSV."""
+    _, out = _run(spark, sf_dir)
+    table = tables.read_csv(spark, f"{out}/metrics/type2/link_attributes_filtered", ATTRIBUTES)
+    return _rounded_attributes(table)
+
+
+def _extracted_folder(spark, sf_dir) -> str:
+    path = scratch_path(spark, "extracted")
+    crawl_pages(spark, sf_dir).select("url", "children").write.json(path, compression="gzip")
+    return path
+
+
+@query
+def extracted_scan(spark, sf_dir):
+    rows = crawl.read_extracted(spark, _extracted_folder(spark, sf_dir))
+    return rows.select("url", F.explode("children").alias("href"))
+
+
+@query
+def full_run_extracted(spark, sf_dir):
+    """Crawl files of links already extracted to the attribute table."""
+    out = scratch_path(spark, "run")
+    run_pipeline(spark, _extracted_folder(spark, sf_dir), out, _options(), extracted=True)
+    return _rounded_attributes(spark.read.parquet(f"{out}/metrics/type2/attributes"))
+
+
+@query
+def index_files(spark, sf_dir):
+    """The index that a run stores."""
+    _, out = _run(spark, sf_dir)
+    return stored.read_index(spark, f"{out}/metrics/type2/node_index").select("id", "name")
+
+
+@query
+def run_audit(spark, sf_dir):
+    """The audit of a run, summed over its crawl files, of which each page is in one."""
+    source, out = _run(spark, sf_dir)
+    verdicts = audit_stage(spark, source, out, _options(), link_type="type2")
+    pages_in = crawl.read_pages(spark, source).select("crawl_file").distinct()
+    return verdicts.join(pages_in, "crawl_file").agg(
+        F.count_if(~F.col("complete")).alias("failed"), F.sum(F.col("n_in") - F.col("n_out")).alias("missing")
+    )
+
+
+@query
+def incremental_full_run(spark, sf_dir):
+    """Two arrivals of crawl files, each followed by a run over what is new."""
+    folder, out = scratch_path(spark, "arrivals"), scratch_path(spark, "run")
+    rows = pages(spark, sf_dir)
+    early = F.col("page_id") % 2 == 0
+    for arrived in (rows.filter(early), rows.filter(~early)):
+        _json_lines(arrived).write.mode("append").text(folder, compression="gzip")
+        found = run_incremental(spark, folder, out, _options())
+    return _rounded_attributes(found["type2"])
+
+
+# ---- unusual pages ---------------------------------------------------------------------
+
+
+def _dirty_pages(spark, sf_dir) -> DataFrame:
+    """Pages whose URL is missing, padded, encoded or too short, and whose links are missing."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return spark.sql(DIRTY_PAGES_SQL.replace("from orders", "from {orders}"), orders=orders)
+
+
+@query
+def dirty_pages(spark, sf_dir):
+    """A missing URL stands for an error page."""
+    return links.count_links(links.link_rows(links.clean_extracted(_dirty_pages(spark, sf_dir))))
+
+
+@query
+def dirty_pages_dropped(spark, sf_dir):
+    """Pages without URL are left out; all others are known, with or without links."""
+    rows = links.clean_extracted(_dirty_pages(spark, sf_dir), variant="current", on_missing_url="drop")
+    return links.known_parents(rows)
 
 
 # ---- streaming ---------------------------------------------------------------------------
@@ -577,7 +720,7 @@ def running_edges(spark, sf_dir):
     ingest.keep_running_counts(
         arriving, out, scratch_path(spark, "stream-checkpoint")
     ).awaitTermination()
-    return stored.read_edges(spark, out, URL_TYPES).select(*links.EDGE_KEYS, "weight")
+    return ingest.read_running_counts(spark, out).select(*links.EDGE_KEYS, "weight")
 
 
 @query

@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkrank.sources.crawl import spread
-
 # The same text runs in Spark SQL and in DuckDB.
 CRAWL_LINKS_SQL = """
 select l_orderkey as page_key, l_linenumber as pos,
@@ -36,9 +34,27 @@ select l_orderkey as page_key, l_linenumber as pos,
 from lineitem join orders on l_orderkey = o_orderkey
 """
 
+# Also in both: pages as a crawl should not hold them.
+DIRTY_PAGES_SQL = """
+select o_orderkey as page_key,
+ case o_orderkey % 6
+  when 0 then null
+  when 1 then concat('  http://www.a', o_custkey % 9, '.com/x ')
+  when 2 then concat('http%3A%2F%2Fb', o_custkey % 9, '.co.uk%2Fy z')
+  when 3 then 'h'
+  when 4 then concat('http://c', o_custkey % 9, '.org/p?q=1')
+  else ' ' end as url,
+ case o_custkey % 4
+  when 0 then null
+  when 1 then array()
+  when 2 then array(null, '/a', concat('http://www.d', o_custkey % 5, '.com/z'))
+  else array('mailto:x', 'https://e.f.co.uk;j=1') end as children
+from orders
+"""
+
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return spark.read.parquet(f"{sf_dir}/pages.parquet")
 
 
 def crawl_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +65,7 @@ def crawl_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     query = CRAWL_LINKS_SQL.replace(
         "from lineitem join orders", "from {lineitem} lineitem join {orders} orders"
     )
-    return spark.sql(query, lineitem=spread(lineitem), orders=orders)
+    return spark.sql(query, lineitem=lineitem, orders=orders)
 
 
 def crawl_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +23,13 @@ from linkrank.operators.ranking import exclude_listed, exclude_urls, top
 from linkrank.operators.staging import stage, write_and_read
 from linkrank.options import Options
 from linkrank.sinks import tables
-from linkrank.sources.crawl import CORRUPT_COLUMN, FILE_COLUMN, read_extracted, read_pages
+from linkrank.sources.crawl import (
+    CORRUPT_COLUMN,
+    FILE_COLUMN,
+    named_exists,
+    read_extracted,
+    read_pages,
+)
 from linkrank.sources.graph import (
     PAGE_LINKS,
     read_edges,
@@ -29,56 +37,73 @@ from linkrank.sources.graph import (
     read_page_links,
     read_url_list,
 )
+from linkrank.streaming import ingest
 
 INDEX = "node_index"
 
 
+def _missing_url(options: Options, extracted: bool) -> str:
+    return options.on_missing_url or ("error_url" if extracted else "drop")
+
+
+def _read_crawl(spark: SparkSession, src: str, options: Options, extracted: bool) -> DataFrame:
+    common = {
+        "url_col": options.url_col,
+        "fail_fast": options.fail_fast,
+        "min_partitions": options.min_partitions,
+        "spread_above": options.spread_above,
+    }
+    if extracted:
+        return read_extracted(spark, src, **common)
+    return read_pages(spark, src, html_col=options.html_col, **common)
+
+
+def _cleaned(pages: DataFrame, options: Options, extracted: bool) -> DataFrame:
+    common = {
+        "url_col": options.url_col,
+        "on_missing_url": _missing_url(options, extracted),
+        "link_types": options.parse_types,
+        "corrupt_col": CORRUPT_COLUMN,
+        "keep": [FILE_COLUMN],
+    }
+    if extracted:
+        return clean_extracted(pages, **common)
+    return parse_pages(pages, html_col=options.html_col, **common)
+
+
 def parse_stage(
     spark: SparkSession, src: str, out: str, options: Options, extracted: bool = False
 ) -> None:
     """Pages to cleaned links of all wanted types, and unreadable rows, in one pass."""
-    common = {"fail_fast": options.fail_fast, "min_partitions": options.min_partitions}
-    if extracted:
-        pages = read_extracted(spark, src, url_col=options.url_col, **common)
-        rows = clean_extracted(
-            pages,
-            url_col=options.url_col,
-            on_missing_url=options.on_missing_url or "error_url",
-            link_types=options.parse_types,
-            corrupt_col=CORRUPT_COLUMN,
-            keep=[FILE_COLUMN],
-        )
-    else:
-        pages = read_pages(
-            spark, src, url_col=options.url_col, html_col=options.html_col, **common
-        )
-        rows = parse_pages(
-            pages,
-            url_col=options.url_col,
-            html_col=options.html_col,
-            extractor=options.extractor,
-            on_missing_url=options.on_missing_url or "drop",
-            link_types=options.parse_types,
-            corrupt_col=CORRUPT_COLUMN,
-            keep=[FILE_COLUMN],
-        )
+    rows = _cleaned(_read_crawl(spark, src, options, extracted), options, extracted)
     tables.write_page_links(rows, f"{out}/links")
 
 
-def audit_stage(spark: SparkSession, src: str, out: str, options: Options) -> DataFrame:
-    """Compare the pages named in the crawl files with those in the stored type1 links.
+def audit_stage(
+    spark: SparkSession,
+    src: str,
+    out: str,
+    options: Options,
+    extracted: bool = False,
+    link_type: str = "type1",
+) -> DataFrame:
+    """Compare the pages named in the crawl files with those in the stored links of a type.
 
-    Reads the input once more, so it is not part of :func:`run_pipeline`.  The verdicts are
-    appended to a log and returned.
+    ``extracted`` says which of the two parse stages wrote the links: it decides what a page
+    without URL counts as and how names are made.  Reads the input once more, so it is not part
+    of :func:`run_pipeline`.  The verdicts are appended to a log and returned.
     """
-    pages = drop_index_rows(
-        read_pages(spark, src, url_col=options.url_col, html_col=options.html_col), options.url_col
-    )
+    if link_type not in options.parse_types:
+        raise ValueError(f"cannot audit {link_type}: the parse stage does not write it")
+    pages = _read_crawl(spark, src, options, extracted).filter(F.col(CORRUPT_COLUMN).isNull())
+    if _missing_url(options, extracted) == "drop":
+        pages = drop_index_rows(pages, options.url_col)
+    variant = "legacy" if extracted else "current"
     inputs = pages.select(
-        FILE_COLUMN, normalize(clean_parent(F.col(options.url_col)), "type1").alias("src")
+        FILE_COLUMN, normalize(clean_parent(F.col(options.url_col)), link_type, variant).alias("src")
     )
     stored = spark.read.schema(f"{PAGE_LINKS}, {FILE_COLUMN} string").parquet(f"{out}/links")
-    outputs = stored.filter(F.col("link_type") == "type1").select(
+    outputs = stored.filter(F.col("link_type") == link_type).select(
         FILE_COLUMN, F.col("parent_url").alias("src")
     )
     verdicts = stage(completeness_audit(inputs, outputs, FILE_COLUMN), "audit")
@@ -126,6 +151,8 @@ def measure(
         f"{folder}/attributes",
     )
     kept = exclude(attributes, options)
+    if kept is not attributes:
+        kept = stage(kept, "kept")  # read by up to nine exports
     if options.write_sorted:
         tables.write_sorted_lists(attributes, f"{folder}/sorted", "_non_filtered")
     if options.write_sorted_filtered:
@@ -142,10 +169,19 @@ def metrics_stage(spark: SparkSession, out: str, link_type: str, options: Option
     parents = stage(known_parents(pages).select("src"), "parents")
     earlier = None
     if options.previous_run:
-        earlier = read_index(spark, f"{options.previous_run}/metrics/{link_type}/{INDEX}")
+        # Staged: the earlier run may be the one in ``out``, whose index is replaced below.
+        earlier = stage(
+            read_index(spark, f"{options.previous_run}/metrics/{link_type}/{INDEX}"), "earlier-index"
+        )
     return measure(edges, parents, f"{out}/metrics/{link_type}", options, earlier)
 
 
+def _check_types(options: Options) -> None:
+    missing = set(options.link_types) - set(options.parse_types)
+    if missing:
+        raise ValueError(f"cannot count {sorted(missing)}: the parse stage does not write them")
+
+
 def run_pipeline(
     spark: SparkSession,
     src: str,
@@ -159,9 +195,40 @@ def run_pipeline(
     stage before, so a run can be repeated, or resumed by calling a later stage.
     """
     options = options or Options()
-    missing = set(options.link_types) - set(options.parse_types)
-    if missing:
-        raise ValueError(f"cannot count {sorted(missing)}: the parse stage does not write them")
+    _check_types(options)
     parse_stage(spark, src, out, options, extracted)
     count_stage(spark, out, options)
     return {t: metrics_stage(spark, out, t, options) for t in options.link_types}
+
+
+def run_incremental(
+    spark: SparkSession,
+    src: str,
+    out: str,
+    options: Options | None = None,
+    extracted: bool = False,
+) -> dict[str, DataFrame]:
+    """As :func:`run_pipeline`, but only crawl files that ``out`` has not seen are parsed and
+    counted; node ids of earlier runs stay.
+
+    Graphs, metrics and rankings are those of everything so far.  The folder must belong to
+    incremental runs with the same types.
+    """
+    options = options or Options()
+    _check_types(options)
+    state = f"{out}/state"
+    arriving = ingest.stream_extracted if extracted else ingest.stream_pages
+    columns = {"url_col": options.url_col}
+    if not extracted:
+        columns["html_col"] = options.html_col
+    pages = arriving(spark, src, **columns)
+    ingest.append_links(_cleaned(pages, options, extracted), f"{out}/links", f"{state}/links").awaitTermination()
+    links = ingest.stream_links(spark, f"{out}/links", options.link_types)
+    ingest.ingest_edge_counts(links, f"{out}/edge_counts", f"{state}/counts").awaitTermination()
+    edges = ingest.compact_edge_counts(spark, f"{out}/edge_counts")
+    tables.write_edges(edges, f"{out}/edges")
+    if options.previous_run is None and all(
+        named_exists(spark, f"{out}/metrics/{t}/{INDEX}/_SUCCESS") for t in options.link_types
+    ):
+        options = replace(options, previous_run=out)
+    return {t: metrics_stage(spark, out, t, options) for t in options.link_types}

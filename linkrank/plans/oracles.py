@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from linkrank.operators.attributes import FEATURES
 from linkrank.plans import catalogue as c
-from linkrank.plans.crawl_view import CRAWL_LINKS_SQL
+from linkrank.plans.crawl_view import CRAWL_LINKS_SQL, DIRTY_PAGES_SQL
 
 
 def _unquote(url: str) -> str:
@@ -35,6 +35,8 @@ def _domain(url: str, variant: str) -> str:
     )
 
 
+_DIRTY = DIRTY_PAGES_SQL.replace("array(", "list_value(")
+
 _NAME = {"type1": _page, "type2": _host, "type3": _domain}
 
 
@@ -96,8 +98,16 @@ ratios as (
 """
 
 
-def _walk_sql(name: str, weighted: bool) -> str:
-    """Power iteration as a recursive query."""
+def _walk_sql(name: str, weighted: bool, steps: int = c.STEPS, until_settled: bool = False) -> str:
+    """Power iteration as a recursive query; the result is its last step, or the first whose
+    summed change is below 1e-6 for each node."""
+    last = str(steps)
+    if until_settled:
+        last = (
+            f"(select min(step) from (select x.step, sum(abs(x.r - y.r)) as change from {name}_walk x"
+            f" join {name}_walk y on y.step = x.step - 1 and y.node = x.node group by x.step)"
+            " where change < 1e-6 * (select count(*) from nodes))"
+        )
     share = "weight" if weighted else "1"
     return f"""
 {name}_trans as (
@@ -115,8 +125,8 @@ def _walk_sql(name: str, weighted: bool) -> str:
   left join (select t.dst as node, sum(w.r * t.p) as inflow
              from {name}_walk w join {name}_trans t on t.src = w.node group by t.dst) i
          on i.node = s.node
-  where s.step < {c.STEPS}),
-{name}_rank as (select node, r as {name} from {name}_walk where step = {c.STEPS})"""
+  where s.step < {steps}),
+{name}_rank as (select node, r as {name} from {name}_walk where step = {last})"""
 
 
 _WEIGHTED = _walk_sql("pagerank", True)
@@ -173,6 +183,27 @@ def oracle_sql() -> dict[str, str]:
     weighted = _with(f"{_edge_ctes()}, {_DEGREES}, {_WEIGHTED}", "", True)
     unweighted = _with(f"{_edge_ctes()}, {_DEGREES}, {_UNWEIGHTED}", "", True)
 
+    page_edges = f"""{_PAGE_HREFS}, edges as (
+  select src, dst, count(*) as weight from ({_links(["type2"], source="page_cleaned")})
+  where length(src) > 1 group by src, dst)"""
+    page_attributes = _with(f"{page_edges}, {_ATTRIBUTES}", "select * from attributes", True)
+    legacy_edges = f"""{_CLEANED}, edges as (
+  select src, dst, count(*) as weight from ({_links(["type2"], "legacy")})
+  where length(src) > 1 group by src, dst)"""
+    settled = ", ".join(
+        _walk_sql(name, weighted, 100, True)
+        for name, weighted in (("pagerank", True), ("pagerank_noweight", False))
+    )
+    dirty = f"""dirty as ({_DIRTY}),
+dirty_decoded as (
+  select coalesce({_PARENT.replace("parent_url", "url")}, 'http://www.error.com') as parent,
+         url, children from dirty),
+dirty_cleaned as (
+  select parent, case when starts_with(d, '/') then parent || split_part(d, ' ', 1)
+         else split_part(d, ' ', 1) end as child
+  from (select parent, unnest(children) as d from dirty_decoded)
+  where starts_with(d, '/') or starts_with(d, 'http'))"""
+
     outcome = _with(
         _PAGE_HREFS,
         " union all ".join(
@@ -186,6 +217,35 @@ def oracle_sql() -> dict[str, str]:
     )
 
     sql = {
+        "full_run": page_attributes,
+        "incremental_full_run": page_attributes,
+        "extracted_scan": _with(_CLEANED, "select parent_url as url, href from crawl"),
+        "full_run_extracted": _with(f"{legacy_edges}, {_ATTRIBUTES}", "select * from attributes", True),
+        "index_files": _with(
+            f"{page_edges}, names as (select src as name from edges union select dst from edges"
+            f" union select {_name('url', 'type2')} from pages)",
+            "select row_number() over (order by name) - 1 as id, name from names",
+        ),
+        "run_audit": "select 0::bigint as failed, 0::bigint as missing",
+        "dirty_pages": _with(dirty, edge_counts.format(_links(variant="legacy", source="dirty_cleaned"))),
+        "dirty_pages_dropped": _with(
+            dirty,
+            " union all ".join(
+                f"select distinct '{t}' as link_type, {_name('parent', t)} as src from dirty_decoded"
+                f" where url is not null and length({_name('parent', t)}) > 1"
+                for t in c.URL_TYPES
+            ),
+        ),
+        "pagerank_converged": _with(
+            f"{_edge_ctes()}, {_DEGREES}, {settled}",
+            f"select node, {_r('pagerank')}, {_r('pagerank_noweight')}"
+            " from pagerank_rank join pagerank_noweight_rank using (node)",
+            True,
+        ),
+        "exclude_long_list": _attr_sql(
+            f"select * from attributes where url not in (select 'site' || i || '.example.com'"
+            f" from range(2, {c.LONG_LIST}) t(i))"
+        ),
         "quarantined_rows": outcome,
         "incremental_arrivals": outcome,
         "ingest_rows": "select page_id, url, length(html)::integer as html_chars from pages where url is not null",
@@ -283,6 +343,12 @@ sliced as (
             f"select {_rank('pagerank')} as rank, url, pagerank from attributes"
             f" order by pagerank desc, url limit {c.TOP_N}"
         ),
+        "sorted_lists_csv": _attr_sql(
+            " union all ".join(
+                f"select '{f}' as sorted_by, {_rank(f)} as rank, url, {f}::double as value from attributes"
+                for f in FEATURES
+            )
+        ),
         "rerank_from_edges": _attr_sql(
             " union all ".join(
                 f"select '{f}' as sorted_by, {_rank(f)} as rank, url, {f}::double as value from attributes"

@@ -57,12 +57,27 @@ def write_index(index: DataFrame, path: str) -> None:
 
 
 def write_connectivity(connectivity: DataFrame, path: str) -> None:
-    """Gzip JSON, one ``{src: {dst: weight}}`` object per line."""
+    """Gzip JSON lines with a source, a slice number and the links of that slice."""
     connectivity_json(connectivity).write.mode("overwrite").option("compression", "gzip").text(path)
 
 
+#: Every text comes back as it was: blanks around it stay, and a quote is doubled.
+CSV = {
+    "header": True,
+    "encoding": "UTF-8",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "escape": '"',
+}
+
+
 def _write_csv(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
+    rows.write.mode("overwrite").options(**CSV).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A CSV folder written here; names may hold line breaks."""
+    return spark.read.schema(schema).options(**CSV, multiLine=True).csv(path)
 
 
 def write_ranked_csv(attributes: DataFrame, path: str, by: str | None = None) -> None:
@@ -80,4 +95,4 @@ def write_edge_table(table: DataFrame, path: str) -> None:
 
 
 def append_audit_log(audit: DataFrame, path: str) -> None:
-    audit.write.mode("append").option("header", True).csv(path)
+    audit.write.mode("append").options(**CSV).csv(path)

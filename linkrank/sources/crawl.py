@@ -2,8 +2,8 @@
 
 Rows that are not JSON keep their text in ``_corrupt_record`` instead of failing the
 file.  A gzip file is one task from scan to link extraction, and raw pages are not
-shuffled, with two exceptions: files larger than one core's share of the input are spread
-after reading, and ``min_partitions`` spreads a scan that has too few tasks.
+shuffled unless asked: ``spread_above`` spreads gzip files of more bytes after reading, and
+``min_partitions`` spreads the whole scan.  Defining a scan runs no job.
 """
 
 from __future__ import annotations
@@ -34,53 +34,58 @@ def not_a_ledger():
     return ~F.endswith(F.col("_metadata.file_name"), F.lit("txt"))
 
 
-MIN_SPREAD_BYTES = 256 << 20
-
-
-def oversized_gzip(spark: SparkSession, path: str | list[str]) -> int | None:
-    """Size above which a gzip file would hold up its stage, if there is such a file."""
-    gzip = F.endswith(F.col("_metadata.file_name"), F.lit(".gz"))
-    sizes = (
-        spark.read.format("binaryFile")
-        .load(path)
-        .filter(not_a_ledger())
-        .agg(F.sum("length").alias("total"), F.max(F.when(gzip, F.col("length"))).alias("largest"))
-        .first()
-    )
-    share = (sizes["total"] or 0) // spark.sparkContext.defaultParallelism
-    limit = max(MIN_SPREAD_BYTES, share)
-    return limit if (sizes["largest"] or 0) > limit else None
-
-
-def spread(rows: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Shuffle the rows of a scan that has fewer tasks than the cluster has cores.
-
-    Meant for a few unsplittable files; a scan of many files is returned as it is.
-    """
-    wanted = min_partitions or rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(wanted) if rows.rdd.getNumPartitions() < wanted else rows
-
+def named_paths(spark: SparkSession, path: str | list[str]) -> tuple[list[str], list[str]]:
+    """(files, folders) that a path, a list of paths or a pattern names, asked of the file system."""
+    files, folders = [], []
+    for one in [path] if isinstance(path, str) else path:
+        named = spark._jvm.org.apache.hadoop.fs.Path(one)
+        system = named.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        found = system.globStatus(named)
+        if not found:
+            raise FileNotFoundError(one)
+        for status in found:
+            (folders if status.isDirectory() else files).append(status.getPath().toString())
+    return files, folders
+
+
+def named_exists(spark: SparkSession, path: str) -> bool:
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = named.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(system.exists(named))
+
+
+def read_named(reader, spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``reader(paths)`` of everything that ``path`` names: files whatever their name is, and in
+    folders all files that are not logs."""
+    files, folders = named_paths(spark, path)
+    parts = [reader(files)] if files else []
+    if folders:
+        parts.append(reader(folders).filter(not_a_ledger()))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _read(
+    spark: SparkSession, path, schema, fail_fast: bool, min_partitions: int | None, spread_above: int | None
+):
+    def read(paths: list[str]) -> DataFrame:
+        return (
+            spark.read.schema(schema)
+            .option("mode", "FAILFAST" if fail_fast else "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+            .json(paths)
+            .withColumn(FILE_COLUMN, F.col("_metadata.file_path"))
+            .withColumn("_bytes", F.col("_metadata.file_size"))
+        )
 
-def _read(spark: SparkSession, path, schema, fail_fast: bool, min_partitions: int | None):
-    scan = (
-        spark.read.schema(schema)
-        .option("mode", "FAILFAST" if fail_fast else "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-        .json(path)
-        .filter(not_a_ledger())
-    )
-    limit = oversized_gzip(spark, path)
-    rows = scan.withColumn(FILE_COLUMN, F.col("_metadata.file_name"))
-    if limit is not None:
+    rows = read_named(read, spark, path)
+    if spread_above is not None:
         # Conditions on file metadata choose files, so no file is read twice.
-        large = (F.col("_metadata.file_size") > limit) & F.endswith(FILE_COLUMN, F.lit(".gz"))
-        sized = rows.withColumn("_large", large)
-        rows = (
-            sized.filter(~F.col("_large"))
-            .unionByName(sized.filter("_large").repartition(spark.sparkContext.defaultParallelism))
-            .drop("_large")
+        large = (F.col("_bytes") > spread_above) & F.endswith(FILE_COLUMN, F.lit(".gz"))
+        rows = rows.filter(~large).unionByName(
+            rows.filter(large).repartition(spark.sparkContext.defaultParallelism)
         )
-    return spread(rows, min_partitions) if min_partitions else rows
+    rows = rows.drop("_bytes")
+    return rows.repartition(min_partitions) if min_partitions else rows
 
 
 def read_pages(
@@ -91,8 +96,9 @@ def read_pages(
     html_col: str = "raw_content",
     fail_fast: bool = False,
     min_partitions: int | None = None,
+    spread_above: int | None = None,
 ) -> DataFrame:
-    return _read(spark, path, page_schema(url_col, html_col), fail_fast, min_partitions)
+    return _read(spark, path, page_schema(url_col, html_col), fail_fast, min_partitions, spread_above)
 
 
 def read_extracted(
@@ -103,8 +109,9 @@ def read_extracted(
     children_col: str = "children",
     fail_fast: bool = False,
     min_partitions: int | None = None,
+    spread_above: int | None = None,
 ) -> DataFrame:
-    return _read(spark, path, extracted_schema(url_col, children_col), fail_fast, min_partitions)
+    return _read(spark, path, extracted_schema(url_col, children_col), fail_fast, min_partitions, spread_above)
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from linkrank.operators.graph import edges_from_json, parents_from_json
 from linkrank.operators.links import select_types
-from linkrank.sources.crawl import not_a_ledger
+from linkrank.sources.crawl import read_named
 
 PAGE_LINKS = "parent_url string, child_links array<string>, link_type string"
 EDGES = "src string, dst string, weight bigint, link_type string"
@@ -40,9 +40,10 @@ def read_connectivity(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
 
     Counts of the same edge in several files or lines are added up.  Parents include those
     with an empty map.  A graph stored as one line is read by one task; graphs written by
-    this package have one line per source.
+    this package have a line for each source, or several.  A line that cannot be read ends
+    the job.
     """
-    lines = spark.read.text(path).filter(not_a_ledger())
+    lines = read_named(spark.read.text, spark, path)
     edges = edges_from_json(lines).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
     return edges, parents_from_json(lines)
 
@@ -51,27 +52,9 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("id bigint, name string").parquet(path)
 
 
-def read_forward_index(spark: SparkSession, path: str) -> DataFrame:
-    """``{"gnv": [name, ...]}`` -> (id, name)."""
-    lists = spark.read.schema("gnv array<string>").json(path)
-    return lists.select(F.posexplode("gnv").alias("id", "name")).select(
-        F.col("id").cast("long"), "name"
-    )
-
-
-def read_reverse_index(spark: SparkSession, path: str) -> DataFrame:
-    """``{name: id, ...}`` -> (id, name)."""
-    lines = spark.read.text(path)
-    return lines.select(
-        F.explode(F.from_json("value", "map<string,bigint>")).alias("name", "id")
-    ).select("id", "name")
-
-
 def read_url_list(spark: SparkSession, path: str) -> DataFrame:
     """One URL per line, from a file or from every file of a folder (there, not ``*txt``)."""
-    named_directly = F.endswith(F.col("_metadata.file_path"), F.lit(path.rstrip("/")))
-    lines = spark.read.text(path).filter(not_a_ledger() | named_directly)
     space = r"[ \t\n\r\x0B\f]+"
-    return lines.select(
+    return read_named(spark.read.text, spark, path).select(
         F.regexp_replace(F.regexp_replace("value", f"^{space}", ""), f"{space}$", "").alias("url")
     )

@@ -13,9 +13,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from linkrank.functions.urls import LINK_TYPES
-from linkrank.operators.links import count_links, link_rows, merge_edges, parse_pages
-from linkrank.sinks.tables import write_edges, writers_per_type
-from linkrank.sources.crawl import CORRUPT_COLUMN, not_a_ledger, page_schema
+from linkrank.operators.links import EDGE_KEYS, count_links, link_rows, merge_edges, parse_pages
+from linkrank.sinks.tables import writers_per_type
+from linkrank.sources.crawl import (
+    CORRUPT_COLUMN,
+    FILE_COLUMN,
+    extracted_schema,
+    not_a_ledger,
+    page_schema,
+)
 from linkrank.sources.graph import EDGES, PAGE_LINKS
 
 
@@ -28,14 +34,31 @@ def stream_pages(
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """JSON-lines crawl files as a stream, with unreadable rows kept as text."""
+    return _stream(spark, path, page_schema(url_col, html_col), max_files_per_trigger)
+
+
+def stream_extracted(
+    spark: SparkSession,
+    path: str,
+    *,
+    url_col: str = "url",
+    children_col: str = "children",
+    max_files_per_trigger: int | None = None,
+) -> DataFrame:
+    """The same for pages whose links are already extracted."""
+    return _stream(spark, path, extracted_schema(url_col, children_col), max_files_per_trigger)
+
+
+def _stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None) -> DataFrame:
     reader = (
-        spark.readStream.schema(page_schema(url_col, html_col))
+        spark.readStream.schema(schema)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(path).filter(not_a_ledger())
+    named = reader.json(path).filter(not_a_ledger())
+    return named.withColumn(FILE_COLUMN, F.col("_metadata.file_path"))
 
 
 def ingest_links(
@@ -53,15 +76,25 @@ def ingest_links(
     Unreadable rows go to the ``corrupt`` folder in the same pass over the input.
     """
     rows = parse_pages(
-        pages, url_col=url_col, html_col=html_col, link_types=link_types, corrupt_col=corrupt_col
+        pages,
+        url_col=url_col,
+        html_col=html_col,
+        link_types=link_types,
+        corrupt_col=corrupt_col,
+        keep=[FILE_COLUMN] if FILE_COLUMN in pages.columns else [],
     )
+    return append_links(rows, out, checkpoint)
+
+
+def append_links(page_links: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Append a stream of page links exactly once, one folder per type."""
     sink = (
-        rows.writeStream.format("parquet")
+        page_links.writeStream.format("parquet")
         .partitionBy("link_type")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
-    with writers_per_type(pages.sparkSession):  # the query takes a copy of the settings
+    with writers_per_type(page_links.sparkSession):  # the query takes a copy of the settings
         return sink.start(out)
 
 
@@ -73,25 +106,34 @@ def stream_links(
     return link_rows(rows.filter(F.col("link_type").isin(*link_types)))
 
 
-def running_edge_counts(links: DataFrame) -> DataFrame:
-    """Edge counts held as streaming state (output mode ``update`` or ``complete``).
+def keep_running_counts(links: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Counts so far as a table, brought up to date by every trigger.
 
-    The state grows with the number of distinct edges; for large crawls prefer
-    :func:`ingest_edge_counts`, which keeps none.
+    No streaming state is held.  Each trigger writes a version of its own from the one before
+    and its batch, and the version before stays until the next trigger, so a failure at any
+    point leaves a whole one.
     """
-    return count_links(links)
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        earlier = [v for v in _versions(spark, out, "version") if v < batch_id]
+        counts = count_links(batch)
+        if earlier:
+            counts = merge_edges(counts, _version(spark, out, "version", earlier[-1]))
+        counts.write.mode("overwrite").parquet(f"{out}/version={batch_id}")
+        _delete(spark, [f"{out}/version={v}" for v in earlier[:-1]])
+
+    return _each_batch(links, write, checkpoint)
 
-def keep_running_counts(links: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Replace ``out`` by the counts so far after every trigger."""
 
-    def write(counts: DataFrame, batch_id: int) -> None:
-        write_edges(counts, out)
+def read_running_counts(spark: SparkSession, out: str) -> DataFrame:
+    """The newest whole version of :func:`keep_running_counts`."""
+    return _version(spark, out, "version", _versions(spark, out, "version")[-1])
 
+
+def _each_batch(links: DataFrame, write, checkpoint: str) -> StreamingQuery:
     return (
-        running_edge_counts(links)
-        .writeStream.outputMode("complete")
-        .foreachBatch(write)
+        links.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -104,19 +146,58 @@ def ingest_edge_counts(links: DataFrame, out: str, checkpoint: str) -> Streaming
     def write(batch: DataFrame, batch_id: int) -> None:
         count_links(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    return (
-        links.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _each_batch(links, write, checkpoint)
+
+
+def _folder(spark: SparkSession, path: str):
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return named.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), named
+
+
+def _versions(spark: SparkSession, out: str, kind: str) -> list[int]:
+    """The numbers of the folders ``<kind>=<number>`` that were written to the end, ascending."""
+    system, folder = _folder(spark, out)
+    if not system.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(folder)]
+    whole = [n for n in names if n.startswith(f"{kind}=") and system.exists(_folder(spark, f"{out}/{n}/_SUCCESS")[1])]
+    return sorted(int(n.partition("=")[2]) for n in whole)
+
+
+def _version(spark: SparkSession, out: str, kind: str, number: int) -> DataFrame:
+    return spark.read.schema(EDGES).parquet(f"{out}/{kind}={number}")
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        system, folder = _folder(spark, path)
+        system.delete(folder, True)
+
+
+def _parts(spark: SparkSession, out: str) -> list[DataFrame]:
+    """The newest compacted table, and the batches after it."""
+    compacted = _versions(spark, out, "compacted")
+    newest = compacted[-1] if compacted else -1
+    parts = [_version(spark, out, "compacted", newest)] if compacted else []
+    return parts + [_version(spark, out, "batch", b) for b in _versions(spark, out, "batch") if b > newest]
 
 
 def read_edge_counts(spark: SparkSession, out: str) -> DataFrame:
     """Edges summed over all batches so far."""
-    return merge_edges(spark.read.schema(f"{EDGES}, batch bigint").parquet(out))
+    parts = _parts(spark, out)
+    return merge_edges(*parts) if parts else spark.createDataFrame([], EDGES).select(*EDGE_KEYS, "weight")
 
 
-def compact_edge_counts(spark: SparkSession, out: str, target: str) -> None:
-    """Write the sum over all batches as one table partitioned by type."""
-    write_edges(read_edge_counts(spark, out), target)
+def compact_edge_counts(spark: SparkSession, out: str) -> DataFrame:
+    """Replace the batches by their sum, and return it.
+
+    The sum is a folder named after its last batch.  Batches and older sums are deleted only
+    when it is whole; until then readers use them, and after that they pass over them.
+    """
+    batches = _versions(spark, out, "batch")
+    compacted = _versions(spark, out, "compacted")
+    fresh = [b for b in batches if not compacted or b > compacted[-1]]
+    if fresh:
+        read_edge_counts(spark, out).write.mode("overwrite").parquet(f"{out}/compacted={fresh[-1]}")
+        _delete(spark, [f"{out}/batch={b}" for b in batches] + [f"{out}/compacted={c}" for c in compacted])
+    return read_edge_counts(spark, out)

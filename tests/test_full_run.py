@@ -9,6 +9,7 @@ from linkrank.__main__ import main
 from linkrank.options import Options
 from linkrank.plans.full_run import audit_stage, run_pipeline
 
+# Keys of the JSON settings file, as in ``linkrank.options``.
 SETTINGS = {
     "types to parse": ["type2", "type3"],
     "link attributes sort parameter": "indeg",
@@ -49,6 +50,12 @@ def test_settings_file():
     assert Options.from_json("{}").link_types == ("type2",)
 
 
+@pytest.mark.parametrize("text", ["", "{", "[1]"])
+def test_unreadable_settings_give_the_defaults(text):
+    with pytest.warns(UserWarning, match="defaults"):
+        assert Options.from_json(text, sort_by="indeg") == Options(sort_by="indeg")
+
+
 def read_csv(spark, path):
     return [r["url"] for r in spark.read.option("header", True).csv(str(path)).collect()]
 
@@ -64,9 +71,8 @@ def test_full_run(spark, crawl, rows):
     assert (got["a.com"]["outdeg"], got["a.com"]["indeg"], got["a.com"]["uniqueout"]) == (2, 3, 2)
     index = spark.read.parquet(f"{out}/metrics/type2/node_index")
     assert rows(index) == [(0, "a.com"), (1, "b.com"), (2, "c.com"), (3, "d.com")]
-    assert rows(spark.read.parquet(f"{out}/links/link_type=corrupt"), "bad_record", "crawl_file") == [
-        ("{broken", "a.jl")
-    ]
+    corrupt = rows(spark.read.parquet(f"{out}/links/link_type=corrupt"), "bad_record", "crawl_file")
+    assert [(text, file.rpartition("/")[2]) for text, file in corrupt] == [("{broken", "a.jl")]
     assert {p.name for p in (out / "metrics" / "type2" / "sorted").iterdir()} == {
         f"{f}_non_filtered"
         for f in ("uniqueout uniquein outdeg indeg uin_uout_ratio in_out_ratio pagerank pagerank_noweight").split()
@@ -82,8 +88,16 @@ def test_full_run(spark, crawl, rows):
         "a.com": 2, "b.com": 1, "c.com": 1
     }
 
-    verdicts = audit_stage(spark, str(src), str(out), options)
-    assert rows(verdicts, "crawl_file", "complete") == [("a.jl", True), ("b.jl.gz", True)]
+    for link_type in ("type1", "type2"):
+        verdicts = rows(audit_stage(spark, str(src), str(out), options, link_type=link_type), "crawl_file", "missing_pct")
+        assert [(f.rpartition("/")[2], missing) for f, missing in verdicts] == [("a.jl", 0.0), ("b.jl.gz", 0.0)]
+    with pytest.raises(ValueError, match="type1"):
+        audit_stage(spark, str(src), str(out), replace(options, parse_types=("type2",)))
+
+    # The earlier run may be the one that is written over.
+    before = rows(index)
+    run_pipeline(spark, str(src), str(out), replace(brief, previous_run=str(out)))
+    assert rows(spark.read.parquet(f"{out}/metrics/type2/node_index")) == before
 
     (src / "c.jl").write_text(page("http://a-first.com", "http://d.com"))
     run_pipeline(spark, str(src), f"{out}-next", replace(brief, previous_run=str(out)))
@@ -100,6 +114,35 @@ def test_extracted_run_by_name(spark, tmp_path):
     options = Options(encode_nodes=False, write_sorted=False, write_sorted_filtered=False)
     tables = run_pipeline(spark, str(src), str(tmp_path / "out"), options, extracted=True)
     assert {r["url"] for r in tables["type2"].collect()} == {"www.a.com", "b.com", "www.error.com"}
+    verdict = audit_stage(spark, str(src), str(tmp_path / "out"), options, extracted=True).first()
+    assert (verdict["n_in"], verdict["n_out"], verdict["missing_pct"]) == (2, 2, 0.0)
+
+
+@pytest.mark.parametrize("extracted", [False, True])
+def test_incremental_run_equals_a_full_one(spark, tmp_path, rows, extracted):
+    src, out = tmp_path / "in", tmp_path / "out"
+    src.mkdir()
+    brief = Options(write_sorted=False, write_sorted_filtered=False)
+
+    def arrive(name, *pages_in):
+        made = [{"url": u, "children": list(h)} for u, *h in pages_in]
+        lines = [json.dumps(p) for p in made] if extracted else [page(u, *h) for u, *h in pages_in]
+        (src / name).write_text("\n".join(lines) + "\n")
+
+    def ids():
+        return dict(map(tuple, spark.read.parquet(f"{out}/metrics/type2/node_index").select("name", "id").collect()))
+
+    arrive("a.jl", ("http://b.com", "http://c.com", "/x"), ("http://z.com", "#top"))
+    linkrank.run_incremental(spark, str(src), str(out), brief, extracted)
+    first = ids()
+    assert first == {"b.com": 0, "c.com": 1, "z.com": 2}
+    arrive("b.jl", ("http://a.com", "http://c.com"), ("http://b.com", "http://c.com"))
+    for _ in range(2):  # the second time nothing is new
+        found = linkrank.run_incremental(spark, str(src), str(out), brief, extracted)
+        whole = run_pipeline(spark, str(src), str(tmp_path / "whole"), brief, extracted)
+        degrees = ("url", "outdeg", "indeg", "uniqueout", "uniquein")
+        assert rows(found["type2"], *degrees) == rows(whole["type2"], *degrees)
+        assert ids() == first | {"a.com": 3}
 
 
 def test_counting_unparsed_types_is_refused(spark, tmp_path):

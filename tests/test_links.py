@@ -43,10 +43,6 @@ def test_counts_leave_out_one_character_parents(pages, rows):
     ]
 
 
-def test_both_extractors_give_the_same_page_links(pages, rows):
-    assert rows(links.parse_pages(pages)) == rows(links.parse_pages(pages, extractor="parser"))
-
-
 def test_raw_listing_cleans_nothing(pages, rows):
     listed = links.list_raw_links(pages, url_col="url").filter("parent_url like '%a.com%'")
     assert rows(listed) == [

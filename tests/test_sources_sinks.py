@@ -28,7 +28,8 @@ def crawl_folder(tmp_path):
 
 def test_crawl_scan(spark, crawl_folder, rows):
     pages = crawl.read_pages(spark, crawl_folder)
-    assert rows(pages.filter(pages.url.isNotNull()), "url", "crawl_file") == [
+    named = pages.withColumn("crawl_file", F.regexp_extract("crawl_file", "[^/]+$", 0))
+    assert rows(named.filter(pages.url.isNotNull()), "url", "crawl_file") == [
         *[(f"http://s{i}.com/p", "one.jl") for i in range(2)],
         *[(f"http://s{i}.com/p", "two.jl.gz") for i in range(2, 5)],
         ("http://t.com", "two.jl.gz"),
@@ -38,7 +39,7 @@ def test_crawl_scan(spark, crawl_folder, rows):
     assert crawl.read_pages(spark, crawl_folder, min_partitions=9).rdd.getNumPartitions() == 9
 
 
-def test_a_gzip_file_that_holds_most_of_the_crawl_is_spread(spark, crawl_folder, rows, monkeypatch):
+def test_large_gzip_files_are_spread_on_request(spark, crawl_folder, rows):
     import random
 
     noise = random.Random(1)
@@ -48,15 +49,29 @@ def test_a_gzip_file_that_holds_most_of_the_crawl_is_spread(spark, crawl_folder,
             out.write(json.dumps(page) + "\n")
     usual = crawl.read_pages(spark, crawl_folder)
     assert "Union" not in usual._jdf.queryExecution().optimizedPlan().toString()
-    monkeypatch.setattr(crawl, "MIN_SPREAD_BYTES", 4096)
-    spreading = crawl.read_pages(spark, crawl_folder)
+    spreading = crawl.read_pages(spark, crawl_folder, spread_above=4096)
     assert rows(spreading) == rows(usual)
-    tasks = spreading.filter("crawl_file = 'huge.jl.gz'").groupBy(F.spark_partition_id()).count()
+    tasks = spreading.filter("crawl_file like '%/huge.jl.gz'").groupBy(F.spark_partition_id()).count()
     assert tasks.count() == spark.sparkContext.defaultParallelism
     plan = spreading._jdf.queryExecution().executedPlan().toString()
     assert "RoundRobinPartitioning" in plan
 
 
+def test_files_of_two_folders_stay_apart(spark, tmp_path):
+    for name in ("x", "y z"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.jl").write_text(json.dumps({"url": f"http://{name[0]}.com"}))
+    pages = crawl.read_pages(spark, [str(tmp_path / "x"), str(tmp_path / "y z")])
+    assert pages.select("crawl_file").distinct().count() == 2
+
+
+def test_a_file_named_directly_is_read(spark, tmp_path, rows):
+    (tmp_path / "crawl.txt").write_text(json.dumps({"url": "http://t.com"}))
+    assert rows(crawl.read_pages(spark, str(tmp_path / "crawl.txt")), "url") == [("http://t.com",)]
+    with pytest.raises(FileNotFoundError):
+        crawl.read_pages(spark, str(tmp_path / "absent"))
+
+
 def test_fail_fast(spark, crawl_folder):
     with pytest.raises(Exception, match="(?i)malformed"):
         crawl.read_pages(spark, crawl_folder, fail_fast=True).collect()
@@ -125,12 +140,48 @@ def test_connectivity_files(spark, tmp_path, rows):
 
 
 def test_index_files(spark, tmp_path, rows):
-    (tmp_path / "forward.jl").write_text(json.dumps({"gnv": ["x", "y"]}))
-    (tmp_path / "reverse.jl").write_text(json.dumps({"y": 1, "x": 0}))
-    forward = stored.read_forward_index(spark, str(tmp_path / "forward.jl"))
-    assert rows(forward) == rows(stored.read_reverse_index(spark, str(tmp_path / "reverse.jl")))
-    tables.write_index(forward, str(tmp_path / "index"))
-    assert rows(spark.read.parquet(str(tmp_path / "index"))) == [(0, "x"), (1, "y")]
+    index = spark.createDataFrame([(0, "x"), (1, "y")], "id long, name string")
+    tables.write_index(index, str(tmp_path / "index"))
+    assert rows(stored.read_index(spark, str(tmp_path / "index"))) == [(0, "x"), (1, "y")]
+
+
+@pytest.mark.parametrize("line", ['{"a": {"b": 1', '{"a": {"b": 1.5}}', '{"src": "a", "slice": 0, "chil'])
+def test_unreadable_graph_lines_end_the_job(spark, tmp_path, line):
+    (tmp_path / "g.jl").write_text('{"a": {"b": 1}}\n\n' + line + "\n")
+    edges, parents = stored.read_connectivity(spark, str(tmp_path / "g.jl"))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        edges.collect()
+    with pytest.raises(Exception, match="(?i)malformed"):
+        parents.collect()
+
+
+def test_slices_are_labelled(spark, tmp_path, rows):
+    edges = spark.createDataFrame([("hub", f"d{i}", 1) for i in range(30)] + [("slice", "src", 2)], EDGES)
+    tables.write_connectivity(graph.node_connectivity(edges, max_children=10), str(tmp_path / "out"))
+    lines = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "out")).collect()]
+    assert all(set(x) == {"src", "slice", "children"} for x in lines)
+    hub = [x for x in lines if x["src"] == "hub"]
+    assert len(hub) == len({x["slice"] for x in hub}) > 1
+    assert rows(stored.read_connectivity(spark, str(tmp_path / "out"))[0]) == rows(edges)
+
+
+NASTY = ["tab\t", "\nline", 'a "quote"', "comma,", "back\\slash", "", " blank ", "cr\r\nlf", '"', "plain"]
+
+
+def test_csv_returns_what_went_in(spark, tmp_path, rows):
+    edges = spark.createDataFrame([(n, "x" + n, i) for i, n in enumerate(NASTY)], EDGES)
+    table = edges.withColumn("dstcount", F.lit(2).cast("long"))
+    tables.write_edge_table(table, str(tmp_path / "edges"))
+    schema = "src string, dst string, weight bigint, dstcount bigint"
+    back = tables.read_csv(spark, str(tmp_path / "edges"), schema).fillna("", ["src"])
+    assert rows(back) == rows(table)
+    import csv
+
+    with_other = []
+    for part in (tmp_path / "edges").glob("part-*.csv"):
+        with open(part, newline="", encoding="utf-8") as f:
+            with_other += list(csv.reader(f))[1:]
+    assert sorted((r[0], r[1], int(r[2])) for r in with_other) == sorted((n, "x" + n, i) for i, n in enumerate(NASTY))
 
 
 def test_url_lists_from_file_and_folder(spark, tmp_path, rows):
@@ -139,6 +190,12 @@ def test_url_lists_from_file_and_folder(spark, tmp_path, rows):
     (tmp_path / "log.txt").write_text("never.com\n")
     assert rows(stored.read_url_list(spark, str(tmp_path))) == [("a.com",), ("b.com",), ("b.com",)]
     assert rows(stored.read_url_list(spark, str(tmp_path / "log.txt"))) == [("never.com",)]
+    (tmp_path / "with blank").mkdir()
+    (tmp_path / "with blank" / "x.txt").write_text("never.com\n")
+    for path in (f"{tmp_path}//log.txt", f"{tmp_path}/*.txt", f"{tmp_path}/with blank/x.txt", f"file://{tmp_path}/log.txt"):
+        assert rows(stored.read_url_list(spark, path)) == [("never.com",)], path
+    with pytest.raises(FileNotFoundError):
+        stored.read_url_list(spark, str(tmp_path / "absent"))
 
 
 def test_ranked_csv_parts_are_in_order(spark, tmp_path):

@@ -40,23 +40,39 @@ def test_second_run_reads_only_new_files(spark, arrivals, tmp_path, rows):
     assert read_page_links(spark, out, ["type2"]).count() == 2
     bad = spark.read.parquet(out).filter("link_type = 'corrupt'")
     assert rows(bad, "bad_record") == [("{broken",)]
-    ingest.compact_edge_counts(spark, counts, str(tmp_path / "compact"))
-    assert spark.read.parquet(str(tmp_path / "compact")).count() == 2
+    again = [("a.com", "a.com", 1), ("a.com", "b.com", 2)]
+    assert rows(ingest.compact_edge_counts(spark, counts), "src", "dst", "weight") == again
+    assert [p.name.split("=")[0] for p in (tmp_path / "counts").iterdir() if p.is_dir()] == ["compacted"]
+    assert rows(ingest.compact_edge_counts(spark, counts), "src", "dst", "weight") == again
+    (arrivals / "three.jl").write_text(page("http://c.com", "http://b.com") + "\n")
+    assert run() == [*again, ("c.com", "b.com", 1)]
+    files = {p.rpartition("/")[2] for (p,) in rows(spark.read.parquet(out).select("crawl_file").distinct())}
+    assert files == {"one.jl", "two.jl", "three.jl"}
+
+
+def test_a_sum_that_was_cut_short_is_not_read(spark, arrivals, tmp_path, rows):
+    counts = tmp_path / "counts"
+    schema = "link_type string, src string, dst string, weight bigint"
+    for batch in (0, 1):
+        spark.createDataFrame([("type2", "a", "b", 1)], schema).write.parquet(f"{counts}/batch={batch}")
+    spark.createDataFrame([("type2", "a", "b", 7)], schema).write.parquet(f"{counts}/compacted=1")
+    (counts / "compacted=1" / "_SUCCESS").unlink()
+    assert rows(ingest.read_edge_counts(spark, str(counts)), "weight") == [(2,)]
+    assert rows(ingest.compact_edge_counts(spark, str(counts)), "weight") == [(2,)]
 
 
 def test_running_counts(spark, arrivals, tmp_path, rows):
-    out = str(tmp_path / "links")
-    ingest.ingest_links(
-        ingest.stream_pages(spark, str(arrivals)), out, str(tmp_path / "s")
-    ).awaitTermination()
-    counted = ingest.running_edge_counts(ingest.stream_links(spark, out))
-    query = (
-        counted.writeStream.format("memory")
-        .queryName("running_edges")
-        .outputMode("complete")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    got = rows(spark.table("running_edges").filter("link_type = 'type2'"), *EDGE_KEYS, "weight")
-    assert got == [("type2", "a.com", "a.com", 1), ("type2", "a.com", "b.com", 1)]
+    out, counts, state = (str(tmp_path / n) for n in ("links", "running", "state"))
+
+    def run():
+        pages = ingest.stream_pages(spark, str(arrivals), max_files_per_trigger=1)
+        ingest.ingest_links(pages, out, str(tmp_path / "s")).awaitTermination()
+        ingest.keep_running_counts(ingest.stream_links(spark, out), counts, state).awaitTermination()
+        kept = ingest.read_running_counts(spark, counts).filter("link_type = 'type2'")
+        return rows(kept, *EDGE_KEYS, "weight")
+
+    assert run() == [("type2", "a.com", "a.com", 1), ("type2", "a.com", "b.com", 1)]
+    for i in range(3):
+        (arrivals / f"{i}.jl").write_text(page("http://a.com", "http://b.com") + "\n")
+        assert run() == [("type2", "a.com", "a.com", 1), ("type2", "a.com", "b.com", i + 2)]
+    assert len(list((tmp_path / "running").glob("version=*"))) <= 2
