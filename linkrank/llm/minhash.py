@@ -9,13 +9,15 @@
    ``COLLISIONS`` common entries.  Values of common passages are frequent and stay outside.
 3. Members of a posting list skip straight to the full signature: collisions are counted over
    all coordinates and pairs below ``MATCHES`` are dropped (again a chance of about 1e-8).
-4. Pairs that remain are confirmed on the full sets.
+4. Pairs that remain are confirmed on the full sets, in the task where they meet: the sets of
+   posted classes lie in flat files of the shared folder, and a list's entries say where.  So
+   only links leave a task, never candidates.
 
 A group of n near copies has n^2 links, which are not needed to know its members.  So in a
-first round each member meets one member drawn from each of its lists, its best partner is
-confirmed, and components are formed; in the second round only pairs of different components
-are counted and confirmed.  No link between components is lost.  A long list is dealt out in
-blocks, and pairs of blocks meet in separate tasks.
+first round each member meets one member drawn from each of its lists, and components are
+formed; in the second round only pairs of different components are counted and confirmed, and
+one link for each pair of components is kept.  No link between components is lost.  A long list
+is dealt out in blocks, and pairs of blocks meet in separate tasks.
 """
 
 from __future__ import annotations
@@ -24,13 +26,14 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkrank.llm.components import components
-from linkrank.llm.shared import bitmap, in_bitmap, ship
+from linkrank.llm.shared import bitmap, file_system, in_bitmap, ship
 from linkrank.llm.text import hashes, mix, pieces, strings, windows, words
-from linkrank.operators.staging import stage
+from linkrank.operators.staging import scratch_path, stage
 
 SHINGLE = 5
 #: Similarity: 100 * intersection >= PERCENT * union.
@@ -40,12 +43,18 @@ POSTED = 32
 COLLISIONS = 10
 MATCHES = 66
 #: Classes of a posting list that meet in one task.
-BLOCK = 1024
+BLOCK = 256
+#: Bytes of sets that a task holds at a time, besides those of the pair at hand.
+HELD_BYTES = 64 << 20
+#: Columns of the matrix by which many pairs are confirmed at once.
+COLUMNS = 8192
 #: Bits of the filter of documents whose sets are needed again: fixed, a megabyte.
 FILTER_BITS = 1 << 23
 SEED = 20
 
 _SETS = 8192
+#: Fingerprints that a task remembers, to write repeated sets once.
+_KNOWN = 200_000
 
 
 def _factors() -> tuple[np.ndarray, np.ndarray]:
@@ -189,106 +198,171 @@ def _matches(parts, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
-def _pairs(batch, x, y, matches) -> pa.RecordBatch:
+class _Sets:
+    """The full sets of a batch's rows, read where ``file``, ``first`` and ``size`` say."""
+
+    def __init__(self, folder: str):
+        self.folder = folder
+        self.files: dict[str, np.ndarray] = {}
+        self.held: dict[tuple[str, int], np.ndarray] = {}
+        self.bytes = 0
+
+    def __call__(self, name: str, first: int, size: int) -> np.ndarray:
+        key = name, first
+        if key not in self.held:
+            if self.bytes > HELD_BYTES:
+                self.held.clear()
+                self.bytes = 0
+            self.held[key] = self._read(name, first, size)
+            self.bytes += 8 * size
+        return self.held[key]
+
+    def _read(self, name: str, first: int, size: int) -> np.ndarray:
+        store, path = file_system(f"{self.folder}/{name}")
+        if store.type_name != "local":
+            with store.open_input_file(path) as f:
+                return np.frombuffer(f.read_at(8 * size, 8 * first), "<u8")
+        if name not in self.files:
+            self.files[name] = np.memmap(path, dtype="<u8", mode="r")
+        return np.array(self.files[name][first : first + size])
+
+
+def _common(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The sizes of the intersections of pairs of sets."""
+    if not len(x):
+        return np.zeros(0, np.int64)
+    if len(x) < 4 * len(sets):
+        return np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for i, j in zip(x, y, strict=True)], np.int64)
+    values, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(codes, kind="stable")
+    codes, row = codes[order], row[order]
+    shared = np.zeros((len(sets), len(sets)), np.float32)
+    for start in range(0, len(values), COLUMNS):
+        a, b = np.searchsorted(codes, (start, start + COLUMNS))
+        part = np.zeros((len(sets), COLUMNS), np.float32)
+        part[row[a:b], codes[a:b] - start] = 1
+        shared += part @ part.T
+    return shared[x, y].astype(np.int64)
+
+
+def _confirmed(batch: pa.RecordBatch, read: _Sets, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of rows have sets that are similar enough."""
+    names, firsts, sizes = (batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("file", "first", "size"))
+    length = np.array(sizes, np.int64)
+    good = 100 * np.minimum(length[x], length[y]) >= percent * np.maximum(length[x], length[y])
+    rows, inverse = np.unique(np.concatenate([x[good], y[good]]), return_inverse=True)
+    sets = [read(names[i], firsts[i], sizes[i]) for i in rows.tolist()]
+    half = len(inverse) // 2
+    common = _common(sets, inverse[:half], inverse[half:])
+    out = good.copy()
+    out[good] = 100 * common >= percent * (length[x[good]] + length[y[good]] - common)
+    return out
+
+
+def _links(batch, x, y) -> pa.RecordBatch:
     prints = batch.column(batch.schema.get_field_index("fp"))
-    return pa.RecordBatch.from_arrays(
-        [prints.take(pa.array(x)), prints.take(pa.array(y)), pa.array(matches)], names=["a", "b", "matches"]
-    )
+    return pa.RecordBatch.from_arrays([prints.take(pa.array(x)), prints.take(pa.array(y))], names=["a", "b"])
 
 
-_PAIR = "a binary, b binary, matches long"
+_LINK = "a binary, b binary"
 
 
-def _with_leaders(batches):
-    """Every member of a group with the first of the group, if their signatures match."""
+def _with_leaders(batches, read: _Sets, percent: int):
+    """The links of every member of a group with the first of the group."""
     for batch in _groups(batches):
         parts = _coordinates(batch)
         groups = _column(batch, "g")
         first = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]]))
         leader = np.repeat(first, np.diff([*first, len(groups)]))
         member = np.flatnonzero(leader != np.arange(len(groups)))
-        matches = _matches(parts, member, leader[member])
-        good = matches >= MATCHES
-        yield _pairs(batch, member[good], leader[member][good], matches[good])
+        member = member[_matches(parts, member, leader[member]) >= MATCHES]
+        member = member[_confirmed(batch, read, member, leader[member], percent)]
+        yield _links(batch, member, leader[member])
 
 
-def _across(batches):
-    """Matching pairs of a group that lie in different components (and blocks, if two meet)."""
+def _across(batches, read: _Sets, percent: int):
+    """Links within a group between rows of different components (and blocks, if two meet), one
+    for each pair of components."""
     for batch in _groups(batches):
         parts = _coordinates(batch)
         groups, comps, blocks, two, masks, coordinate = (
             _column(batch, name) for name in ("g", "component", "block", "two", "mask", "i")
         )
-        rows = np.arange(len(groups))
-        step = 1
-        while True:
-            x = rows[:-step] if step < len(rows) else rows[:0]
-            x = x[groups[x] == groups[x + step]]
-            if not len(x):
-                break
-            y = x + step
-            wanted = (comps[x] != comps[y]) & (~two[x] | (blocks[x] != blocks[y]))
-            x, y = x[wanted], y[wanted]
-            if len(x):
-                # A pair that meets in several lists is reported by the first of them only.
+        starts = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]]))
+        for start, stop in zip(starts, [*starts[1:], len(groups)], strict=True):
+            found = []
+            for step in range(1, stop - start):
+                x = np.arange(start, stop - step)
+                y = x + step
+                wanted = (comps[x] != comps[y]) & (~two[x] | (blocks[x] != blocks[y]))
+                x, y = x[wanted], y[wanted]
+                if not len(x):
+                    continue
+                # A pair that meets in several lists is looked at in the first of them only.
                 equal = parts[0][x] == parts[0][y]
-                both = masks[x] & masks[y]
-                equal &= (both[:, None] >> np.arange(POSTED)) & 1 == 1
+                equal &= ((masks[x] & masks[y])[:, None] >> np.arange(POSTED)) & 1 == 1
                 here = equal.argmax(axis=1) == coordinate[x]
                 x, y = x[here], y[here]
-                matches = _matches(parts, x, y)
-                good = matches >= MATCHES
-                if good.any():
-                    yield _pairs(batch, x[good], y[good], matches[good])
-            step += 1
-
-
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough.
-
-    The sets of the classes that occur are made again from the texts of their documents.  A
-    bitmap of fixed size keeps other texts from being cut into shingles and moved.
+                good = _matches(parts, x, y) >= MATCHES
+                found.append((x[good], y[good]))
+            if not found:
+                continue
+            x, y = (np.concatenate(side) for side in zip(*found, strict=True))
+            good = _confirmed(batch, read, x, y, percent) if len(x) else np.zeros(0, bool)
+            x, y = x[good], y[good]
+            ends = np.sort(np.stack([comps[x], comps[y]], axis=1), axis=1)
+            _, once = np.unique(ends, axis=0, return_index=True)
+            yield _links(batch, x[once], y[once])
+
+
+def stored_sets(docs: DataFrame, needed: DataFrame, folder: str) -> DataFrame:
+    """Write the full sets of the classes in ``needed`` (fp, rep) below ``folder``; returns
+    (fp, file, first, size): where each lies, in 64-bit numbers.
+
+    The sets are made again from the texts.  A bitmap of fixed size keeps other texts from being
+    cut into shingles.  File names carry the task attempt, and the rows of committed attempts
+    alone are read.
     """
     spark = docs.sparkSession
-    needed = (
-        pairs.select(F.explode(F.array("a", "b")).alias("fp"))
-        .distinct()
-        .join(classes.select("fp", "rep"), "fp")
-    )
-    needed = stage(needed, "needed")
     slot = F.pmod(F.xxhash64("rep"), F.lit(FILTER_BITS))
     wanted = spark.sparkContext.broadcast(bitmap(needed.select(slot.alias("slot")), FILTER_BITS))
-    size = SHINGLE
 
-    def sets(batches):
+    def write(batches):
+        task = TaskContext.get()
+        name = f"sets-{task.partitionId():06d}-{task.taskAttemptId()}"
+        store, root = file_system(folder)
+        out, place, known = None, 0, set()
         for batch in batches:
-            slots = batch.column(2).to_numpy()
-            hit = in_bitmap(wanted.value, slots)
+            hit = in_bitmap(wanted.value, batch.column(1).to_numpy())
             for piece in pieces(batch.filter(pa.array(hit))):
-                found = list(shingle_sets(strings(piece.column("text")), size))
+                rows = []
+                for shingles in shingle_sets(strings(piece.column("text"))):
+                    fp = fingerprint(shingles)
+                    if fp is None or fp in known:
+                        continue
+                    if len(known) < _KNOWN:
+                        known.add(fp)
+                    if out is None:
+                        store.create_dir(root, recursive=True)
+                        out = store.open_output_stream(f"{root}/{name}")
+                    out.write(shingles.astype("<u8").tobytes())
+                    rows.append((fp, place, len(shingles)))
+                    place += len(shingles)
+                prints, firsts, sizes = zip(*rows, strict=True) if rows else ((), (), ())
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([fingerprint(s) for s in found], pa.binary()),
-                        pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64())),
-                    ],
-                    names=["fp", "shingles"],
-                )
+                    [pa.array(prints, pa.binary()), pa.array([name] * len(rows), pa.string()),
+                     pa.array(firsts, pa.int64()), pa.array(sizes, pa.int64())],
+                    names=["fp", "file", "first", "size"],
+                )
+        if out is not None:
+            out.close()
 
     own_slot = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(FILTER_BITS))
-    again = docs.select("doc_id", "text", own_slot.alias("slot")).mapInArrow(
-        sets, "fp binary, shingles array<long>"
-    )
-    # Any document with the fingerprint has the set, so repeated rows are one.
-    full = again.join(needed.select("fp"), "fp", "left_semi").groupBy("fp").agg(F.first("shingles").alias("shingles"))
-    full = stage(full, "shingle-sets")
-    left = full.select(F.col("fp").alias("a"), F.col("shingles").alias("sa"))
-    right = full.select(F.col("fp").alias("b"), F.col("shingles").alias("sb"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - common
-    return (
-        pairs.select("a", "b").join(right, "b").join(left, "a").filter(100 * common >= percent * union)
-        .select("a", "b").distinct()
-    )
+    rows = docs.select("text", own_slot.alias("slot")).mapInArrow(write, "fp binary, file string, first long, size long")
+    # Any document with the fingerprint has the set.
+    rows = stage(rows, "sets").groupBy("fp").agg(F.min(F.struct("file", "first", "size")).alias("at"))
+    return rows.select("fp", "at.file", "at.first", "at.size")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -311,7 +385,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         "classes",
     )
     postings = stage(prefixes(classes), "postings")
-    signatures = classes.select("fp", "sig")
+    posted = stage(postings.select("fp").distinct().join(classes, "fp"), "posted")
+    folder = scratch_path(spark, "set-files")
+    signatures = stage(stored_sets(docs, posted, folder).join(posted.select("fp", "sig"), "fp"), "signatures")
 
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("fp"), blocks.cast("long")).cast("int")
@@ -323,9 +399,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         .sortWithinPartitions("g", "token", F.xxhash64("fp", "token"))
     )
     ship(spark)
-    led = dealt.select("g", "fp", "sig").mapInArrow(_with_leaders, _PAIR)
-    best = led.groupBy("a").agg(F.max_by("b", F.struct("matches", "b")).alias("b"))
-    first_links = stage(_confirmed(stage(best, "first-pairs"), docs, classes, percent), "first-links")
+    led = dealt.select("g", "fp", "sig", "file", "first", "size").mapInArrow(
+        lambda batches: _with_leaders(batches, _Sets(folder), percent), _LINK
+    )
+    first_links = stage(led.distinct(), "first-links")
     first = components(first_links)
 
     grouped = postings.join(first.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
@@ -349,10 +426,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         .repartition("g")
         .sortWithinPartitions("g", "token", "fp")
     )
-    across = met.select("g", "fp", "sig", "mask", "i", "component", "block", "two").mapInArrow(_across, _PAIR)
-    second = stage(across.select("a", "b").distinct(), "second-pairs")
-    second_links = _confirmed(second, docs, classes, percent)
-    found = components(first_links.unionByName(second_links))
+    across = met.select(
+        "g", "fp", "sig", "mask", "i", "component", "block", "two", "file", "first", "size"
+    ).mapInArrow(lambda batches: _across(batches, _Sets(folder), percent), _LINK)
+    found = components(first_links.unionByName(across))
 
     members = found.join(classes.select(F.col("fp").alias("node"), "rep"), "node")
     smallest = members.groupBy("root").agg(F.min("rep").alias("component"))

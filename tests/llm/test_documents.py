@@ -77,8 +77,10 @@ def test_empty_and_thresholds(no_docs):
         minhash.near_duplicates(no_docs, percent=50)
 
 
-def test_long_lists_meet_in_blocks(spark, near_rows):
-    """Pairs of a list that is dealt out in blocks are those of the whole list."""
+def test_long_lists_meet_in_blocks(tmp_path):
+    """Links of a list that is dealt out in blocks are those of the whole list."""
+    own = np.arange(20, dtype="<u8")
+    (tmp_path / "sets").write_bytes(own.tobytes() * 50)
     draw = np.random.Generator(np.random.PCG64(1))
     base = draw.integers(0, 2**32, minhash.POSTED, dtype=np.uint64).astype("<u4")
     rest = draw.integers(0, 2**16, minhash.COORDINATES - minhash.POSTED).astype("<u2")
@@ -103,22 +105,36 @@ def test_long_lists_meet_in_blocks(spark, near_rows):
                 pa.array([r[2] // 2 for r in rows], pa.int64()),
                 pa.array([r[3] for r in rows], pa.int32()),
                 pa.array([r[4] for r in rows]),
+                pa.array(["sets"] * len(rows)),
+                pa.array([20 * r[2] for r in rows]),
+                pa.array([20] * len(rows)),
             ],
-            names=["g", "fp", "sig", "mask", "i", "component", "block", "two"],
+            names=["g", "fp", "sig", "mask", "i", "component", "block", "two", "file", "first", "size"],
         )
 
     def pairs(blocks, size):
         whole = batch(blocks)
         parts = [whole.slice(i, size) for i in range(0, len(whole), size)]
         out = Counter()
-        for b in minhash._across(iter(parts)):
+        for b in minhash._across(iter(parts), minhash._Sets(f"file://{tmp_path}"), 75):
             out.update(frozenset(p) for p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
         return out
 
-    expected = Counter(frozenset((bytes([i]), bytes([j]))) for i in range(n) for j in range(i) if i // 2 != j // 2)
-    assert pairs(1, 1000) == expected
-    assert pairs(3, 7) == expected
-
+    expected = {frozenset((i, j)) for i in range(n // 2) for j in range(i)}  # one for two components
+    for found in (pairs(1, 1000), pairs(3, 7)):
+        ends = [frozenset(x[0] // 2 for x in p) for p in found]
+        assert set(ends) == expected and set(found.values()) == {1}
+    assert len(pairs(1, 1000)) == len(expected)
+
+
+def test_many_intersections_at_once(monkeypatch):
+    monkeypatch.setattr(minhash, "COLUMNS", 16)
+    draw = np.random.Generator(np.random.PCG64(2))
+    sets = [np.unique(draw.integers(0, 90, draw.integers(1, 60)).astype(np.uint64)) for _ in range(12)]
+    x, y = np.triu_indices(12, 1)
+    expected = [len(set(sets[i].tolist()) & set(sets[j].tolist())) for i, j in zip(x, y, strict=True)]
+    assert minhash._common(sets, x, y).tolist() == expected  # many pairs
+    assert minhash._common(sets, x[:5], y[:5]).tolist() == expected[:5]  # few
 
 def test_components(spark):
     draw = random.Random(4)
