@@ -108,8 +108,8 @@ c AS (
 f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM c),
 m AS (
     SELECT doc_id, lang, source, unnest([
-        {'m': 'symbols', 'v': 1000 * n_symbols // word_chars, 'slack': 100, 'two': false},
-        {'m': 'repeats', 'v': 1000 * n_repeat_words // n_words, 'slack': 100, 'two': false},
+        {'m': 'symbols', 'v': 1000 * n_symbols // word_chars, 'slack': 60, 'two': false},
+        {'m': 'repeats', 'v': 1000 * n_repeat_words // n_words, 'slack': 250, 'two': false},
         {'m': 'lines', 'v': 1000 * n_dup_lines // n_words, 'slack': 50, 'two': false},
         {'m': 'length', 'v': least(1000, 10 * word_chars // n_words), 'slack': 20, 'two': true}]) AS x
     FROM f WHERE NOT base_failed

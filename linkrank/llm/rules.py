@@ -28,8 +28,8 @@ SCALE = 1000
 #: the distance of the quartiles plus slack, and for word length also the lower quartile minus it.
 REACH = 3
 MEASURES = {
-    "symbols": (f"{SCALE} * n_symbols div word_chars", 100),
-    "repeats": (f"{SCALE} * n_repeat_words div n_words", 100),
+    "symbols": (f"{SCALE} * n_symbols div word_chars", 60),
+    "repeats": (f"{SCALE} * n_repeat_words div n_words", 250),
     "lines": (f"{SCALE} * n_dup_lines div n_words", 50),
     "length": (f"least({SCALE}, 10 * word_chars div n_words)", 20),
 }
