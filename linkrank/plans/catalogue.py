@@ -679,10 +679,8 @@ def dirty_pages_dropped(spark, sf_dir):
 
 
 def _stream(spark, sf_dir) -> DataFrame:
-    schema = pages(spark, sf_dir).schema
-    return (
-        spark.readStream.schema(schema).option("pathGlobFilter", "pages.parquet").parquet(sf_dir)
-    )
+    # A pattern, because a stream reads folders or patterns: the table may be a file.
+    return spark.readStream.schema(pages(spark, sf_dir).schema).parquet(f"{sf_dir}/pages.parque[t]")
 
 
 def _ingested(spark, sf_dir) -> str:
