@@ -18,7 +18,10 @@ VARIANTS = ("current", "legacy")
 ERROR_URL = "http://www.error.com"
 UNQUOTE_PASSES = 5
 SCHEMES = ("http://", "https://", "http:/", "https:/")
-WHITESPACE = " \t\n\r\x0b\x0c"
+# All characters that count as white space in Unicode, and the separators U+001C to U+001F.
+WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + (
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def _unquote_once(url: Column) -> Column:

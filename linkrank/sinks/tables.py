@@ -19,7 +19,9 @@ from linkrank.operators.ranking import ranked
 def writers_per_type(spark: SparkSession) -> Iterator[None]:
     """Let a task hold one open file per link type.
 
-    Otherwise Spark sorts every task's rows by the partition column before writing them.
+    Otherwise Spark sorts every task's rows by the partition column before writing them.  Spark
+    has this as a setting of the session only, so other threads of the session have it meanwhile;
+    it changes how their files are written, not what is in them.
     """
     key = "spark.sql.maxConcurrentOutputFileWriters"
     before = spark.conf.get(key)

@@ -156,3 +156,9 @@ def test_random_hosts_against_plain_string_work(spark):
         tuple(r) for r in named.collect() if (r["h"], r["d"]) != (host(r["u"]), domain(host(r["u"])))
     ]
     assert wrong == []
+
+
+def test_white_space_before_a_parent_goes(spark):
+    rows = [(space + "http://a.com/x y",) for space in ("", " ", "\u00a0", "\u2003 \t", "\x1f", "\u3000\n")]
+    found = spark.createDataFrame(rows, "u string").select(urls.clean_parent(F.col("u"))).collect()
+    assert {r[0] for r in found} == {"http://a.com/x"}
