@@ -2,8 +2,8 @@
 
 Features are the hashed n-grams of the words of a text, each word between blanks, as present
 or absent.  Over a bounded sample of labelled rows, every n-gram gets its log-count ratio
-between toxic and other texts; n-grams whose ratio is not clearly different from zero are
-left out.  A logistic model is trained with the ratios as feature values.
+between toxic and other texts.  A logistic model is trained on all of them with the ratios as
+feature values; its penalties choose.
 """
 
 from __future__ import annotations
@@ -24,9 +24,8 @@ from linkrank.operators.staging import stage
 SAMPLE = 6_000
 SIZES = (3, 4, 5, 6)
 BUCKETS = 1 << 20
-#: Features: n-grams whose ratio is this many standard errors from zero, at most so many.
-CLEAR = 4.0
-FEATURES = 1 << 14
+#: Entries of the sparse matrix that are worked on at once.
+BLOCK = 1 << 20
 THRESHOLD = 0.5
 RIDGE = 1e-6
 LASSO = 1e-5
@@ -81,15 +80,31 @@ class NgramModel:
         return self.intercept + np.bincount(text, weights=self.weights[bucket], minlength=len(texts))
 
 
-def _sums(rows, size, values):
-    return np.bincount(rows, weights=values, minlength=size)
+def _train(bounds, column, value, y, weight) -> tuple[float, np.ndarray]:
+    """Intercept and weights of the penalised weighted logistic loss over a sparse matrix.
 
+    Row i has the columns ``column[bounds[i]:bounds[i + 1]]``, each with the column's ``value``.
+    """
+    n, k, share, lengths = len(y), len(value), weight / weight.sum(), np.diff(bounds)
+    blocks, start = [], 0
+    while start < n:  # whole rows
+        stop = max(start + 1, int(np.searchsorted(bounds, bounds[start] + BLOCK, side="right")) - 1)
+        blocks.append((slice(start, stop), slice(bounds[start], bounds[stop])))
+        start = stop
+
+    def forward(w):
+        scaled, out = w[1:] * value, np.full(n, w[0])
+        for rows, entries in blocks:
+            sums = np.concatenate([[0.0], np.cumsum(scaled[column[entries]])])
+            out[rows] += np.diff(sums[np.append(bounds[rows], entries.stop) - entries.start])
+        return out
+
+    def backward(r):
+        out = np.zeros(k)
+        for rows, entries in blocks:
+            out += np.bincount(column[entries], weights=np.repeat(r[rows], lengths[rows]), minlength=k)
+        return np.concatenate([[r.sum()], out * value])
 
-def _train(row, column, value, y, weight, k: int) -> tuple[float, np.ndarray]:
-    """Intercept and weights of the penalised weighted logistic loss over a sparse matrix."""
-    n, share = len(y), weight / weight.sum()
-    forward = lambda w: w[0] + _sums(row, n, value * w[1:][column])
-    backward = lambda r: np.concatenate([[r.sum()], _sums(column, k, value * r[row])])
     power = np.ones(k + 1)
     for _ in range(30):
         power = backward(share * forward(power))
@@ -135,40 +150,39 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> NgramModel
     counted = sample.select("label", "text").mapInArrow(count, "bucket long, other long, toxic long")
     counted = counted.groupBy("bucket").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
     ratio = F.log(((F.col("toxic") + 1) / (totals[1] + 2)) / ((F.col("other") + 1) / (totals[0] + 2)))
-    error = F.sqrt(1 / (F.col("toxic") + 1) + 1 / (F.col("other") + 1))
-    clear = (
-        counted.withColumn("ratio", ratio)
-        .withColumn("clear", F.abs("ratio") / error)
-        .filter(F.col("clear") >= CLEAR)
-        .orderBy(F.desc("clear"), "bucket")
-        .limit(FEATURES)
-        .toPandas()
-    )
+    found = counted.select("bucket", ratio.alias("ratio")).toPandas()  # at most BUCKETS rows
     ratios = np.zeros(BUCKETS)
-    ratios[clear["bucket"].to_numpy(dtype=np.int64)] = clear["ratio"].to_numpy()
-    shared = spark.sparkContext.broadcast(ratios != 0)
+    ratios[found["bucket"].to_numpy(dtype=np.int64)] = found["ratio"].to_numpy()
 
     def features(batches):
         for batch in batches:
             for piece in pieces(batch):
-                text, bucket = text_features(strings(piece.column("text")), shared.value)
-                bounds = np.searchsorted(text, np.arange(len(piece) + 1))
-                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(bucket))
+                text, bucket = text_features(strings(piece.column("text")))
+                bounds = np.searchsorted(text, np.arange(len(piece) + 1)).tolist()
+                bucket = bucket.astype("<i4")
+                lists = pa.array([bucket[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())
                 kept = [piece.column(n) for n in ("doc_id", "label", "weight")]
                 yield pa.RecordBatch.from_arrays([*kept, lists], names=["doc_id", "label", "weight", "buckets"])
 
-    rows = (
+    rows = stage(
         sample.select(F.col("doc_id").cast("long").alias("doc_id"), "label", "weight", "text")
-        .mapInArrow(features, "doc_id long, label int, weight double, buckets array<long>")
-        .toPandas()  # at most SAMPLE rows of each label, of FEATURES numbers each
-        .sort_values("doc_id")
+        .mapInArrow(features, "doc_id long, label int, weight double, buckets binary"),
+        "features",
     )
-    lengths = rows["buckets"].map(len).to_numpy()
-    row = np.repeat(np.arange(len(rows)), lengths)
-    bucket = np.concatenate([np.zeros(0, np.int64), *rows["buckets"]]).astype(np.int64)
-    known, column = np.unique(bucket, return_inverse=True)
-    y, weight = rows["label"].to_numpy(dtype=float), rows["weight"].to_numpy(dtype=float)
-    intercept, w = _train(row, column, ratios[bucket], y, weight, len(known))
+    # At most SAMPLE rows of each label, of BUCKETS numbers each; they come one partition at a time.
+    rows = sorted((r["doc_id"], r["label"], r["weight"], bytes(r["buckets"])) for r in rows.toLocalIterator())
+    bounds = np.concatenate([[0], np.cumsum([len(r[3]) // 4 for r in rows])])
+    column = np.empty(bounds[-1], np.int32)
+    for i, r in enumerate(rows):
+        column[bounds[i] : bounds[i + 1]] = np.frombuffer(r[3], "<i4")
+    y, weight = np.array([r[1] for r in rows], float), np.array([r[2] for r in rows])
+    del rows
+    known = np.sort(found["bucket"].to_numpy(dtype=np.int64))
+    place = np.zeros(BUCKETS, np.int32)
+    place[known] = np.arange(len(known))
+    for start in range(0, len(column), BLOCK):
+        column[start : start + BLOCK] = place[column[start : start + BLOCK]]
+    intercept, w = _train(bounds, column, ratios[known], y, weight)
     weights = np.zeros(BUCKETS)
     weights[known] = w * ratios[known]
     return NgramModel(weights, intercept)

@@ -104,3 +104,24 @@ def test_statistics_are_evaluated_once(labelled, capsys):
     model = quality.fit(docs, labels)
     quality.scored(docs, model, "q").filter("q >= 0.3").explain("formatted")
     assert capsys.readouterr().out.count("translate(") < 10
+
+
+def test_rare_toxic_words_are_learned(spark, prose):
+    """Each toxic word occurs in a few labelled rows only."""
+    draw = random.Random(12)
+    lexicon = ["".join(draw.choices("gvwxzkjpd", k=9)) for _ in range(60)]
+    docs, labels = [], []
+    for i in range(1500):
+        own = prose(7000 + i, 40).split(" ")
+        if i % 5 == 0:
+            own.insert(draw.randint(0, len(own)), lexicon[i // 5 % 60])
+        docs.append((i, " ".join(own)))
+        labels.append((i, int(i % 5 == 0)))
+    seen = {w: sum(i % 5 == 0 and lexicon[i // 5 % 60] == w and not held(i) for i in range(1500)) for w in lexicon}
+    assert max(seen.values()) <= 5
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    rows = toxicity.toxicity_scores(frame, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    rows = [r for r in rows if r.held_out and (r.doc_id % 5 or seen[lexicon[r.doc_id // 5 % 60]] > 1)]
+    caught = [r.predicted for r in rows if r.doc_id % 5 == 0]
+    assert len(caught) > 30 and np.mean(caught) > 0.9
+    assert np.mean([r.predicted for r in rows if r.doc_id % 5]) < 0.02
