@@ -15,6 +15,7 @@ from linkrank.operators.staging import scratch_path, stage, write_and_read
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 _SCORE = "__score"
+_DECODED = "__decoded"
 
 
 def _same_columns(rows: DataFrame, docs: DataFrame) -> DataFrame:
@@ -77,8 +78,21 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with the token ids of their whole texts (``ids``)."""
-    return bpe.encode_table(docs, tokenizer_path())
+    """The documents with the token ids of their whole texts (``ids``).
+
+    The ids are decoded again; the stage fails if they do not give a text back.  A null text
+    counts as empty.
+    """
+    return checked(bpe.encode_table(docs, tokenizer_path()))
+
+
+def checked(encoded: DataFrame) -> DataFrame:
+    """``encoded``, which fails where the decoded ``ids`` are not the text."""
+    decoded = bpe.decode_table(encoded, tokenizer_path(), out=_DECODED)
+    same = F.col(_DECODED) == F.coalesce(F.col("text"), F.lit(""))
+    wrong = F.raise_error(F.concat(F.lit("ids do not give the text of doc_id "), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    ids = F.when(same, F.col("ids")).otherwise(wrong.cast("array<int>")).alias("ids")
+    return decoded.select(*[ids if c == "ids" else F.col(f"`{c}`") for c in encoded.columns])
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -10,6 +10,7 @@ import corpus_pipeline as pipeline
 from compare import check, connect
 from linkrank.llm import decontaminate, minhash, oracles, quality, queries, toxicity
 from linkrank.operators.staging import scratch_path, write_and_read
+from pyspark.sql import functions as F
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
@@ -67,3 +68,12 @@ def test_repeated_rows_are_one_group(spark, prose):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(
         [(1, prose(1, 50)), (3, ""), (3, ""), (None, prose(2, 50))], key=repr
     )
+
+
+def test_ids_that_do_not_give_the_text_fail(spark, odd_docs):
+    docs = odd_docs.drop("ids")
+    encoded = pipeline.encode(spark, docs, FOLDER)
+    assert encoded.columns == [*docs.columns, "ids"] and encoded.filter("size(ids) >= 0").count() == docs.count()
+    wrong = encoded.withColumn("ids", F.expr("CASE WHEN doc_id = 7 THEN slice(ids, 1, 0) ELSE ids END"))
+    with pytest.raises(Exception, match="doc_id 7"):
+        pipeline.checked(wrong).collect()
