@@ -130,10 +130,65 @@ FROM f LEFT JOIN o USING (doc_id)
 """
 
 
+SEARCH = f"""
+WITH u AS (SELECT doc_id, unnest({ALNUM}) AS t FROM documents),
+n AS (SELECT doc_id, count(*) AS n FROM u GROUP BY doc_id),
+g AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM n),
+m AS (SELECT doc_id, 25 + (75 * n * docs) // total AS m FROM n, g),
+i AS (SELECT item_id, unnest({ALNUM}) AS t FROM benchmark),
+q AS (SELECT item_id, t, count(*) AS q FROM i GROUP BY ALL),
+f AS (SELECT doc_id, t, count(*) AS tf FROM u WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+w AS (
+    SELECT t, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS w
+    FROM (SELECT t, count(*) AS df FROM f GROUP BY t), g
+),
+s AS (
+    SELECT item_id, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM q JOIN f USING (t) JOIN w USING (t) JOIN m USING (doc_id) GROUP BY ALL
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10
+"""
+
+MIXING = """
+WITH d AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+           ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS draw
+    FROM documents
+),
+s AS (
+    SELECT source, sum(size)::BIGINT AS source_size,
+           1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w
+    FROM d GROUP BY source
+),
+o AS (
+    SELECT *, 3 * source_size AS cap, (sum(source_size) OVER ())::BIGINT AS words, (sum(w) OVER ())::BIGINT AS weights,
+           coalesce(sum(3 * source_size) OVER b, 0)::BIGINT AS spent, coalesce(sum(w) OVER b, 0)::BIGINT AS gone,
+           row_number() OVER (ORDER BY source_size / w, source NULLS LAST) AS i
+    FROM s WINDOW b AS (ORDER BY source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+l AS (
+    SELECT (words - spent) / (weights - gone) AS level FROM o
+    WHERE cap >= (words - spent) / (weights - gone) * w ORDER BY i LIMIT 1
+),
+t AS (SELECT source, source_size, least(cap::DOUBLE, coalesce(level, 0) * w) AS target FROM o LEFT JOIN l ON true),
+e AS (
+    SELECT d.*, source_size, target, (sum(size) OVER (
+        PARTITION BY d.source ORDER BY draw, doc_id, size ROWS UNBOUNDED PRECEDING))::BIGINT - size AS begin
+    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target, source,
+       list_sum([greatest(0, least(size, floor(target)::BIGINT - (k * source_size + begin))) for k in range(3)])::BIGINT AS taken
+FROM e
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_warc": WARC,
         "op6_minhash": MINHASH,
         "op7_decontamination": DECONTAMINATION,
         "op8_quality_rules": RULES,
+        "op11_search": SEARCH,
+        "op12_mixing": MIXING,
     }

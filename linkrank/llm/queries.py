@@ -17,6 +17,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def pieces_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_bpe(spark, sf_dir):
     from linkrank.llm.bpe import round_trip
 
@@ -78,6 +84,24 @@ def op10_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_search(spark, sf_dir):
+    from linkrank.llm.search import ranked_documents
+
+    return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_mixing(spark, sf_dir):
+    from linkrank.llm.mixing import mixed
+
+    return mixed(table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark, sf_dir):
+    from linkrank.llm.alignment import aligned
+
+    return aligned(table(spark, sf_dir, "documents"), tokenizer_path(), pieces_path())
+
+
 def queries() -> dict[str, Query]:
-    found = [op1_bpe, op2_token_files, op3_lm, op4_warc, op5_quality, op6_minhash, op7_decontamination, op8_quality_rules, op9_toxicity, op10_token_counts]
+    found = [op1_bpe, op2_token_files, op3_lm, op4_warc, op5_quality, op6_minhash, op7_decontamination, op8_quality_rules, op9_toxicity, op10_token_counts, op11_search, op12_mixing, op13_alignment]
     return {q.__name__: q for q in found}

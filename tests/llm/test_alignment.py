@@ -1,0 +1,124 @@
+"""Token alignment against whole texts encoded by both libraries."""
+
+import bisect
+import hashlib
+import itertools
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import sentencepiece
+from linkrank.llm import alignment
+from linkrank.llm.bpe import byte_characters
+from linkrank.llm.queries import pieces_path, tokenizer_path
+from tokenizers import Tokenizer
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    a = Tokenizer.from_file(tokenizer_path())
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=pieces_path())
+    byte_of = {c: i for i, c in enumerate(byte_characters())}
+    a_bytes = {i: bytes(byte_of[c] for c in s) for s, i in a.get_vocab().items() if s != "<|endoftext|>"}
+    b_bytes = [
+        bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode()
+        for i in range(b.get_piece_size())
+    ]
+    return a, b, a_bytes, b_bytes
+
+
+def brute(libraries, docs):
+    a, b, a_bytes, b_bytes = libraries
+    facts, links = [], []
+    for _, t in docs:
+        first, second = a.encode(" " + (t or ""), add_special_tokens=False).ids, b.encode(t or "")
+        ends_a = list(itertools.accumulate(len(a_bytes[x]) for x in first))
+        ends_b = list(itertools.accumulate(len(b_bytes[x]) for x in second))
+        data = f" {t}".encode()
+        if not t or b"".join(a_bytes[x] for x in first) != data or b"".join(b_bytes[x] for x in second) != data:
+            facts.append((0, 0, 0, 0, ""))
+            links.append(Counter())
+            continue
+        ends = sorted(set(ends_a) & set(ends_b))
+        groups = [([], []) for _ in ends]
+        for side, ids, own in ((0, first, ends_a), (1, second, ends_b)):
+            for x, end in zip(ids, own, strict=True):
+                groups[bisect.bisect_left(ends, end)][side].append(x)
+        held = Counter((x, y) for p, q in groups for x in p for y in q)
+        text = ";".join(",".join(map(str, p)) + "|" + ",".join(map(str, q)) for p, q in groups)
+        facts.append((len(first), len(second), len(ends), sum(held.values()), hashlib.sha256(text.encode()).hexdigest()))
+        links.append(held)
+    counts = Counter(p for held in links for p in held)
+    highest = {}
+    for (x, _), n in counts.items():
+        highest[x] = max(highest.get(x, 0), n)
+    rows = [
+        (i, *f[:4], sum(m for p, m in held.items() if counts[p] == highest[p[0]]), sum(m * counts[p] for p, m in held.items()), f[4])
+        for (i, _), f, held in zip(docs, facts, links, strict=True)
+    ]
+    total = Counter()
+    for held in links:
+        total.update(held)
+    return sorted(rows, key=repr), counts, total
+
+
+@pytest.fixture(scope="module")
+def texts(odd_rows):
+    more = ["a  b", "  lead", "trail  ", "tab\tand\nline \n\n x", "ﬁ½ é <s></s> <0x41>", "low ▁ line", "a\x00b", "1234567 89", "😀😀 é́"]
+    return odd_rows + [(200 + i, t) for i, t in enumerate(more)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, texts):
+    return spark.createDataFrame([(i, t, "clash", 0) for i, t in texts], "doc_id long, text string, a string, slab int").repartition(3)
+
+
+def test_equals_brute_force(docs, texts, libraries, rows):
+    expected, counts, total = brute(libraries, texts)
+    found = alignment.aligned(docs, tokenizer_path(), pieces_path())
+    assert rows(found) == expected
+    assert sum(r[1] == 0 for r in expected) == 3  # null, empty and U+2581
+
+
+def test_pair_counts(docs, texts, libraries):
+    _, counts, total = brute(libraries, texts)
+    found = alignment.pair_counts(alignment.posting_table(docs, tokenizer_path(), pieces_path())).collect()
+    assert {(r["a"], r["b"]): r["documents"] for r in found} == dict(counts)
+    assert {(r["a"], r["b"]): r["links"] for r in found} == dict(total)
+
+
+def test_small_slabs(spark, docs, texts, libraries, rows, monkeypatch):
+    monkeypatch.setattr(alignment, "SLAB", 2)
+    assert rows(alignment.aligned(docs.coalesce(1), tokenizer_path(), pieces_path())) == brute(libraries, texts)[0]
+
+
+def test_empty_table(docs):
+    found = alignment.aligned(docs.limit(0), tokenizer_path(), pieces_path())
+    assert found.count() == 0 and found.columns[-1] == "groups_sha256"
+
+
+def test_planes_give_the_links_back():
+    draw = np.random.default_rng(1)
+    n = 300
+    keys = np.unique(draw.integers(0, 40, 4000) * n + draw.integers(0, n, 4000))
+    pair, doc, links = keys // n + 5, keys % n, draw.integers(1, 70, len(keys))
+    got = Counter()
+    for batch in alignment.postings(7, n, pair, doc, links):
+        for r in batch.to_pylist():
+            held = np.flatnonzero(np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")) if r["dense"] else np.frombuffer(r["bits"], "<u2")
+            assert len(held) == r["docs"] and r["slab"] == 7
+            for d in held.tolist():
+                got[r["a"] << 15 | r["b"], d] += 1 << max(r["plane"] - 1, 0)
+    assert got == {(p, d): m for p, d, m in zip(pair.tolist(), doc.tolist(), links.tolist(), strict=True)}
+
+
+def test_chunks_are_cut_where_no_token_crosses(libraries):
+    a, b = libraries[:2]
+    text = " one two  three\n four, é ü 漢 字 x　y z <|endoftext|> w "
+    distinct, codes, starts = alignment.cut(pa.array([text]))
+    parts = [distinct[c] for c in codes]
+    assert "".join(parts) == text and len(parts) > 5
+    assert [x for p in parts for x in a.encode(p, add_special_tokens=False).ids] == a.encode(text, add_special_tokens=False).ids
+    assert [x for p in parts for x in b.encode(p[1:])] == b.encode(text[1:])
