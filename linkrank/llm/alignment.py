@@ -32,8 +32,12 @@ from linkrank.operators.staging import stage
 
 #: Chunks that a worker remembers; two generations of this size are held at most.
 REMEMBERED = 100_000
+#: Chunks that go to the libraries in one call: their results take much more room than ids.
+JOINED = 1_000
 #: Documents of a slab, at most: a place in a slab has 16 bits.
 SLAB = 1 << 16
+#: Bytes of text that are aligned at once, and that a slab holds.
+PIECE_BYTES = 4 << 20
 #: A bitmap is written out from one document in this many on, else as places of 16 bits.
 DENSE = 16
 #: The row of a slab that holds its documents.
@@ -78,11 +82,13 @@ class Aligner:
     def align(self, parts: list[str]) -> list[tuple]:
         """(tokens of A, of B, groups, links, text of the groups, pairs, how often) of each chunk;
         the first is -1 where the tokens do not give the chunk."""
-        if not parts:
-            return []
-        first = self.a.encode_batch_fast(parts, add_special_tokens=False)
-        second = self.b.encode([p[1:] for p in parts], num_threads=1)
-        return [self._groups(p.encode(), a.ids, b) for p, a, b in zip(parts, first, second, strict=True)]
+        out = []
+        for start in range(0, len(parts), JOINED):
+            own = parts[start : start + JOINED]
+            first = self.a.encode_batch_fast(own, add_special_tokens=False)
+            second = self.b.encode([p[1:] for p in own], num_threads=1)
+            out += [self._groups(p.encode(), a.ids, b) for p, a, b in zip(own, first, second, strict=True)]
+        return out
 
     def _groups(self, data: bytes, a: list[int], b: list[int]) -> tuple:
         if len(a) == 1 and len(b) == 1:
@@ -235,7 +241,7 @@ def posting_table(docs: DataFrame, byte_level: str, pieces_model: str) -> DataFr
         slab = TaskContext.get().partitionId() << 32
         for batch in batches:
             for start in range(0, batch.num_rows, SLAB):
-                for piece in pieces(batch.slice(start, SLAB)):
+                for piece in pieces(batch.slice(start, SLAB), limit=PIECE_BYTES):
                     aligner = worker_aligner(*content.value)
                     totals, digests, pair, doc, links = align_slab(strings(piece.column("text")), aligner)
                     own = [piece.column("doc_id").cast(pa.int64()), *(pa.array(x) for x in totals.T), pa.array(digests, pa.string())]
