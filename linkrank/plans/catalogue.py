@@ -19,7 +19,9 @@ from linkrank.options import Options
 from linkrank.plans.crawl_view import DIRTY_PAGES_SQL, crawl_links, crawl_pages, markup, pages
 from linkrank.plans.full_run import audit_stage, exclude, run_incremental, run_pipeline
 from linkrank.sinks import tables
+from linkrank.plans.stored_graph import export_edge_table, rerank_stored
 from linkrank.sources import crawl, graph as stored
+from linkrank.sources.one_line import import_index, read_one_line_graph
 from linkrank.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -267,6 +269,75 @@ def parents_from_map(spark, sf_dir):
     return stored.read_connectivity(spark, path)[1]
 
 
+def _one_line(spark, parts: DataFrame, opening: str = "{", closing: str = "}", head: str = "") -> str:
+    """The texts ``part`` in the order of ``place``, on one line of one plain file, as a crawl of the older
+    pipeline left it.  Each text is a row of its own; the separator puts them on one line."""
+    path = scratch_path(spark, "one-line")
+    order = with_position(parts, [F.col("place")], "_at")
+    last = order.agg(F.max("_at")).first()[0]
+    text = F.concat(
+        F.when(F.col("_at") == 0, F.lit(head + opening)).otherwise(F.lit("")),
+        "part",
+        F.when(F.col("_at") == last, F.lit(closing)).otherwise(F.lit(",")),
+    )
+    lines = order.select("_at", text.alias("value")).repartition(1).sortWithinPartitions("_at")
+    lines.select("value").write.option("lineSep", " ").text(path)
+    return f"{path}/part-*"  # named, as a folder's files ending in txt are logs
+
+
+def _graph_parts(edges: DataFrame, parents: DataFrame) -> DataFrame:
+    """One text ``"<src>": {...}`` for each source."""
+    maps = graph.node_connectivity(edges, parents, max_children=1 << 31)
+    return maps.select(
+        F.col("src").alias("place"), F.regexp_extract(F.to_json(F.create_map("src", "children")), r"^\{(.*)\}$", 1).alias("part")
+    )
+
+
+#: Bytes of a range: one file of the test tables is cut into many.
+RANGE_BYTES = 50_000
+
+
+@query
+def edges_from_one_line(spark, sf_dir):
+    """A whole graph on one line of one file, read back by a task for each byte range."""
+    parts = _graph_parts(_edges(spark, sf_dir, "type1"), _parents(spark, sf_dir, "type1"))
+    return read_one_line_graph(spark, _one_line(spark, parts), RANGE_BYTES)[0]
+
+
+@query
+def parents_from_one_line(spark, sf_dir):
+    parts = _graph_parts(_edges(spark, sf_dir, "type1"), _parents(spark, sf_dir, "type1"))
+    return read_one_line_graph(spark, _one_line(spark, parts), RANGE_BYTES)[1]
+
+
+@query
+def index_import(spark, sf_dir):
+    """The two stored index files of an earlier run, each one line; they must agree."""
+    edges, parents = _edges(spark, sf_dir, "type1"), _parents(spark, sf_dir, "type1")
+    index = stage(graph.build_index(graph.graph_nodes(edges, parents)), "index")
+    name = F.regexp_extract(F.to_json(F.array("name")), r"^\[(.*)\]$", 1)
+    names = _one_line(spark, index.select(F.col("id").alias("place"), name.alias("part")), "[", "]}", '{"gnv": ')
+    ids = _one_line(spark, index.select(F.col("name").alias("place"), F.concat(name, F.lit(": "), F.col("id").cast("string")).alias("part")))
+    return import_index(spark, names, ids, RANGE_BYTES)
+
+
+@query
+def rerank_one_line(spark, sf_dir):
+    """The rankings that a stored one-line graph is written as, by unique in-links."""
+    parts = _graph_parts(_edges(spark, sf_dir), _parents(spark, sf_dir))
+    out = scratch_path(spark, "reranked")
+    rerank_stored(spark, _one_line(spark, parts), out, one_line=True, fixed_iters=STEPS)
+    return _rounded_attributes(tables.read_csv(spark, f"{out}/uniquein", ATTRIBUTES))
+
+
+@query
+def export_one_line(spark, sf_dir):
+    parts = _graph_parts(_edges(spark, sf_dir), _parents(spark, sf_dir))
+    out = scratch_path(spark, "edge-table")
+    export_edge_table(spark, _one_line(spark, parts), out, one_line=True)
+    return tables.read_csv(spark, out, "src string, dst string, weight bigint, dstcount bigint")
+
+
 @query
 def node_connectivity(spark, sf_dir):
     maps = graph.node_connectivity(_edges(spark, sf_dir), max_children=CHILDREN_PER_MAP)

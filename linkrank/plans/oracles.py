@@ -388,12 +388,18 @@ sliced as (
             " as rank from degrees",
         ),
     }
+    sql |= {
+        "edges_from_one_line": sql["edges_from_map"],
+        "parents_from_one_line": sql["parents_from_map"],
+        "index_import": sql["node_index"],
+        "rerank_one_line": sql["attributes_type2"],
+    }
     for t in c.URL_TYPES:
         sql[f"normalize_{t}"] = _with(
             _CLEANED,
             f"select page_key, pos, {_name('parent', t)} as src, {_name('child', t)} as dst from cleaned",
         )
-    for name, link_type in (("non_dangling_edges", "type1"), ("edge_table_csv", "type2")):
+    for name, link_type in (("non_dangling_edges", "type1"), ("edge_table_csv", "type2"), ("export_one_line", "type2")):
         sql[name] = _with(
             _edge_ctes(link_type),
             "select src, dst, weight, dstcount from edges join (select dst, count(*) as dstcount"

@@ -39,9 +39,9 @@ def read_connectivity(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
     """Nested-map JSON files -> (edges, parents).
 
     Counts of the same edge in several files or lines are added up.  Parents include those
-    with an empty map.  A graph stored as one line is read by one task; graphs written by
-    this package have a line for each source, or several.  A line that cannot be read ends
-    the job.
+    with an empty map.  Graphs written by this package have a line for each source, or several;
+    a graph stored as one long line is for :func:`linkrank.sources.one_line.read_one_line_graph`,
+    as a line here is read by one task.  A line that cannot be read ends the job.
     """
     lines = read_named(spark.read.text, spark, path)
     edges = edges_from_json(lines).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))

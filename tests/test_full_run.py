@@ -95,7 +95,7 @@ def test_full_run(spark, crawl, rows):
         audit_stage(spark, str(src), str(out), replace(options, parse_types=("type2",)))
 
     # The earlier run may be the one that is written over.
-    before = rows(index)
+    before = rows(spark.read.parquet(f"{out}/metrics/type2/node_index"))
     run_pipeline(spark, str(src), str(out), replace(brief, previous_run=str(out)))
     assert rows(spark.read.parquet(f"{out}/metrics/type2/node_index")) == before
 

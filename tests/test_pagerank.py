@@ -101,7 +101,7 @@ def test_not_converged_raises_and_frees_the_cache(spark):
 
 
 @pytest.mark.parametrize(
-    "rows, expected", [(1, 1), (150_000, 2), (10**6, 4), (10**9, 100), (10**13, 50_000)]
+    "rows, expected", [(1, 1), (150_000, 2), (10**6, 4), (10**9, 100), (10**13, 1_000_000)]
 )
 def test_layout_partitions(spark, rows, expected):
     assert _partitions(spark, rows) == expected
