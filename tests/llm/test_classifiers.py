@@ -125,3 +125,31 @@ def test_rare_toxic_words_are_learned(spark, prose):
     caught = [r.predicted for r in rows if r.doc_id % 5 == 0]
     assert len(caught) > 30 and np.mean(caught) > 0.9
     assert np.mean([r.predicted for r in rows if r.doc_id % 5]) < 0.02
+
+
+def test_training_reaches_the_optimum():
+    """Against the conditions of the optimum on a small dense matrix, with columns that are alike."""
+    draw = np.random.default_rng(4)
+    n, k = 400, 60
+    dense = draw.random((n, k)) < draw.uniform(0.02, 0.5, k)
+    dense[:, 50:] = dense[:, :10]
+    value = draw.normal(0, 1, k)
+    value[50:] = value[:10]
+    y = (dense @ (value * draw.normal(0, 1, k)) + draw.normal(0, 1, n) > 0).astype(float)
+    weight = np.where(y == 1, 1.0, 2.5)
+    bounds, column = np.concatenate([[0], np.cumsum(dense.sum(axis=1))]), np.nonzero(dense)[1].astype(np.int32)
+    intercept, w = toxicity._train(bounds, column, value, y, weight)
+    share, x = weight / weight.sum(), dense * value
+    gradient = lambda i, v: x.T @ (share * (1 / (1 + np.exp(-(i + x @ v))) - y))
+    first = np.abs(gradient(0.0, np.zeros(k))).max()
+    at = gradient(intercept, w) + toxicity.RIDGE * w
+    off = np.where(w != 0, np.abs(at + toxicity.LASSO * np.sign(w)), np.maximum(np.abs(at) - toxicity.LASSO, 0))
+    assert off.max() <= 2 * toxicity.TOLERANCE * first
+    assert np.allclose(w[:10], w[50:]) and np.count_nonzero(w)
+
+
+def test_columns_in_the_same_rows_are_one_group():
+    dense = np.array([[1, 1, 0, 0, 1], [1, 1, 1, 0, 1], [0, 0, 1, 1, 0]], bool)
+    bounds, column = np.concatenate([[0], np.cumsum(dense.sum(axis=1))]), np.nonzero(dense)[1].astype(np.int32)
+    group, members = toxicity._alike(bounds, column, 5, toxicity._blocks(bounds))
+    assert group[0] == group[1] == group[4] and len(set(group.tolist())) == 3 and sorted(members.tolist()) == [1, 1, 3]
