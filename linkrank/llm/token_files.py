@@ -35,6 +35,9 @@ END_ID = 0
 #: Chunks that go to the library in one call.
 JOINED = 1_000
 
+#: Bytes of ids for each task that reads them back.
+READ_BYTES = 8 << 20
+
 SHARD = "shard int, path string, width int, docs long, null_ids long, tokens long"
 
 
@@ -94,9 +97,9 @@ class _Shard:
         self.files = {k: self.store.open_output_stream(f"{root}/{name}.{k}") for k in ("bin", "idx", "doc")}
         self.docs = self.nulls = self.tokens = 0
 
-    def add(self, ids: bytes, ends: np.ndarray, doc_ids: pa.Array, total: int) -> None:
-        self.files["bin"].write(ids)
-        self.files["idx"].write((ends + self.tokens).astype("<u8").tobytes())
+    def add(self, ids: np.ndarray, firsts: np.ndarray, doc_ids: pa.Array, total: int) -> None:
+        self.files["bin"].write(pa.py_buffer(ids))
+        self.files["idx"].write((firsts + self.tokens).astype("<u8").tobytes())
         known = doc_ids.drop_null()
         self.files["doc"].write(known.to_numpy().astype("<i8").tobytes())
         self.docs += len(doc_ids)
@@ -134,10 +137,12 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
                 chunked, codes, starts = chunks.distinct(strings(piece.column("text")))
                 found = remembered(chunked)
                 lengths = np.array([len(x) for x in found], dtype=np.int64) // width
-                ids, bounds = chunks.assemble(np.frombuffer(b"".join(found), kind), lengths, codes, starts)
-                ids = np.insert(ids, bounds[1:], kind.type(end_id))
-                firsts = bounds[:-1] + np.arange(len(bounds) - 1)
-                shard.add(ids.tobytes(), firsts, piece.column("doc_id").cast(pa.int64()), len(ids))
+                # The end of a text is one more chunk, of one id.
+                codes = np.insert(codes, starts[1:], len(found))
+                starts = starts + np.arange(len(starts))
+                flat = np.frombuffer(b"".join([*found, kind.type(end_id).tobytes()]), kind)
+                ids, bounds = chunks.assemble(flat, np.append(lengths, 1), codes, starts)
+                shard.add(ids, bounds[:-1], piece.column("doc_id").cast(pa.int64()), len(ids))
         if shard is not None:
             shard.close()
             row = [number, shard.path, width, shard.docs, shard.nulls, shard.tokens]
@@ -204,8 +209,9 @@ def read_token_files(spark: SparkSession, folder: str, per_doc) -> DataFrame:
                     )
 
     manifest = spark.read.parquet(f"{folder}/manifest")
-    spread = manifest.repartition(F.col("shard"))
-    return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, value long")
+    # A number that is asked for stays: rows of a few bytes would otherwise end up in one task.
+    size = manifest.agg(F.sum(F.col("tokens") * F.col("width"))).first()[0] or 0
+    return manifest.repartition(1 + size // READ_BYTES).mapInArrow(read, "doc_id long, start long, n_tokens long, value long")
 
 
 def checksums(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -213,5 +219,5 @@ def checksums(docs: DataFrame, tokenizer: str) -> DataFrame:
     spark = docs.sparkSession
     folder = scratch_path(spark, "token-files")
     write_token_files(docs, tokenizer, folder)
-    rows = read_token_files(spark, folder, lambda ids: zlib.crc32(ids.tobytes()))
+    rows = read_token_files(spark, folder, zlib.crc32)
     return rows.withColumnRenamed("value", "ids_crc32")

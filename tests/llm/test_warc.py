@@ -6,6 +6,7 @@ import zlib
 import pytest
 from linkrank.llm import warc
 from linkrank.operators.staging import scratch_path
+from pyspark.sql import functions as F
 
 
 def expected(rows, least=0):
@@ -69,3 +70,11 @@ def test_chance_magic_is_passed_over(spark, tmp_path):
     archives = spark.createDataFrame([(f"file://{tmp_path}/x.warc.gz", len(data))], "path string, bytes long")
     found = warc.read_archives(spark, archives, 7).collect()
     assert [(r.page_id, bytes(r.payload)) for r in found] == [(9, b"body")]
+
+
+def test_ranges_are_read_by_many_tasks(spark, tmp_path):
+    pages = spark.range(200).selectExpr("id AS page_id", "concat('http://a.com/', id) AS url", "repeat(md5(cast(id AS string)), 30) AS html")
+    archives = warc.write_archives(pages, str(tmp_path))
+    read = warc.read_archives(spark, archives, range_bytes=2_000)
+    used = read.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert used > 4 and read.count() == 200
