@@ -21,11 +21,16 @@ from pyspark.sql.types import ArrayType, IntegerType
 
 from linkrank.llm import chunks
 from linkrank.llm.shared import ship
-from linkrank.llm.text import pieces, strings
+from linkrank.llm.text import PIECE_BYTES, buffers, flat_ranges, pieces, strings
 
 #: Fixed value: the pattern that this vocabulary's texts are cut by before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Texts whose ids are lists at one time, before they become arrays.
+JOINED = 5_000
+#: Bytes of text that are encoded and decoded at once where both are done.
+CHECKED_BYTES = 2 << 20
+
 #: An entry of the queue is rank << _SHIFT | place.
 _SHIFT = 40
 _PLACE = (1 << _SHIFT) - 1
@@ -63,6 +68,7 @@ class Bpe:
             if self.special
             else lambda text: [text]
         )
+        self.flat = None
         self.words = chunks.Remembered(lambda parts: [self.merge(p.encode()) for p in parts])
 
     def merge(self, part: bytes) -> list[int]:
@@ -121,6 +127,24 @@ class Bpe:
             out.append(own)
         return out
 
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, how many each text has)."""
+        flat, lengths = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for start in range(0, len(texts), JOINED):
+            ids = self.encode_all(texts[start : start + JOINED])
+            lengths.append(np.array([len(x) for x in ids], np.int64))
+            flat.append(np.fromiter((i for x in ids for i in x), np.int32, int(lengths[-1].sum())))
+        return np.concatenate(flat), np.concatenate(lengths)
+
+    def bytes_of(self, ids: np.ndarray) -> np.ndarray:
+        """The vocabulary's bytes of the ids, one after the other."""
+        if self.flat is None:
+            known = [self.strings.get(i, b"") for i in range(max(self.strings) + 1)]
+            lengths = np.array([len(x) for x in known], np.int64)
+            self.flat = np.frombuffer(b"".join(known), np.uint8), np.cumsum(lengths) - lengths, lengths
+        data, firsts, lengths = self.flat
+        return data[flat_ranges(firsts[ids], lengths[ids])]
+
     def encode(self, text: str) -> list[int]:
         return self.encode_all([text])[0]
 
@@ -156,12 +180,26 @@ def _file(path: str) -> bytes:
         return f.read()
 
 
-def encode_table(docs: DataFrame, tokenizer: str, text_col: str = "text", out: str = "ids") -> DataFrame:
+def _confirm(bpe: Bpe, texts: pa.Array, ids: np.ndarray, bounds: np.ndarray, names: pa.Array) -> None:
+    """Raise an error if the decoded ids are not the texts."""
+    offsets, data = buffers(texts)
+    if np.array_equal(bpe.bytes_of(ids), data[offsets[0] :]):
+        return
+    for i, name in enumerate(names):
+        if not np.array_equal(bpe.bytes_of(ids[bounds[i] : bounds[i + 1]]), data[offsets[i] : offsets[i + 1]]):
+            raise ValueError(f"ids do not give the text of doc_id {name.as_py()}")
+
+
+def encode_table(
+    docs: DataFrame, tokenizer: str, text_col: str = "text", out: str = "ids", check: bool = False
+) -> DataFrame:
     """``docs`` with a column of token ids (array of int) of the whole text.
 
     A null text counts as empty and has no tokens.  Other columns, whatever their names, are
     kept; a column named ``out`` is replaced.  ``tokenizer`` is the path of a tokenizer file
-    on the driver; its content (a fixed size) goes to the executors with the task.
+    on the driver; its content (a fixed size) goes to the executors with the task.  With ``check``
+    the ids are decoded again where they are made, and the job ends if they do not give the text
+    (rows are named by ``doc_id``).  An empty table gives no rows, repeated rows give a row each.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -172,12 +210,13 @@ def encode_table(docs: DataFrame, tokenizer: str, text_col: str = "text", out: s
     def encode(batches):
         bpe, _ = worker_encoder(content.value)
         for batch in batches:
-            for piece in pieces(batch, text_col):
-                chunked, codes, starts = chunks.distinct(strings(piece.column(text_col)))
-                ids = bpe.encode_all(chunked)
-                lengths = np.array([len(x) for x in ids], dtype=np.int64)
-                flat = np.fromiter((i for x in ids for i in x), np.int32, int(lengths.sum()))
+            for piece in pieces(batch, text_col, CHECKED_BYTES if check else PIECE_BYTES):
+                texts = strings(piece.column(text_col))
+                chunked, codes, starts = chunks.distinct(texts)
+                flat, lengths = bpe.encode_flat(chunked)
                 values, bounds = chunks.assemble(flat, lengths, codes, starts)
+                if check:
+                    _confirm(bpe, texts, values, bounds, piece.column("doc_id"))
                 column = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values))
                 kept = [piece.column(piece.schema.get_field_index(c)) for c in rest]
                 yield pa.RecordBatch.from_arrays([*kept, column], names=[*rest, out])

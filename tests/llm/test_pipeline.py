@@ -18,7 +18,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables n
 
 def test_all_are_registered():
     names = entry.queries()
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()) == list(range(1, 14))
     assert set(queries.queries()) < set(names) and "pipeline" in names
     assert [n for n, _ in pipeline.STAGES] == ["toxicity", "quality", "near_duplicates", "decontamination", "bpe"]
 
@@ -70,6 +70,16 @@ def test_repeated_rows_are_one_group(spark, prose):
     )
 
 
+def test_rows_that_repeat_an_id_are_documents_of_their_own(spark, prose):
+    a, b = prose(1, 60), prose(2, 60)
+    rows = [(3, b), (5, a), (5, b + "word"), (7, "A b c d e f"), (7, "a  b c\nd e f"), (None, a)]
+    docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, row_key int")
+    kept = pipeline.drop_near_duplicates(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert found[:2] == [(3, b), (5, a)] and len(found) == 3 and found[2][0] == 7
+
+
 def test_ids_that_do_not_give_the_text_fail(spark, odd_docs):
     docs = odd_docs.drop("ids")
     encoded = pipeline.encode(spark, docs, FOLDER)

@@ -145,3 +145,29 @@ def test_token_counts(odd_docs, odd_rows, content):
         expected.append((i, len(own), sum(greedy(b" " + w, vocabulary) for w in own)))
     found = [tuple(r) for r in wordpiece.token_counts(odd_docs, tokenizer_path()).collect()]
     assert sorted(found, key=repr) == sorted(expected, key=repr)
+
+
+def test_wrong_ids_are_found_where_they_are_made(spark, odd_docs, monkeypatch, content):
+    own = bpe.Bpe(content.decode())
+    texts = pa.array(["one two", "é漢", ""])
+    flat, lengths = own.encode_flat(texts.to_pylist())
+    bounds = np.concatenate([[0], np.cumsum(lengths)])
+    bpe._confirm(own, texts, flat, bounds, pa.array([1, 2, 3]))
+    flat[-1] += 1
+    with pytest.raises(ValueError, match="doc_id 2"):
+        bpe._confirm(own, texts, flat, bounds, pa.array([1, 2, 3]))
+    encoded = bpe.encode_table(odd_docs, tokenizer_path(), check=True).select("doc_id", "ids")
+    plain = bpe.encode_table(odd_docs, tokenizer_path()).select("doc_id", "ids")
+    assert sorted(map(tuple, encoded.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
+def test_token_files_are_read_by_many_tasks(spark, odd_docs, monkeypatch, tmp_path):
+    monkeypatch.setattr(token_files, "READ_BYTES", 20_000)
+    docs = odd_docs.filter("doc_id IS NOT NULL").unionByName(odd_docs.withColumn("doc_id", F.lit(90).cast("long") + F.rand(1) * 90))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    token_files.write_token_files(docs, tokenizer_path(), str(tmp_path))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    rows = token_files.read_token_files(spark, str(tmp_path), zlib.crc32)
+    shards = spark.read.parquet(f"{tmp_path}/manifest").count()
+    used = rows.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert shards > 1 and used > 1
