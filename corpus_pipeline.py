@@ -14,7 +14,6 @@ from linkrank.operators.staging import scratch_path, stage, write_and_read
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-_SCORE = "__score"
 _DECODED = "__decoded"
 
 
@@ -22,49 +21,50 @@ def _same_columns(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is among ``ids``; a null doc_id equals itself."""
-    ids = ids.select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the toxicity classifier does not reject; a null text counts as empty."""
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    rows = toxicity.scored(docs, model, _SCORE)
-    return _same_columns(rows.filter(F.col(_SCORE) < toxicity.THRESHOLD), docs)
+    """Rows that the toxicity classifier does not reject; a null text counts as empty.
+
+    Each row is judged by its own text, rows that repeat an id too.  An empty table gives no rows.
+    """
+    score = _free(docs, "score")
+    rows = toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), score)
+    return _same_columns(rows.filter(F.col(score) < toxicity.THRESHOLD), docs)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the quality classifier does not reject; a null text counts as empty."""
-    model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    rows = quality.scored(docs, model, _SCORE)
-    return _same_columns(rows.filter(F.col(_SCORE) >= quality.THRESHOLD), docs)
+    """Rows that the quality classifier does not reject; a null text counts as empty.
+
+    Each row is judged by its own text, rows that repeat an id too.  An empty table gives no rows.
+    """
+    score = _free(docs, "score")
+    rows = quality.scored(docs, quality.fit(docs, table(spark, sf_dir, "labels")), score)
+    return _same_columns(rows.filter(F.col(score) >= quality.THRESHOLD), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near-duplicates, that with the smallest doc_id.
+    """One row of each group of near-duplicates, the one with the smallest doc_id (null last).
 
-    Texts without words are no duplicates of anything.  Of rows that share an id and the set of
-    shingles one stays, whichever Spark meets first.
+    Every row is a document of its own, told apart by a key that is given here: rows may repeat ids,
+    with the same text or with others.  Of rows of a group that share the smallest id any one stays.
+    Texts without words are no duplicates of anything.  An empty table gives no rows.
     """
-    found = stage(minhash.near_duplicates(docs), "near-duplicates")
-    kept = found.filter("kept")
-    rows = _keep(docs, kept)
-    repeated = stage(
-        kept.filter("n_shingles > 0").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated-ids"
-    )
-    if repeated.isEmpty():
-        return rows
-    again = F.col("doc_id").eqNullSafe(F.col("__id"))
-    twice = repeated.select(F.col("doc_id").alias("__id"))
-    single = rows.join(twice, again, "left_anti")
-    return single.unionByName(_first_of_each(rows.join(twice, again, "left_semi")))
-
-
-def _first_of_each(rows: DataFrame) -> DataFrame:
-    """One of the rows with equal id and text."""
-    return rows.dropDuplicates(["doc_id", "text"])
+    key = _free(docs, "row_key")
+    # Stored, so that the keys are the same whenever the rows are read.
+    keyed = stage(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    found = minhash.near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"))
+    groups = found.select(F.col("doc_id").alias("member"), "component_id")
+    ids = keyed.select(F.col(key).alias("member"), F.col("doc_id").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("missing"), "id", "member")).alias("first")
+    kept = groups.join(ids, "member").groupBy("component_id").agg(first).select(F.col("first.member").alias(key))
+    return _same_columns(keyed.join(stage(kept, "kept"), key, "left_semi"), docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -80,14 +80,15 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with the token ids of their whole texts (``ids``).
 
-    The ids are decoded again; the stage fails if they do not give a text back.  A null text
-    counts as empty.
+    The ids are decoded where they are made; the stage fails if they do not give a text back.  A null
+    text counts as empty, repeated rows give a row each, an empty table no rows, and a column
+    named ``ids`` is replaced.
     """
-    return checked(bpe.encode_table(docs, tokenizer_path()))
+    return bpe.encode_table(docs, tokenizer_path(), check=True)
 
 
 def checked(encoded: DataFrame) -> DataFrame:
-    """``encoded``, which fails where the decoded ``ids`` are not the text."""
+    """Stored ``encoded`` rows, which fail where the decoded ``ids`` are not the text."""
     decoded = bpe.decode_table(encoded, tokenizer_path(), out=_DECODED)
     same = F.col(_DECODED) == F.coalesce(F.col("text"), F.lit(""))
     wrong = F.raise_error(F.concat(F.lit("ids do not give the text of doc_id "), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
