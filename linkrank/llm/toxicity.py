@@ -24,6 +24,8 @@ from linkrank.operators.staging import stage
 SAMPLE = 6_000
 SIZES = (3, 4, 5, 6)
 BUCKETS = 1 << 20
+#: Bytes of text whose n-grams are listed at once.
+PIECE_BYTES = 2 << 20
 #: Entries of the sparse matrix that are worked on at once.
 BLOCK = 1 << 20
 THRESHOLD = 0.5
@@ -241,7 +243,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> NgramModel
 
     def count(batches):
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, limit=PIECE_BYTES):
                 label = piece.column("label").to_numpy()
                 text, bucket = text_features(strings(piece.column("text")))
                 both = np.bincount(bucket * 2 + label[text], minlength=2 * BUCKETS).reshape(BUCKETS, 2)
@@ -259,7 +261,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> NgramModel
 
     def features(batches):
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, limit=PIECE_BYTES):
                 text, bucket = text_features(strings(piece.column("text")))
                 bounds = np.searchsorted(text, np.arange(len(piece) + 1)).tolist()
                 bucket = bucket.astype("<i4")
@@ -304,7 +306,7 @@ def scored(docs: DataFrame, model: NgramModel, out: str = "toxicity_score") -> D
 
     def run(batches):
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, limit=PIECE_BYTES):
                 margin = shared.value.margins(strings(piece.column("text")))
                 kept = [piece.column(n) for n in rest]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(1 / (1 + np.exp(-margin)))], names=[*rest, out])
