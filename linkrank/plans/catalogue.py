@@ -19,6 +19,7 @@ from linkrank.options import Options
 from linkrank.plans.crawl_view import DIRTY_PAGES_SQL, crawl_links, crawl_pages, markup, pages
 from linkrank.plans.full_run import audit_stage, exclude, run_incremental, run_pipeline
 from linkrank.sinks import tables
+from linkrank.plans import file_runs
 from linkrank.plans.stored_graph import export_edge_table, rerank_stored
 from linkrank.sources import crawl, graph as stored
 from linkrank.sources.one_line import import_index, read_one_line_graph
@@ -637,6 +638,62 @@ def pending_inputs(spark, sf_dir):
     return audit.pending_inputs(inputs, outputs)
 
 
+def _named_files(spark, parts: dict[str, DataFrame], folder: str) -> str:
+    """One gzip JSON crawl file, or another text file, for each name."""
+    for name, lines in parts.items():
+        path = scratch_path(spark, "part")
+        packed = {"compression": "gzip"} if name.endswith(".gz") else {}
+        lines.coalesce(1).write.text(path, **packed)
+        target = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        system.mkdirs(target.getParent())
+        written = system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/part-*"))
+        system.delete(target, False)
+        system.rename(written[0].getPath(), target)
+    return folder
+
+
+@query
+def pending_files(spark, sf_dir):
+    """Crawl files in folders, of which two have been counted; logs and other names do not matter."""
+    rows = pages(spark, sf_dir)
+    folder, done = scratch_path(spark, "crawl"), scratch_path(spark, "counted")
+    parts = {f"{n % 2}/crawl{n}.jl.gz": _json_lines(rows.filter(F.col("page_id") % FILES == n)) for n in range(FILES)}
+    _named_files(spark, parts | {"processed.txt": parts["0/crawl0.jl.gz"]}, folder)
+    counted = rows.groupBy((F.col("page_id") % FILES).alias("file")).count()
+    values = {f"crawl{n}.csv": counted.filter(F.col("file") == n).select(F.col("count").cast("string")) for n in (1, 2)}
+    _named_files(spark, values, done)
+    return file_runs.pending_files(spark, folder, done).select("file_name")
+
+
+FILES = 4
+
+
+@query
+def failed_files(spark, sf_dir):
+    """Crawl files of which one is cut short at first and mended later: each run's ledger, with the
+    pages that it has of each file."""
+    rows, folder, out = pages(spark, sf_dir), scratch_path(spark, "crawl"), scratch_path(spark, "run")
+    parts = {f"crawl{n}.jl.gz": _json_lines(rows.filter(F.col("page_id") % FILES == n)) for n in range(FILES)}
+    _named_files(spark, parts, folder)
+    hurt = f"{folder}/crawl2.jl.gz"
+    content = bytes(spark.read.format("binaryFile").load(hurt).first()["content"])
+    path = spark._jvm.org.apache.hadoop.fs.Path(hurt)
+    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
+    stream.write(bytearray(content[: len(content) // 2]))
+    stream.close()
+    file_runs.parse_new_files(spark, folder, out)
+    _named_files(spark, {"crawl2.jl.gz": parts["crawl2.jl.gz"]}, folder)
+    file_runs.parse_new_files(spark, folder, out)
+    ledger = file_runs.read_ledger(spark, out)
+    found = file_runs.read_parsed_links(spark, out).filter("link_type = 'type1'")
+    counted = found.groupBy("run", F.col("crawl_file").alias("path")).agg(F.count(F.lit(1)).alias("pages"))
+    return ledger.join(counted, ["run", "path"], "left").select(
+        "run", F.regexp_extract("path", r"([^/]*)$", 1).alias("file"), F.col("reason").isNotNull().alias("failed"),
+        F.coalesce("pages", F.lit(0)).alias("pages"),
+    )
+
+
 @query
 def audit_log(spark, sf_dir):
     path = scratch_path(spark, "audit-log")

@@ -392,6 +392,11 @@ sliced as (
         "edges_from_one_line": sql["edges_from_map"],
         "parents_from_one_line": sql["parents_from_map"],
         "index_import": sql["node_index"],
+        "pending_files": "select 'crawl' || n || '.jl.gz' as file_name from unnest([0, 3]) as t(n)",
+        "failed_files": f"""
+select 1 as run, 'crawl' || page_id % {c.FILES} || '.jl.gz' as file, page_id % {c.FILES} = 2 as failed,
+       case when page_id % {c.FILES} = 2 then 0 else count(url) end as pages from pages group by page_id % {c.FILES}
+union all select 2, 'crawl2.jl.gz', false, count(url) from pages where page_id % {c.FILES} = 2""",
         "rerank_one_line": sql["attributes_type2"],
     }
     for t in c.URL_TYPES:

@@ -115,8 +115,14 @@ def read_extracted(
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Files of a folder as rows (path, file_name); their content is not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    """Files below a folder, at any depth, as rows (path, file_name, bytes, modified).
+
+    Only the listing is read: contents are a column of Spark's source that is not asked for.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
     return files.filter(not_a_ledger()).select(
-        "path", F.col("_metadata.file_name").alias("file_name")
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_size").alias("bytes"),
+        F.col("_metadata.file_modification_time").alias("modified"),
     )
