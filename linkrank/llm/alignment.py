@@ -75,6 +75,10 @@ class Aligner:
             if "▁" in piece.lstrip("▁"):
                 raise ValueError(f"a piece goes across a blank, so texts cannot be cut there: {piece!r}")
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
+        self.a_sizes = np.zeros(max(self.a_bytes) + 1, np.int64)
+        for i, data in self.a_bytes.items():
+            self.a_sizes[i] = len(data)
+        self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
         if len(self.b_bytes) > 1 << 15 or max(self.a_bytes) >= 1 << 16:
             raise ValueError("a pair of ids does not fit in 31 bits")
         self.remembered = chunks.Remembered(self.align, REMEMBERED)
@@ -82,39 +86,77 @@ class Aligner:
     def align(self, parts: list[str]) -> list[tuple]:
         """(tokens of A, of B, groups, links, text of the groups, pairs, how often) of each chunk;
         the first is -1 where the tokens do not give the chunk."""
-        out = []
-        for start in range(0, len(parts), JOINED):
-            own = parts[start : start + JOINED]
-            first = self.a.encode_batch_fast(own, add_special_tokens=False)
-            second = self.b.encode([p[1:] for p in own], num_threads=1)
-            out += [self._groups(p.encode(), a.ids, b) for p, a, b in zip(own, first, second, strict=True)]
+        out: list = [None] * len(parts)
+        plain = [i for i, p in enumerate(parts) if "!" <= p[-1] <= "~"]
+        for start in range(0, len(plain), JOINED):
+            own = plain[start : start + JOINED]
+            for i, found in zip(own, self._joined([parts[i] for i in own]), strict=True):
+                out[i] = found
+        rest = [i for i, found in enumerate(out) if found is None]
+        for start in range(0, len(rest), JOINED):
+            own = rest[start : start + JOINED]
+            first = self.a.encode_batch_fast([parts[i] for i in own], add_special_tokens=False)
+            second = self.b.encode([parts[i][1:] for i in own], num_threads=1)
+            for i, a, b in zip(own, first, second, strict=True):
+                out[i] = self._checked(parts[i].encode(), a.ids, b)
         return out
 
-    def _groups(self, data: bytes, a: list[int], b: list[int]) -> tuple:
-        if len(a) == 1 and len(b) == 1:
-            if self.a_bytes[a[0]] == data == self.b_bytes[b[0]]:
-                return 1, 1, 1, 1, b"%d|%d" % (a[0], b[0]), (a[0] << 15 | b[0],), (1,)
-            return (-1, 0, 0, 0, b"", (), ())
+    def _joined(self, parts: list[str]) -> list[tuple | None]:
+        """The same for chunks that end in printable ASCII: no token goes from one into the next, so
+        each library takes them as one text.  None for all if the tokens do not give it."""
+        text = "".join(parts)
+        data = text.encode()
+        a, b = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.b.encode(text[1:])
+        if b"".join([self.a_bytes[i] for i in a]) != data or b"".join([self.b_bytes[i] for i in b]) != data:
+            return [None] * len(parts)
+        sizes_a, sizes_b = self.a_sizes[a], self.b_sizes[b]
+        bounds = np.cumsum([len(p.encode()) for p in parts])
+        ends_a, ends_b = np.cumsum(sizes_a), np.cumsum(sizes_b)
+        cut_a, cut_b = np.searchsorted(ends_a, bounds), np.searchsorted(ends_b, bounds)
+        if not (np.array_equal(ends_a[cut_a], bounds) and np.array_equal(ends_b[cut_b], bounds)):
+            return [None] * len(parts)
+        sizes_a, sizes_b = sizes_a.tolist(), sizes_b.tolist()
+        out, i, j = [], 0, 0
+        for to_i, to_j in zip((cut_a + 1).tolist(), (cut_b + 1).tolist(), strict=True):
+            out.append(self._groups(a[i:to_i], sizes_a[i:to_i], b[j:to_j], sizes_b[j:to_j]))
+            i, j = to_i, to_j
+        return out
+
+    def _checked(self, data: bytes, a: list[int], b: list[int]) -> tuple:
         first, second = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
         if b"".join(first) != data or b"".join(second) != data:
             return (-1, 0, 0, 0, b"", (), ())
+        return self._groups(a, [len(x) for x in first], b, [len(x) for x in second])
+
+    def _groups(self, a: list[int], sizes_a: list[int], b: list[int], sizes_b: list[int]) -> tuple:
+        if len(a) == 1 and len(b) == 1:
+            return 1, 1, 1, 1, b"%d|%d" % (a[0], b[0]), (a[0] << 15 | b[0],), (1,)
         groups, found, links = [], {}, 0
-        i = j = from_i = from_j = at_a = at_b = 0
+        i = j = from_i = from_j = ahead = 0  # bytes that A is ahead of B
         while i < len(a) or j < len(b):
-            if at_a <= at_b and i < len(a):
-                at_a += len(first[i])
+            if ahead <= 0 and i < len(a):
+                ahead += sizes_a[i]
                 i += 1
             else:
-                at_b += len(second[j])
+                ahead -= sizes_b[j]
                 j += 1
-            if at_a == at_b:
+            if ahead:
+                continue
+            if i - from_i == 1 == j - from_j:
+                x, y = a[from_i], b[from_j]
+                groups.append(f"{x}|{y}")
+                key = x << 15 | y
+                found[key] = found.get(key, 0) + 1
+                links += 1
+            else:
                 own_a, own_b = a[from_i:i], b[from_j:j]
                 links += len(own_a) * len(own_b)
                 groups.append(f"{','.join(map(str, own_a))}|{','.join(map(str, own_b))}")
                 for x in own_a:
                     for y in own_b:
-                        found[x << 15 | y] = found.get(x << 15 | y, 0) + 1
-                from_i, from_j = i, j
+                        key = x << 15 | y
+                        found[key] = found.get(key, 0) + 1
+            from_i, from_j = i, j
         return len(a), len(b), len(groups), links, ";".join(groups).encode(), tuple(found), tuple(found.values())
 
 
