@@ -118,15 +118,20 @@ def _blocks(bounds) -> list[tuple[slice, slice]]:
     return out
 
 
-def _restricted(bounds, column, new) -> tuple[np.ndarray, np.ndarray]:
-    """The matrix with the columns ``c`` where ``new[c]`` is not -1, numbered ``new[c]``."""
-    kept, counts = [np.zeros(0, np.int32)], np.zeros(len(bounds) - 1, np.int64)
-    for rows, entries in _blocks(bounds):
+def _restricted(bounds, column, new, in_place: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """The matrix with the columns ``c`` where ``new[c]`` is not -1, numbered ``new[c]``; ``in_place``
+    it takes the room of the old one."""
+    blocks, counts = _blocks(bounds), np.zeros(len(bounds) - 1, np.int64)
+    size = 0 if in_place else sum(int(np.count_nonzero(new[column[entries]] >= 0)) for _, entries in blocks)
+    out, at = column if in_place else np.empty(size, np.int32), 0
+    for rows, entries in blocks:
         own = new[column[entries]]
         inside = np.concatenate([[0], np.cumsum(own >= 0)])
         counts[rows] = np.diff(inside[np.append(bounds[rows], entries.stop) - entries.start])
-        kept.append(own[own >= 0].astype(np.int32))
-    return np.concatenate([[0], np.cumsum(counts)]), np.concatenate(kept)
+        own = own[own >= 0]
+        out[at : at + len(own)] = own
+        at += len(own)
+    return np.concatenate([[0], np.cumsum(counts)]), out[:at]
 
 
 class _Logistic:
@@ -195,7 +200,8 @@ def _train(bounds, column, value, y, weight, rounds: int = ROUNDS) -> tuple[floa
     Columns in the same rows have the same value and are trained as one, whose ridge penalty is that
     of its members with equal parts of the weight.  Each round looks at the gradient of all columns
     and solves for those that matter: the ones with a weight and the ones that break the optimum most.
-    It ends when no column of all breaks it by more than TOLERANCE of the first gradient.
+    It ends when no column of all breaks it by more than TOLERANCE of the first gradient.  ``column``
+    is overwritten.
     """
     share = weight / weight.sum()
     group, members = _alike(bounds, column, len(value), _blocks(bounds))
@@ -203,7 +209,7 @@ def _train(bounds, column, value, y, weight, rounds: int = ROUNDS) -> tuple[floa
     leader[group[::-1]] = np.arange(len(value))[::-1]
     new = np.full(len(value), -1, np.int32)
     new[leader] = np.arange(len(members))
-    bounds, column = _restricted(bounds, column, new)
+    bounds, column = _restricted(bounds, column, new, in_place=True)
     value, ridge = value[leader], RIDGE / members
     whole = _Logistic(bounds, column, value, ridge, y, share)
     w, tolerance = np.zeros(len(value) + 1), None
