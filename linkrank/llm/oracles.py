@@ -102,27 +102,64 @@ c AS (
     SELECT doc_id, lang, source, len(ws) AS n_words,
            length(array_to_string(ws, '')) AS word_chars,
            length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+           length(regexp_replace(text, '[^!-/:-@\\[-`{-~]', '', 'g')) AS n_marks,
            coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
     FROM w LEFT JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)
 ),
 f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM c),
 m AS (
     SELECT doc_id, lang, source, unnest([
-        {'m': 'symbols', 'v': 1000 * n_symbols // word_chars, 'slack': 60, 'two': false},
-        {'m': 'repeats', 'v': 1000 * n_repeat_words // n_words, 'slack': 250, 'two': false},
-        {'m': 'lines', 'v': 1000 * n_dup_lines // n_words, 'slack': 50, 'two': false},
-        {'m': 'length', 'v': least(1000, 10 * word_chars // n_words), 'slack': 20, 'two': true}]) AS x
+        {'m': 'marks', 'v': 1000 * n_marks // word_chars},
+        {'m': 'repeats', 'v': 1000 * n_repeat_words // n_words},
+        {'m': 'lines', 'v': 1000 * n_dup_lines // n_words},
+        {'m': 'length', 'v': least(1000, 10 * word_chars // n_words)}]) AS x
     FROM f WHERE NOT base_failed
 ),
+p(m, above_zero, two, a, b, c, reach, slack) AS (
+    VALUES ('marks', false, false, 25, 50, 75, 10, 20), ('repeats', true, false, 50, 75, 90, 3, 20),
+           ('lines', true, false, 50, 75, 90, 3, 20), ('length', false, true, 25, 50, 75, 10, 0)
+),
+v AS (SELECT lang, source, x.m AS m, x.v AS v, count(*) AS n FROM m GROUP BY ALL),
+s AS (
+    SELECT 'group' AS part, lang, source, m, v, n FROM v
+    UNION ALL SELECT 'language', lang, NULL, m, v, sum(n) FROM v GROUP BY lang, m, v
+    UNION ALL SELECT 'corpus', NULL, NULL, m, v, sum(n) FROM v GROUP BY m, v
+),
+t AS (
+    SELECT part, lang, source, m, v, a, b, c, u, sum(n) OVER own AS total, sum(u) OVER own AS size,
+           sum(u) OVER (PARTITION BY part, lang, source, m ORDER BY v) AS upto
+    FROM (SELECT *, CASE WHEN above_zero AND v = 0 THEN 0 ELSE n END AS u FROM s JOIN p USING (m))
+    WINDOW own AS (PARTITION BY part, lang, source, m)
+),
 q AS (
-    SELECT lang, source, x.m AS m, quantile_disc(x.v, 0.25) AS q1, quantile_disc(x.v, 0.75) AS q3
-    FROM m GROUP BY ALL
+    SELECT part, lang, source, m, max(total)::BIGINT AS total, max(size)::BIGINT AS size,
+           coalesce(min(v) FILTER (u > 0 AND 100 * upto >= a * size), 0) AS q0,
+           coalesce(min(v) FILTER (u > 0 AND 100 * upto >= b * size), 0) AS q1,
+           coalesce(min(v) FILTER (u > 0 AND 100 * upto >= c * size), 0) AS q2
+    FROM t GROUP BY part, lang, source, m
+),
+h AS (
+    SELECT q.*, k.size / k.total AS share,
+           least(q.size, floor(2.0::DOUBLE * q.total * (k.size / k.total))::BIGINT) AS voice
+    FROM q JOIN q AS k ON q.m = k.m AND k.part = 'corpus'
+),
+y AS (
+    SELECT h.lang, h.m, (h.voice * h.q0 + (100 + h.size - h.voice) * k.q0) // (100 + h.size) AS q0,
+           (h.voice * h.q1 + (100 + h.size - h.voice) * k.q1) // (100 + h.size) AS q1,
+           (h.voice * h.q2 + (100 + h.size - h.voice) * k.q2) // (100 + h.size) AS q2
+    FROM h JOIN h AS k ON h.m = k.m AND h.part = 'language' AND k.part = 'corpus'
+),
+z AS (
+    SELECT h.lang, h.source, h.m, (h.voice * h.q0 + (100 + h.size - h.voice) * y.q0) // (100 + h.size) AS q0,
+           (h.voice * h.q1 + (100 + h.size - h.voice) * y.q1) // (100 + h.size) AS q1,
+           (h.voice * h.q2 + (100 + h.size - h.voice) * y.q2) // (100 + h.size) AS q2
+    FROM h JOIN y ON h.m = y.m AND h.part = 'group' AND h.lang IS NOT DISTINCT FROM y.lang
 ),
 o AS (
-    SELECT doc_id, bool_or(x.v > q3 + 3 * (q3 - q1) + x.slack
-                           OR (x.two AND x.v < q1 - 3 * (q3 - q1) - x.slack)) AS out_of_fences
-    FROM m JOIN q ON m.lang IS NOT DISTINCT FROM q.lang AND m.source IS NOT DISTINCT FROM q.source AND m.x.m = q.m
-    GROUP BY doc_id
+    SELECT doc_id, bool_or(x.v > q1 + reach * (q1 - q0 + 1) + q1 // 10 + slack
+                           OR (two AND x.v < q1 - reach * (q2 - q1 + 1) - q1 // 10 - slack)) AS out_of_fences
+    FROM m JOIN z ON m.lang IS NOT DISTINCT FROM z.lang AND m.source IS NOT DISTINCT FROM z.source AND m.x.m = z.m
+    JOIN p ON p.m = z.m GROUP BY doc_id
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT coalesce(out_of_fences, true) AS kept

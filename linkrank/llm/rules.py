@@ -2,16 +2,20 @@
 
 Every measure is a whole number on a fixed scale, and a group's sketch is its number of
 documents at each value: sketches merge by adding, in any order and over any partitions, to
-the same counts, and their size is bounded by the scale.  A group's quantiles give fences,
-and documents beyond a fence of their own group are dropped by a join.
+the same counts, and their size is bounded by the scale.  The sketches of the groups add up to
+those of the languages and of the corpus.  A group's quantiles, blended with those of its
+language and of the corpus, give fences; documents beyond a fence of their own group are
+dropped by a join.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkrank.llm.shared import ship
@@ -23,19 +27,45 @@ LEAST_WORDS = 20
 REPEAT_PERCENT = 30
 REPEAT_WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
+#: ASCII characters that are no letter, digit or blank.
+MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
 SCALE = 1000
-#: measure: (SQL over the counts, slack). The fences are the upper quartile plus REACH times
-#: the distance of the quartiles plus slack, and for word length also the lower quartile minus it.
-REACH = 3
+
+
+@dataclass(frozen=True)
+class Measure:
+    """A whole number from 0 to SCALE for each document, and how far it may go.
+
+    ``levels`` are three quantiles in percent, of all documents or of those ``above_zero``, for
+    measures that are 0 nearly everywhere.  The upper fence is the second one plus ``reach`` times
+    (its distance from the first one, plus one unit), plus a tenth of it, plus ``floor``; the lower
+    one, if ``two_sided``, the mirror image with the third.  Each side has the spread of the other, so
+    that not quite half of a group may be junk on one side without moving its fence far.
+    """
+
+    sql: str
+    levels: tuple[int, int, int] = (25, 50, 75)
+    reach: int = 10
+    floor: int = 20
+    above_zero: bool = False
+    two_sided: bool = False
+
+
 MEASURES = {
-    "symbols": (f"{SCALE} * n_symbols div word_chars", 60),
-    "repeats": (f"{SCALE} * n_repeat_words div n_words", 250),
-    "lines": (f"{SCALE} * n_dup_lines div n_words", 50),
-    "length": (f"least({SCALE}, 10 * word_chars div n_words)", 20),
+    "marks": Measure(f"{SCALE} * n_marks div word_chars"),
+    "repeats": Measure(f"{SCALE} * n_repeat_words div n_words", (50, 75, 90), 3, above_zero=True),
+    "lines": Measure(f"{SCALE} * n_dup_lines div n_words", (50, 75, 90), 3, above_zero=True),
+    # Tenths of a character; words of a hundred characters and longer are alike.
+    "length": Measure(f"least({SCALE}, 10 * word_chars div n_words)", floor=0, two_sided=True),
 }
-TWO_SIDED = {"length"}
+#: A blend has the weight of this many documents of the wider group.
+PRIOR = 100
+#: Documents above zero speak for their group up to this many times the corpus's share of them; the
+#: rest of their weight goes to the wider group.
+SURPLUS = 2.0
 
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+_COUNTED = f"{COUNTS}, n_marks long"
 
 
 def _sums(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -72,11 +102,12 @@ def _repeated_lines(texts: pa.Array) -> np.ndarray:
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """(doc_id, lang, source and COUNTS) of each row."""
+    """(doc_id, lang, source, COUNTS and n_marks) of each row."""
     ship(docs.sparkSession)
-    blanks, symbols = np.zeros(256, bool), np.zeros(256, bool)
+    blanks, symbols, marks = np.zeros((3, 256), bool)
     blanks[[9, 10, 11, 12, 13, 32]] = True
     symbols[list(SYMBOLS)] = True
+    marks[list(MARKS)] = True
 
     def run(batches):
         for batch in batches:
@@ -90,15 +121,16 @@ def counted(docs: DataFrame) -> DataFrame:
                     _sums(symbols[data], offsets),
                     _repeated_lines(texts),
                     _repeated_words(hashes(distinct)[codes], starts),
+                    _sums(marks[data], offsets),
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("doc_id").cast(pa.int64()), piece.column("lang").cast(pa.string()),
                      piece.column("source").cast(pa.string()), *(pa.array(c.astype(np.int64)) for c in counts)],
-                    names=["doc_id", "lang", "source", *(f.split()[0] for f in COUNTS.split(", "))],
+                    names=["doc_id", "lang", "source", *(f.split()[0] for f in _COUNTED.split(", "))],
                 )
 
     return docs.select("doc_id", "lang", "source", "text").mapInArrow(
-        run, f"doc_id long, lang string, source string, {COUNTS}"
+        run, f"doc_id long, lang string, source string, {_COUNTED}"
     )
 
 
@@ -109,27 +141,68 @@ def sketches(measured: DataFrame) -> DataFrame:
     return passed.groupBy("lang", "source", "m.measure", "m.value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def fences(merged: DataFrame) -> DataFrame:
-    """(lang, source, low_<measure>, high_<measure>): see MEASURES.
+def _by_measure(pick) -> Column:
+    """A constant for each measure."""
+    pairs = [F.lit(x) for name, m in MEASURES.items() for x in (name, pick(m))]
+    return F.element_at(F.create_map(*pairs), F.col("measure"))
+
+
+def quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, measure, total, size, q0, q1, q2): documents, those that count, and their quantiles.
 
     The windows run over one sketch each, at most SCALE + 1 rows.
     """
-    own = Window.partitionBy("lang", "source", "measure")
+    own = Window.partitionBy(*keys, "measure")
     below = own.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = merged.withColumn("upto", F.sum("n").over(below)).withColumn("total", F.sum("n").over(own))
-    quartiles = ranked.groupBy("lang", "source", "measure").agg(
-        F.min(F.when(4 * F.col("upto") >= F.col("total"), F.col("value"))).alias("q1"),
-        F.min(F.when(4 * F.col("upto") >= 3 * F.col("total"), F.col("value"))).alias("q3"),
-    )
+    counts = F.when(~_by_measure(lambda m: m.above_zero) | (F.col("value") > 0), F.col("n")).otherwise(0)
+    ranked = (
+        sketch.withColumn("used", counts)
+        .withColumns({"upto": F.sum("used").over(below), "size": F.sum("used").over(own), "total": F.sum("n").over(own)})
+    )
+    found = []
+    for k in range(3):
+        reached = (F.col("used") > 0) & (100 * F.col("upto") >= _by_measure(lambda m, k=k: m.levels[k]) * F.col("size"))
+        found.append(F.coalesce(F.min(F.when(reached, F.col("value"))), F.lit(0)).cast("long").alias(f"q{k}"))
+    return ranked.groupBy(*keys, "measure").agg(F.max("total").alias("total"), F.max("size").alias("size"), *found)
+
+
+def _blended(own: DataFrame, wider: DataFrame, keys: list[str]) -> DataFrame:
+    """``own`` with its quantiles blended with those of ``wider`` (also share, the corpus's part of
+    documents that count), which has one row for each measure and ``keys``."""
+    renamed = {k: f"w_{k}" for k in [*keys, "measure", "q0", "q1", "q2"]}
+    meet = F.col("measure") == F.col("w_measure")
+    for k in keys:
+        meet &= F.col(k).eqNullSafe(F.col(f"w_{k}"))
+    voice = F.least(F.col("size"), F.floor(SURPLUS * F.col("total") * F.col("share")))
+    rows = own.join(wider.select(*renamed, "share").withColumnsRenamed(renamed), meet).withColumn("voice", voice)
+    both = {f"q{k}": F.expr(f"(voice * q{k} + ({PRIOR} + size - voice) * w_q{k}) div ({PRIOR} + size)") for k in range(3)}
+    return rows.withColumns(both).drop("voice", *renamed.values())
+
+
+def fences(merged: DataFrame) -> DataFrame:
+    """(lang, source, low_<measure>, high_<measure>) of each group of the sketches: see Measure.
+
+    A language's quantiles are blended with the corpus's, and a group's with its language's, by the
+    number of documents behind them: a small group leans on its language, and so does a group with
+    far more documents above zero than the corpus has.  Junk that is most of all the corpus's documents
+    above zero does set the fences of such a measure.
+    """
+    summed = F.sum("n").alias("n")
+    corpus = quantiles(merged.groupBy("measure", "value").agg(summed), [])
+    corpus = corpus.withColumn("share", F.col("size") / F.col("total"))
+    languages = quantiles(merged.groupBy("lang", "measure", "value").agg(summed), ["lang"])
+    languages = _blended(languages, corpus, [])
+    groups = _blended(quantiles(merged, ["lang", "source"]), languages, ["lang"])
     columns = []
-    for name, (_, slack) in MEASURES.items():
-        reach = REACH * (F.col("q3") - F.col("q1")) + slack
-        own_rows = F.col("measure") == name
+    for name, m in MEASURES.items():
+        own_rows, slack = F.col("measure") == name, F.expr("q1 div 10") + m.floor
+        low = F.col("q1") - m.reach * (F.col("q2") - F.col("q1") + 1) - slack
+        high = F.col("q1") + m.reach * (F.col("q1") - F.col("q0") + 1) + slack
         columns += [
-            F.max(F.when(own_rows, F.col("q1") - reach)).alias(f"low_{name}"),
-            F.max(F.when(own_rows, F.col("q3") + reach)).alias(f"high_{name}"),
+            F.max(F.when(own_rows, low)).alias(f"low_{name}"),
+            F.max(F.when(own_rows, high)).alias(f"high_{name}"),
         ]
-    return quartiles.groupBy("lang", "source").agg(*columns)
+    return groups.groupBy("lang", "source").agg(*columns)
 
 
 def judged(docs: DataFrame) -> DataFrame:
@@ -142,15 +215,15 @@ def judged(docs: DataFrame) -> DataFrame:
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     measured = counted(docs).withColumn("base_failed", failed)
     measured = measured.withColumns(
-        {m: F.when(~F.col("base_failed"), F.expr(sql).cast("int")) for m, (sql, _) in MEASURES.items()}
+        {name: F.when(~F.col("base_failed"), F.expr(m.sql).cast("int")) for name, m in MEASURES.items()}
     )
     measured = stage(measured, "measured")
-    limits = stage(fences(sketches(measured)), "fences").withColumnsRenamed({"lang": "l", "source": "s"})
+    limits = stage(fences(stage(sketches(measured), "sketches")), "fences").withColumnsRenamed({"lang": "l", "source": "s"})
     within = F.lit(True)
-    for m in MEASURES:
-        within &= F.col(m) <= F.col(f"high_{m}")
-        if m in TWO_SIDED:
-            within &= F.col(m) >= F.col(f"low_{m}")
+    for name, m in MEASURES.items():
+        within &= F.col(name) <= F.col(f"high_{name}")
+        if m.two_sided:
+            within &= F.col(name) >= F.col(f"low_{name}")
     joined = measured.join(
         limits, F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s")), "left"
     )

@@ -12,6 +12,7 @@ import pyarrow as pa
 import pytest
 from linkrank.llm import decontaminate, lm, minhash, rules
 from linkrank.llm.components import components
+from pyspark.sql import functions as F
 
 
 def fold(text):
@@ -212,17 +213,72 @@ def test_rule_counts(spark, prose, odd_rows, odd_docs, no_docs):
     assert all(judged[i].kept for i in range(60)) and not judged[90].kept
 
 
-def test_sketches_merge(spark):
-    schema = "lang string, source string, base_failed boolean, symbols int, repeats int, lines int, length int"
+def value_rows(spark, rows):
+    return spark.createDataFrame(rows, "lang string, source string, base_failed boolean, marks int, repeats int, lines int, length int")
+
+
+def brute_fences(rows):
+    """(lang, source, measure): (low, high), from sorted lists of values."""
+
+    def quantiles(values, m):
+        used = sorted(v for v in values if v or not m.above_zero)
+        return len(values), len(used), [used[-(-len(used) * p // 100) - 1] if used else 0 for p in m.levels]
+
+    def blend(own, wider, share):
+        total, size, q = own
+        voice = min(size, math.floor(rules.SURPLUS * total * share))
+        return [(voice * a + (rules.PRIOR + size - voice) * b) // (rules.PRIOR + size) for a, b in zip(q, wider, strict=True)]
+
+    out, passed = {}, [r for r in rows if not r[2]]
+    for k, (name, m) in enumerate(rules.MEASURES.items(), 3):
+        total, size, corpus = quantiles([r[k] for r in passed], m)
+        for lang, source in {r[:2] for r in passed}:
+            language = blend(quantiles([r[k] for r in passed if r[0] == lang], m), corpus, size / total)
+            q = blend(quantiles([r[k] for r in passed if r[:2] == (lang, source)], m), language, size / total)
+            slack = q[1] // 10 + m.floor
+            out[lang, source, name] = (q[1] - m.reach * (q[2] - q[1] + 1) - slack, q[1] + m.reach * (q[1] - q[0] + 1) + slack)
+    return out
+
+
+def test_sketches_merge_and_fences_equal_brute_force(spark):
     draw = random.Random(5)
-    rows = [("en", "s", False, *(draw.randint(0, 50) for _ in range(4))) for _ in range(400)]
-    both = spark.createDataFrame(rows, schema)
-    halves = rules.sketches(both.limit(150)).unionByName(rules.sketches(both.subtract(both.limit(0)).limit(0)))
-    assert halves.count() <= 4 * 51
-    one = rules.fences(rules.sketches(both)).first()
-    values = sorted(r[6] for r in rows)
-    q1, q3 = values[math.ceil(0.25 * 400) - 1], values[math.ceil(0.75 * 400) - 1]
-    assert (one.low_length, one.high_length) == (q1 - 3 * (q3 - q1) - 20, q3 + 3 * (q3 - q1) + 20)
+    groups = [("en", "a", 400, 30), ("en", "b", 90, 60), ("en", None, 1, 300), ("fr", "a", 200, 45), (None, "a", 40, 10)]
+    rows = [
+        (lang, source, draw.random() < 0.1, draw.randint(top // 2, top), draw.choice([0] * 9 + [top]), 0, draw.randint(40, top + 40))
+        for lang, source, n, top in groups
+        for _ in range(n)
+    ]
+    rows += [("en", "a", False, 5, 6, 7, 8)]
+    whole = rules.sketches(value_rows(spark, rows))
+    parts = [rules.sketches(value_rows(spark, rows[i::3])) for i in range(3)]
+    merged = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("lang", "source", "measure", "value").agg(F.sum("n").alias("n"))
+    assert sorted(map(tuple, merged.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+    found = {
+        (r.lang, r.source, m): (r[f"low_{m}"], r[f"high_{m}"]) for r in rules.fences(merged).collect() for m in rules.MEASURES
+    }
+    assert found == brute_fences(rows)
+    assert rules.fences(whole.limit(0)).count() == 0
+
+
+def test_fences_move_with_the_group_and_not_with_its_junk(spark):
+    draw = random.Random(7)
+
+    def clean(lang, source, n, marks):
+        return [
+            (lang, source, False, draw.randint(marks - 4, marks + 4), draw.choice([0] * 19 + [40]), draw.choice([0] * 19 + [3]), draw.randint(46, 54))
+            for _ in range(n)
+        ]
+
+    rows = clean("en", "prose", 600, 30) + clean("en", "code", 600, 200) + clean("en", "mixed", 600, 30) + clean("fr", "prose", 600, 30)
+    rows += [("en", "mixed", False, 400, 0, 0, 130)] * 400  # two fifths of the group
+    rows += [("fr", "tiny", False, 700, 290, 300, 130)] * 3
+    found = {(r.lang, r.source): r for r in rules.fences(rules.sketches(value_rows(spark, rows))).collect()}
+    prose, code, mixed, tiny = (found[k] for k in (("en", "prose"), ("en", "code"), ("en", "mixed"), ("fr", "tiny")))
+    assert 34 < prose.high_marks < 150 < 204 < code.high_marks
+    # Junk in a large group or a small one stays outside, clean rows inside.
+    for r in (mixed, tiny):
+        assert 34 < r.high_marks < 400 and 54 < r.high_length < 130 and r.low_length < 46
+        assert 3 < r.high_lines < 200 and 40 < r.high_repeats < 290
 
 
 def base_scores(rows):
