@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType
 
 from linkrank.llm import chunks
-from linkrank.llm.shared import ship
+from linkrank.llm.shared import give_back, ship
 from linkrank.llm.text import PIECE_BYTES, buffers, flat_ranges, pieces, strings
 
 #: Fixed value: the pattern that this vocabulary's texts are cut by before merging.
@@ -220,6 +220,10 @@ def encode_table(
                 column = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values))
                 kept = [piece.column(piece.schema.get_field_index(c)) for c in rest]
                 yield pa.RecordBatch.from_arrays([*kept, column], names=[*rest, out])
+        # What is remembered ends with the task: stages that follow use the same workers.
+        del bpe
+        _encoders.clear()
+        give_back()
 
     return docs.select(*[f"`{c}`" for c in docs.columns]).mapInArrow(encode, schema)
 

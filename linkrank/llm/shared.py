@@ -3,11 +3,14 @@ shared folder, held-out rows and a bounded sample of labelled rows."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
 from urllib.parse import urlparse
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +35,18 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(application)
 
 
+def give_back() -> None:
+    """Return a Python worker's free memory to the system at the end of a task.
+
+    Workers are kept for later tasks, of other stages too, beside which it would count.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim:
+        trim(0)
+
+
 def file_system(path: str) -> tuple[fs.FileSystem, str]:
     """The store that holds ``path`` (a URI or a plain path), and the path within it."""
     if urlparse(path).scheme:

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.llm.shared import labelled_sample, remainder, ship
+from linkrank.llm.shared import give_back, labelled_sample, remainder, ship
 from linkrank.llm.text import FOLD, flat_ranges, pieces, segments, strings, windows, words
 from linkrank.operators.staging import stage
 
@@ -25,7 +25,7 @@ SAMPLE = 6_000
 SIZES = (3, 4, 5, 6)
 BUCKETS = 1 << 20
 #: Bytes of text whose n-grams are listed at once.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 #: Entries of the sparse matrix that are worked on at once.
 BLOCK = 1 << 20
 THRESHOLD = 0.5
@@ -257,6 +257,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> NgramModel
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(some), pa.array(both[some, 0]), pa.array(both[some, 1])], names=["bucket", "other", "toxic"]
                 )
+        give_back()
 
     counted = sample.select("label", "text").mapInArrow(count, "bucket long, other long, toxic long")
     counted = counted.groupBy("bucket").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
@@ -274,6 +275,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> NgramModel
                 lists = pa.array([bucket[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())
                 kept = [piece.column(n) for n in ("doc_id", "label", "weight")]
                 yield pa.RecordBatch.from_arrays([*kept, lists], names=["doc_id", "label", "weight", "buckets"])
+        give_back()
 
     rows = stage(
         sample.select(F.col("doc_id").cast("long").alias("doc_id"), "label", "weight", "text")
@@ -316,6 +318,7 @@ def scored(docs: DataFrame, model: NgramModel, out: str = "toxicity_score") -> D
                 margin = shared.value.margins(strings(piece.column("text")))
                 kept = [piece.column(n) for n in rest]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(1 / (1 + np.exp(-margin)))], names=[*rest, out])
+        give_back()
 
     return docs.select(*[f"`{c}`" for c in rest]).mapInArrow(run, schema)
 
