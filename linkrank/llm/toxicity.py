@@ -27,7 +27,9 @@ BUCKETS = 1 << 20
 #: Bytes of text whose n-grams are listed at once.
 PIECE_BYTES = 1 << 20
 #: Entries of the sparse matrix that are worked on at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
+#: Parts in which the sample's n-grams come to the driver.
+FETCHES = 32
 THRESHOLD = 0.5
 RIDGE = 1e-6
 LASSO = 1e-5
@@ -212,7 +214,7 @@ def _train(bounds, column, value, y, weight, rounds: int = ROUNDS) -> tuple[floa
     bounds, column = _restricted(bounds, column, new, in_place=True)
     value, ridge = value[leader], RIDGE / members
     whole = _Logistic(bounds, column, value, ridge, y, share)
-    w, tolerance = np.zeros(len(value) + 1), None
+    w, tolerance, part = np.zeros(len(value) + 1), None, None
     for _ in range(rounds):
         gradient = whole.gradient(whole.forward(w), w)
         broken = np.where(w[1:] != 0, np.abs(gradient[1:] + LASSO * np.sign(w[1:])), np.maximum(np.abs(gradient[1:]) - LASSO, 0))
@@ -227,6 +229,7 @@ def _train(bounds, column, value, y, weight, rounds: int = ROUNDS) -> tuple[floa
         chosen |= w[1:] != 0
         number = np.full(len(gain), -1, np.int32)
         number[chosen] = np.arange(np.count_nonzero(chosen))
+        part = None  # the last round's goes before the next one is made
         part = _Logistic(*_restricted(bounds, column, number), value[chosen], ridge[chosen], y, share)
         own = part.solve(np.concatenate([w[:1], w[1:][chosen]]), max(tolerance, worst / 10), STEPS)
         w = np.zeros(len(value) + 1)
@@ -283,10 +286,11 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> NgramModel
         "features",
     )
     # At most SAMPLE rows of each label, of BUCKETS numbers each, in one array of counted size; they
-    # come in order of id, one partition at a time.
+    # come in order of id, one of FETCHES parts at a time.
     entries = rows.agg(F.sum(F.length("buckets"))).first()[0] // 4
     column, ends, y, weight = np.empty(entries, np.int32), [0], [], []
-    for r in rows.orderBy("doc_id").toLocalIterator():
+    parts = rows.repartitionByRange(FETCHES, "doc_id").sortWithinPartitions("doc_id")
+    for r in parts.toLocalIterator():
         own = np.frombuffer(r["buckets"], "<i4")
         column[ends[-1] : ends[-1] + len(own)] = own
         ends.append(ends[-1] + len(own))
@@ -298,7 +302,11 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> NgramModel
     place[known] = np.arange(len(known))
     for start in range(0, len(column), BLOCK):
         column[start : start + BLOCK] = place[column[start : start + BLOCK]]
+    del found
+    give_back()
     intercept, w = _train(bounds, column, ratios[known], y, weight)
+    del column
+    give_back()
     weights = np.zeros(BUCKETS)
     weights[known] = w * ratios[known]
     return NgramModel(weights, intercept)
