@@ -32,6 +32,7 @@ from linkrank.operators.ranking import (
 from linkrank.operators.staging import clear_scratch
 from linkrank.options import Options
 from linkrank.plans.full_run import audit_stage, exclude, run_incremental, run_pipeline
+from linkrank.plans.index_versions import read_versions as read_index_versions
 from linkrank.plans.stored_graph import export_edge_table, rerank_stored
 
 __all__ = [
@@ -64,6 +65,7 @@ __all__ = [
     "parse_links",
     "pending_inputs",
     "ranked",
+    "read_index_versions",
     "rerank_stored",
     "run_incremental",
     "run_pipeline",

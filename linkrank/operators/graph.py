@@ -28,12 +28,17 @@ def build_index(names: DataFrame) -> DataFrame:
     return with_position(names.select("name").distinct(), [F.col("name")], "id").select("id", "name")
 
 
-def extend_index(index: DataFrame, names: DataFrame) -> DataFrame:
-    """Give new names the ids after the largest one; ids already given do not change."""
+def index_extension(index: DataFrame, names: DataFrame) -> DataFrame:
+    """(id, name) of the names that ``index`` lacks, with the ids after its largest one."""
     new = names.select("name").distinct().join(index, "name", "left_anti")
     largest = index.agg(F.max("id").alias("largest")).first()["largest"]
     start = 0 if largest is None else largest + 1
-    return index.unionByName(with_position(new, [F.col("name")], "id", start))
+    return with_position(new, [F.col("name")], "id", start).select("id", "name")
+
+
+def extend_index(index: DataFrame, names: DataFrame) -> DataFrame:
+    """Give new names the ids after the largest one; ids already given do not change."""
+    return index.unionByName(index_extension(index, names))
 
 
 def encode_edges(edges: DataFrame, index: DataFrame) -> DataFrame:

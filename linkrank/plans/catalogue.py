@@ -19,7 +19,7 @@ from linkrank.options import Options
 from linkrank.plans.crawl_view import DIRTY_PAGES_SQL, crawl_links, crawl_pages, markup, pages
 from linkrank.plans.full_run import audit_stage, exclude, run_incremental, run_pipeline
 from linkrank.sinks import tables
-from linkrank.plans import file_runs
+from linkrank.plans import file_runs, index_versions
 from linkrank.plans.stored_graph import export_edge_table, rerank_stored
 from linkrank.sources import crawl, graph as stored
 from linkrank.sources.one_line import import_index, read_one_line_graph
@@ -781,6 +781,23 @@ def incremental_full_run(spark, sf_dir):
     return _rounded_attributes(found["type2"])
 
 
+@query
+def index_after_crash(spark, sf_dir):
+    """Ids after two arrivals, between which a run has died: it left half a version and no copy."""
+    folder, out = scratch_path(spark, "arrivals"), scratch_path(spark, "run")
+    versions = f"{out}/metrics/type2/node_index_versions"
+    rows = pages(spark, sf_dir)
+    early = F.col("page_id") % 2 == 0
+    for arrived in (rows.filter(early), rows.filter(~early)):
+        _json_lines(arrived).write.mode("append").text(folder, compression="gzip")
+        run_incremental(spark, folder, out, _options())
+        if not index_versions.whole_versions(spark, versions, "delta"):
+            half = arrived.select((-F.col("page_id")).alias("id"), F.col("url").alias("name"))
+            half.write.parquet(f"{versions}/delta=1")
+            ingest.delete_folders(spark, [f"{versions}/delta=1/_SUCCESS", f"{out}/metrics/type2/node_index"])
+    return index_versions.read_versions(spark, versions)
+
+
 # ---- unusual pages ---------------------------------------------------------------------
 
 

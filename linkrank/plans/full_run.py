@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +20,7 @@ from linkrank.operators.links import (
 from linkrank.operators.ranking import exclude_listed, exclude_urls, top
 from linkrank.operators.staging import stage, write_and_read
 from linkrank.options import Options
+from linkrank.plans.index_versions import extend_versions, read_versions, write_base
 from linkrank.sinks import tables
 from linkrank.sources.crawl import (
     CORRUPT_COLUMN,
@@ -40,6 +39,8 @@ from linkrank.sources.graph import (
 from linkrank.streaming import ingest
 
 INDEX = "node_index"
+#: Where the ids are kept, see ``index_versions``; INDEX is a copy for readers.
+VERSIONS = "node_index_versions"
 
 
 def _missing_url(options: Options, extracted: bool) -> str:
@@ -133,13 +134,19 @@ def measure(
     folder: str,
     options: Options,
     earlier_index: DataFrame | None = None,
+    keep_ids: bool = False,
 ) -> DataFrame:
     """Index, graph export, attributes and rankings of one graph, written below ``folder``.
 
-    ``edges`` (src, dst, weight) and ``parents`` (src, all pages) should be stored tables.
+    ``edges`` (src, dst, weight) and ``parents`` (src, all pages) should be stored tables.  Names have
+    the ids of ``earlier_index``, or with ``keep_ids`` those that are stored in ``folder``.
     """
-    names = graph_nodes(edges, parents)
-    index = build_index(names) if earlier_index is None else extend_index(earlier_index, names)
+    names, versions = graph_nodes(edges, parents), f"{folder}/{VERSIONS}"
+    if keep_ids:
+        index = extend_versions(names, versions)
+    else:
+        index = build_index(names) if earlier_index is None else extend_index(earlier_index, names)
+        index = write_base(index, versions)
     index = write_and_read(index, f"{folder}/{INDEX}")
     if options.write_connectivity:
         tables.write_connectivity(node_connectivity(edges, parents), f"{folder}/node_connectivity")
@@ -162,18 +169,45 @@ def measure(
     return attributes
 
 
-def metrics_stage(spark: SparkSession, out: str, link_type: str, options: Options) -> DataFrame:
-    """:func:`measure` on the stored links and edges of one granularity."""
+def _earlier_index(spark: SparkSession, run: str, link_type: str) -> DataFrame | None:
+    """The index that a run has stored, also one from before there were versions; None without any.
+
+    An index without versions that was not written to the end is refused: new ids in its place
+    would contradict those that were given out.
+    """
+    folder = f"{run}/metrics/{link_type}"
+    found = read_versions(spark, f"{folder}/{VERSIONS}")
+    if found is not None:
+        return found
+    if named_exists(spark, f"{folder}/{INDEX}/_SUCCESS"):
+        # Staged: it may be the one that this run replaces.
+        return stage(read_index(spark, f"{folder}/{INDEX}"), "earlier-index")
+    if named_exists(spark, f"{folder}/{INDEX}"):
+        raise ValueError(f"{folder}/{INDEX} was not written to the end: its node ids cannot be kept")
+    return None
+
+
+def metrics_stage(
+    spark: SparkSession, out: str, link_type: str, options: Options, keep_ids: bool = False
+) -> DataFrame:
+    """:func:`measure` on the stored links and edges of one granularity.
+
+    ``keep_ids``: names that the folder has ids for keep them.
+    """
     edges = read_edges(spark, f"{out}/edges", [link_type]).select("src", "dst", "weight")
     pages = read_page_links(spark, f"{out}/links", [link_type])
     parents = stage(known_parents(pages).select("src"), "parents")
-    earlier = None
+    folder, earlier = f"{out}/metrics/{link_type}", None
+    keep_ids = keep_ids and not options.previous_run
     if options.previous_run:
-        # Staged: the earlier run may be the one in ``out``, whose index is replaced below.
-        earlier = stage(
-            read_index(spark, f"{options.previous_run}/metrics/{link_type}/{INDEX}"), "earlier-index"
-        )
-    return measure(edges, parents, f"{out}/metrics/{link_type}", options, earlier)
+        earlier = _earlier_index(spark, options.previous_run, link_type)
+        if earlier is None:
+            raise ValueError(f"{options.previous_run} has no index of {link_type}")
+    elif keep_ids and read_versions(spark, f"{folder}/{VERSIONS}") is None:
+        # The first run, or one from before there were versions.
+        earlier = _earlier_index(spark, out, link_type)
+        keep_ids = earlier is None
+    return measure(edges, parents, folder, options, earlier, keep_ids)
 
 
 def _check_types(options: Options) -> None:
@@ -209,7 +243,7 @@ def run_incremental(
     extracted: bool = False,
 ) -> dict[str, DataFrame]:
     """As :func:`run_pipeline`, but only crawl files that ``out`` has not seen are parsed and
-    counted; node ids of earlier runs stay.
+    counted; node ids of earlier runs stay, also those of a run that died on its way.
 
     Graphs, metrics and rankings are those of everything so far.  The folder must belong to
     incremental runs with the same types.
@@ -227,8 +261,4 @@ def run_incremental(
     ingest.ingest_edge_counts(links, f"{out}/edge_counts", f"{state}/counts").awaitTermination()
     edges = ingest.compact_edge_counts(spark, f"{out}/edge_counts")
     tables.write_edges(edges, f"{out}/edges")
-    if options.previous_run is None and all(
-        named_exists(spark, f"{out}/metrics/{t}/{INDEX}/_SUCCESS") for t in options.link_types
-    ):
-        options = replace(options, previous_run=out)
-    return {t: metrics_stage(spark, out, t, options) for t in options.link_types}
+    return {t: metrics_stage(spark, out, t, options, keep_ids=True) for t in options.link_types}

@@ -226,6 +226,13 @@ dirty_cleaned as (
             f" union select {_name('url', 'type2')} from pages)",
             "select row_number() over (order by name) - 1 as id, name from names",
         ),
+        "index_after_crash": _with(
+            f"{page_edges}, names as (select src as name from edges union select dst from edges"
+            f" union select {_name('url', 'type2')} from pages),"
+            f" early as (select distinct {_name('url', 'type2')} as name from pages where page_id % 2 = 0)",
+            "select row_number() over (order by early.name is null, names.name) - 1 as id, names.name"
+            " from names left join early on names.name = early.name",
+        ),
         "run_audit": "select 0::bigint as failed, 0::bigint as missing",
         "dirty_pages": _with(dirty, edge_counts.format(_links(variant="legacy", source="dirty_cleaned"))),
         "dirty_pages_dropped": _with(

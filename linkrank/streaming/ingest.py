@@ -116,19 +116,19 @@ def keep_running_counts(links: DataFrame, out: str, checkpoint: str) -> Streamin
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        earlier = [v for v in _versions(spark, out, "version") if v < batch_id]
+        earlier = [v for v in whole_versions(spark, out, "version") if v < batch_id]
         counts = count_links(batch)
         if earlier:
             counts = merge_edges(counts, _version(spark, out, "version", earlier[-1]))
         counts.write.mode("overwrite").parquet(f"{out}/version={batch_id}")
-        _delete(spark, [f"{out}/version={v}" for v in earlier[:-1]])
+        delete_folders(spark, [f"{out}/version={v}" for v in earlier[:-1]])
 
     return _each_batch(links, write, checkpoint)
 
 
 def read_running_counts(spark: SparkSession, out: str) -> DataFrame:
     """The newest whole version of :func:`keep_running_counts`."""
-    return _version(spark, out, "version", _versions(spark, out, "version")[-1])
+    return _version(spark, out, "version", whole_versions(spark, out, "version")[-1])
 
 
 def _each_batch(links: DataFrame, write, checkpoint: str) -> StreamingQuery:
@@ -154,7 +154,7 @@ def _folder(spark: SparkSession, path: str):
     return named.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), named
 
 
-def _versions(spark: SparkSession, out: str, kind: str) -> list[int]:
+def whole_versions(spark: SparkSession, out: str, kind: str) -> list[int]:
     """The numbers of the folders ``<kind>=<number>`` that were written to the end, ascending."""
     system, folder = _folder(spark, out)
     if not system.exists(folder):
@@ -168,7 +168,7 @@ def _version(spark: SparkSession, out: str, kind: str, number: int) -> DataFrame
     return spark.read.schema(EDGES).parquet(f"{out}/{kind}={number}")
 
 
-def _delete(spark: SparkSession, paths: list[str]) -> None:
+def delete_folders(spark: SparkSession, paths: list[str]) -> None:
     for path in paths:
         system, folder = _folder(spark, path)
         system.delete(folder, True)
@@ -176,10 +176,10 @@ def _delete(spark: SparkSession, paths: list[str]) -> None:
 
 def _parts(spark: SparkSession, out: str) -> list[DataFrame]:
     """The newest compacted table, and the batches after it."""
-    compacted = _versions(spark, out, "compacted")
+    compacted = whole_versions(spark, out, "compacted")
     newest = compacted[-1] if compacted else -1
     parts = [_version(spark, out, "compacted", newest)] if compacted else []
-    return parts + [_version(spark, out, "batch", b) for b in _versions(spark, out, "batch") if b > newest]
+    return parts + [_version(spark, out, "batch", b) for b in whole_versions(spark, out, "batch") if b > newest]
 
 
 def read_edge_counts(spark: SparkSession, out: str) -> DataFrame:
@@ -194,10 +194,10 @@ def compact_edge_counts(spark: SparkSession, out: str) -> DataFrame:
     The sum is a folder named after its last batch.  Batches and older sums are deleted only
     when it is whole; until then readers use them, and after that they pass over them.
     """
-    batches = _versions(spark, out, "batch")
-    compacted = _versions(spark, out, "compacted")
+    batches = whole_versions(spark, out, "batch")
+    compacted = whole_versions(spark, out, "compacted")
     fresh = [b for b in batches if not compacted or b > compacted[-1]]
     if fresh:
         read_edge_counts(spark, out).write.mode("overwrite").parquet(f"{out}/compacted={fresh[-1]}")
-        _delete(spark, [f"{out}/batch={b}" for b in batches] + [f"{out}/compacted={c}" for c in compacted])
+        delete_folders(spark, [f"{out}/batch={b}" for b in batches] + [f"{out}/compacted={c}" for c in compacted])
     return read_edge_counts(spark, out)
