@@ -47,6 +47,7 @@ class Options:
     previous_run: str | None = None  # output folder of an earlier run whose node ids stay
     min_partitions: int | None = None
     spread_above: int | None = None  # bytes of a gzip file above which its rows are spread
+    gzip_range_bytes: int | None = None  # gzip files written by write_crawl: bytes of a task
     fail_fast: bool = False
     pagerank: dict = field(default_factory=dict)
 

@@ -93,6 +93,20 @@ def crawl_json_scan(spark, sf_dir):
     return rows.select("url", F.length("raw_content").alias("html_chars"))
 
 
+#: Small, so that small tables have several ranges too.
+GZIP_RANGE = 64 << 10
+
+
+@query
+def gzip_ranges_scan(spark, sf_dir):
+    """All pages in one gzip file, read by a task for each byte range."""
+    path = scratch_path(spark, "crawl")
+    written = pages(spark, sf_dir).select("url", F.col("html").alias("raw_content"))
+    tables.write_crawl(written.coalesce(1), path, member_bytes=GZIP_RANGE)
+    rows = crawl.read_pages(spark, path, gzip_range_bytes=GZIP_RANGE).filter(F.col(crawl.CORRUPT_COLUMN).isNull())
+    return rows.select("url", F.length("raw_content").alias("html_chars"))
+
+
 def _json_lines(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct("url", F.col("html").alias("raw_content"))).alias("value"))
 

@@ -78,7 +78,7 @@ def parse_new_files(
     ledger = read_ledger(spark, out)
     run = (ledger.agg(F.max("run")).first()[0] or 0) + 1
     known = ledger.select("path", "bytes", "modified")
-    fresh = stage(list_files(spark, src).select("path", "bytes", "modified").join(known, ["path", "bytes", "modified"], "left_anti"), "fresh")
+    fresh = stage(list_files(spark, src, deep=True).select("path", "bytes", "modified").join(known, ["path", "bytes", "modified"], "left_anti"), "fresh")
     paths = [r["path"] for r in fresh.select("path").orderBy("path").toLocalIterator()]
     broken = broken_files(spark, paths)
     whole = [p for p in paths if p not in broken]
@@ -105,4 +105,4 @@ def pending_files(spark: SparkSession, src: str, done: str) -> DataFrame:
 
     Both are listed by Spark, folders within folders too; no file is opened.
     """
-    return pending_inputs(list_files(spark, src), list_files(spark, done).select("file_name"))
+    return pending_inputs(list_files(spark, src, deep=True), list_files(spark, done, deep=True).select("file_name"))

@@ -53,6 +53,7 @@ def _read_crawl(spark: SparkSession, src: str, options: Options, extracted: bool
         "fail_fast": options.fail_fast,
         "min_partitions": options.min_partitions,
         "spread_above": options.spread_above,
+        "gzip_range_bytes": options.gzip_range_bytes,
     }
     if extracted:
         return read_extracted(spark, src, **common)

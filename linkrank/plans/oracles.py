@@ -399,6 +399,7 @@ sliced as (
         "edges_from_one_line": sql["edges_from_map"],
         "parents_from_one_line": sql["parents_from_map"],
         "index_import": sql["node_index"],
+        "gzip_ranges_scan": sql["crawl_json_scan"],
         "pending_files": "select 'crawl' || n || '.jl.gz' as file_name from unnest([0, 3]) as t(n)",
         "failed_files": f"""
 select 1 as run, 'crawl' || page_id % {c.FILES} || '.jl.gz' as file, page_id % {c.FILES} = 2 as failed,

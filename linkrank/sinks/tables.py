@@ -13,6 +13,7 @@ from linkrank.functions.urls import LINK_TYPES
 from linkrank.operators.attributes import FEATURES
 from linkrank.operators.graph import connectivity_json
 from linkrank.operators.ranking import ranked
+from linkrank.sources.split_gzip import write_lines
 
 
 @contextmanager
@@ -50,6 +51,12 @@ def write_page_links_json(page_links: DataFrame, path: str) -> None:
         rows.write.mode("overwrite").partitionBy("link_type").json(path, compression="gzip")
 
 
+def write_crawl(pages: DataFrame, path: str, **sizes) -> None:
+    """Add pages to a folder as gzip JSON lines that any reader takes and many tasks can share;
+    ``sizes`` as in :func:`linkrank.sources.split_gzip.write_lines`."""
+    write_lines(pages.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in pages.columns])).alias("value")), path, **sizes)
+
+
 def write_edges(edges: DataFrame, path: str) -> None:
     _write_by_type(edges, path)
 

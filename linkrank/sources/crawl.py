@@ -3,7 +3,9 @@
 Rows that are not JSON keep their text in ``_corrupt_record`` instead of failing the
 file.  A gzip file is one task from scan to link extraction, and raw pages are not
 shuffled unless asked: ``spread_above`` spreads gzip files of more bytes after reading, and
-``min_partitions`` spreads the whole scan.  Defining a scan runs no job.
+``min_partitions`` spreads the whole scan.  With ``gzip_range_bytes`` a gzip file written by
+``sinks.tables.write_crawl`` is read by a task for each range of so many bytes, other gzip files by
+one task each (see ``sources.split_gzip``).  Defining a scan runs no job.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import types as T
 
 CORRUPT_COLUMN = "_corrupt_record"
 FILE_COLUMN = "crawl_file"
+GZIP = ".gz"
 
 
 def page_schema(url_col: str = "url", html_col: str = "raw_content") -> T.StructType:
@@ -64,8 +67,27 @@ def read_named(reader, spark: SparkSession, path: str | list[str]) -> DataFrame:
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+def _parsed(lines: DataFrame, schema: T.StructType, fail_fast: bool) -> DataFrame:
+    """JSON lines (value, file) as Spark's JSON source reads them: blank lines are no rows, and an array
+    of objects is a row for each."""
+    options = {"mode": "FAILFAST" if fail_fast else "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    one = F.from_json("value", schema, options)
+    many = F.from_json("value", T.ArrayType(schema), {"mode": options["mode"]})
+    broken = F.array(F.struct(*[(F.col("value") if f.name == CORRUPT_COLUMN else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]))
+    is_array = F.rlike("value", F.lit(r"^\s*\["))
+    found = F.when(is_array, F.coalesce(many, broken)).otherwise(F.array(one))
+    rows = lines.filter(F.rlike("value", F.lit(r"\S"))).select(F.explode(found).alias("page"), F.col("file").alias(FILE_COLUMN))
+    return rows.select("page.*", FILE_COLUMN)
+
+
 def _read(
-    spark: SparkSession, path, schema, fail_fast: bool, min_partitions: int | None, spread_above: int | None
+    spark: SparkSession,
+    path,
+    schema,
+    fail_fast: bool,
+    min_partitions: int | None,
+    spread_above: int | None,
+    gzip_range_bytes: int | None = None,
 ):
     def read(paths: list[str]) -> DataFrame:
         return (
@@ -78,9 +100,14 @@ def _read(
         )
 
     rows = read_named(read, spark, path)
-    if spread_above is not None:
+    if gzip_range_bytes is not None:
+        from linkrank.sources.split_gzip import read_lines
+
+        packed = _parsed(read_lines(spark, path, gzip_range_bytes, GZIP), schema, fail_fast)
+        rows = rows.filter(~F.endswith(FILE_COLUMN, F.lit(GZIP))).drop("_bytes").unionByName(packed)
+    elif spread_above is not None:
         # Conditions on file metadata choose files, so no file is read twice.
-        large = (F.col("_bytes") > spread_above) & F.endswith(FILE_COLUMN, F.lit(".gz"))
+        large = (F.col("_bytes") > spread_above) & F.endswith(FILE_COLUMN, F.lit(GZIP))
         rows = rows.filter(~large).unionByName(
             rows.filter(large).repartition(spark.sparkContext.defaultParallelism)
         )
@@ -97,8 +124,9 @@ def read_pages(
     fail_fast: bool = False,
     min_partitions: int | None = None,
     spread_above: int | None = None,
+    gzip_range_bytes: int | None = None,
 ) -> DataFrame:
-    return _read(spark, path, page_schema(url_col, html_col), fail_fast, min_partitions, spread_above)
+    return _read(spark, path, page_schema(url_col, html_col), fail_fast, min_partitions, spread_above, gzip_range_bytes)
 
 
 def read_extracted(
@@ -110,16 +138,17 @@ def read_extracted(
     fail_fast: bool = False,
     min_partitions: int | None = None,
     spread_above: int | None = None,
+    gzip_range_bytes: int | None = None,
 ) -> DataFrame:
-    return _read(spark, path, extracted_schema(url_col, children_col), fail_fast, min_partitions, spread_above)
+    return _read(spark, path, extracted_schema(url_col, children_col), fail_fast, min_partitions, spread_above, gzip_range_bytes)
 
 
-def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Files below a folder, at any depth, as rows (path, file_name, bytes, modified).
+def list_files(spark: SparkSession, path: str, glob: str = "*", deep: bool = False) -> DataFrame:
+    """Files of a folder, with ``deep`` also of the folders in it, as rows (path, file_name, bytes, modified).
 
     Only the listing is read: contents are a column of Spark's source that is not asked for.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", str(deep)).load(path)
     return files.filter(not_a_ledger()).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_name").alias("file_name"),
