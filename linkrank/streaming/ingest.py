@@ -7,6 +7,8 @@ new ones.  Triggers run through what is there and stop.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,29 +108,138 @@ def stream_links(
     return link_rows(rows.filter(F.col("link_type").isin(*link_types)))
 
 
-def keep_running_counts(links: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Counts so far as a table, brought up to date by every trigger.
+#: Hash buckets of a table of running counts, and how many triggers' rows are merged at once.
+BUCKETS, FANOUT = 64, 4
 
-    No streaming state is held.  Each trigger writes a version of its own from the one before
-    and its batch, and the version before stays until the next trigger, so a failure at any
-    point leaves a whole one.
+
+def _span(batch: int, bucket: int, fanout: int) -> int:
+    """How many batches, up to and with ``batch``, its folder has the rows of in a bucket.
+
+    It is the largest power of ``fanout`` that divides their sum: a bucket's folders nest, each
+    trigger merges far back in few buckets only, and which is a matter of numbers alone.
+    """
+    span = 1
+    while batch + bucket > 0 and span <= batch and (batch + bucket) % (span * fanout) == 0:
+        span *= fanout
+    return span
+
+
+def live_runs(whole: list[int], bucket: int, fanout: int, down_to: int = -1) -> list[int]:
+    """The batches whose folders together hold each row of a bucket once, newest first, as far back
+    as batches above ``down_to`` go.  ``whole``: ascending, numbers may be missing."""
+    found, known = [], set(whole)
+    at = whole[-1] if whole else -1
+    while at > down_to and whole and at >= whole[0]:
+        if at in known:
+            found.append(at)
+            at -= _span(at, bucket, fanout)
+        else:
+            at -= 1
+    return found
+
+
+def _layout(spark: SparkSession, out: str) -> tuple[int, int] | None:
+    """(buckets, fanout) of the stored table, which its folder's name tells."""
+    system, folder = _folder(spark, out)
+    if not system.exists(folder):
+        return None
+    names = [status.getPath().getName() for status in system.listStatus(folder)]
+    named = [n.split("-")[1:] for n in names if n.startswith("runs-")]
+    return (int(named[0][0]), int(named[0][1])) if named else None
+
+
+def _bucket(buckets: int):
+    return F.pmod(F.xxhash64(*EDGE_KEYS), F.lit(buckets)).cast("int").alias("bucket")
+
+
+def _runs(spark: SparkSession, folder: str, wanted: dict[int, list[int]]) -> DataFrame:
+    """Rows of some buckets (values) of some batches (keys); only their files are read."""
+    rows = spark.read.schema(f"{EDGES}, batch int, bucket int").parquet(folder)
+    chosen = reduce(or_, [(F.col("batch") == k) & F.col("bucket").isin(v) for k, v in wanted.items()], F.lit(False))
+    return rows.filter(chosen).select(*EDGE_KEYS, "weight", "bucket")
+
+
+def _by_batch(runs: dict[int, list[int]]) -> dict[int, list[int]]:
+    """{bucket: batches} the other way round."""
+    found: dict[int, list[int]] = {}
+    for bucket, batches in runs.items():
+        for batch in batches:
+            found.setdefault(batch, []).append(bucket)
+    return found
+
+
+def add_counts(counts: DataFrame, out: str, batch_id: int, buckets: int = BUCKETS, fanout: int = FANOUT) -> None:
+    """Add a batch's counts (link_type, src, dst, weight) to a table of running counts.
+
+    One folder is written: the batch's rows, in the buckets that are due together with rows of
+    earlier batches.  Over time each trigger writes its own rows about once for each level of
+    ``fanout``, whatever the table has grown to.  A batch that is done again replaces its folder.
+    """
+    spark = counts.sparkSession
+    if (_layout(spark, out) or (buckets, fanout)) != (buckets, fanout):
+        raise ValueError(f"{out} has another number of buckets or another fanout")
+    folder = f"{out}/runs-{buckets}-{fanout}"
+    earlier = [b for b in whole_versions(spark, folder, "batch") if b < batch_id]
+    due = {}
+    for bucket in range(buckets):
+        first = batch_id - _span(batch_id, bucket, fanout)
+        due[bucket] = live_runs(earlier, bucket, fanout, first)
+    rows = counts.select(*EDGE_KEYS, "weight", _bucket(buckets))
+    older = _by_batch(due)
+    if older:
+        rows = rows.unionByName(_runs(spark, folder, older))
+    # The counts are small by now; a bucket's rows meet, and are one file.
+    merged = rows.repartition("bucket").groupBy("bucket", *EDGE_KEYS).agg(F.sum("weight").alias("weight"))
+    merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/batch={batch_id}")
+    _drop_merged(spark, folder, earlier, batch_id, buckets, fanout)
+
+
+def _drop_merged(spark: SparkSession, folder: str, earlier: list[int], batch_id: int, buckets: int, fanout: int) -> None:
+    """Delete what neither this version of the table nor the one before needs."""
+    needed: dict[int, set[int]] = {}
+    for whole in (earlier, [*earlier, batch_id]):
+        for bucket in range(buckets):
+            for batch in live_runs(whole, bucket, fanout):
+                needed.setdefault(batch, set()).add(bucket)
+    for batch in earlier:
+        if batch not in needed:
+            delete_folders(spark, [f"{folder}/batch={batch}"])
+            continue
+        system, path = _folder(spark, f"{folder}/batch={batch}")
+        names = [status.getPath().getName() for status in system.listStatus(path)]
+        stored = [int(n.partition("=")[2]) for n in names if n.startswith("bucket=")]
+        delete_folders(spark, [f"{folder}/batch={batch}/bucket={b}" for b in stored if b not in needed[batch]])
+
+
+def keep_running_counts(
+    links: DataFrame, out: str, checkpoint: str, buckets: int = BUCKETS, fanout: int = FANOUT
+) -> StreamingQuery:
+    """Counts so far as a table, brought up to date by every trigger; see :func:`add_counts`.
+
+    No streaming state is held.  The table before a trigger stays readable until the next one, so a
+    failure at any point leaves a whole one.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        earlier = [v for v in whole_versions(spark, out, "version") if v < batch_id]
-        counts = count_links(batch)
-        if earlier:
-            counts = merge_edges(counts, _version(spark, out, "version", earlier[-1]))
-        counts.write.mode("overwrite").parquet(f"{out}/version={batch_id}")
-        delete_folders(spark, [f"{out}/version={v}" for v in earlier[:-1]])
+        add_counts(count_links(batch), out, batch_id, buckets, fanout)
 
     return _each_batch(links, write, checkpoint)
 
 
 def read_running_counts(spark: SparkSession, out: str) -> DataFrame:
-    """The newest whole version of :func:`keep_running_counts`."""
-    return _version(spark, out, "version", whole_versions(spark, out, "version")[-1])
+    """The table of :func:`keep_running_counts` as its last whole trigger left it."""
+    # A table from before there were buckets goes on as what its last version has.
+    versions = whole_versions(spark, out, "version")
+    parts = [_version(spark, out, "version", versions[-1]).select(*EDGE_KEYS, "weight")] if versions else []
+    layout = _layout(spark, out)
+    if layout:
+        buckets, fanout = layout
+        folder = f"{out}/runs-{buckets}-{fanout}"
+        whole = whole_versions(spark, folder, "batch")
+        live = _by_batch({b: live_runs(whole, b, fanout) for b in range(buckets)})
+        if live:
+            parts.append(_runs(spark, folder, live).drop("bucket"))
+    return merge_edges(*parts) if parts else spark.createDataFrame([], EDGES).select(*EDGE_KEYS, "weight")
 
 
 def _each_batch(links: DataFrame, write, checkpoint: str) -> StreamingQuery:

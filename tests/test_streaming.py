@@ -76,3 +76,65 @@ def test_running_counts(spark, arrivals, tmp_path, rows):
         (arrivals / f"{i}.jl").write_text(page("http://a.com", "http://b.com") + "\n")
         assert run() == [("type2", "a.com", "a.com", 1), ("type2", "a.com", "b.com", i + 2)]
     assert len(list((tmp_path / "running").glob("version=*"))) <= 2
+
+
+@pytest.mark.parametrize("gaps", [False, True])
+def test_runs_hold_every_batch_once(gaps):
+    import random
+
+    for seed in range(30):
+        draw = random.Random(seed)
+        fanout, bucket = draw.randint(2, 5), draw.randint(0, 40)
+        whole, held = [], {}
+        for batch in range(200):
+            if gaps and draw.random() < 0.2:
+                continue
+            first = batch - ingest._span(batch, bucket, fanout)
+            older = ingest.live_runs(whole, bucket, fanout, first)
+            held[batch] = [batch] + [x for run in older for x in held[run]]
+            whole.append(batch)
+            live = ingest.live_runs(whole, bucket, fanout)
+            assert sorted(x for run in live for x in held[run]) == whole
+            if not gaps:
+                assert len(live) <= fanout * 8
+
+
+def test_a_trigger_writes_its_own_rows_not_the_table(spark, tmp_path, rows):
+    out, size, batches = str(tmp_path / "running"), 64, 26
+    schema = "link_type string, src string, dst string, weight bigint"
+
+    def add(batch):
+        # Every pair is new but one.
+        pairs = [("type2", f"s{batch}", f"d{i}", 1) for i in range(size)] + [("type2", "hot", "hot", 2)]
+        ingest.add_counts(spark.createDataFrame(pairs, schema).coalesce(1), out, batch, buckets=16, fanout=2)
+
+    def hot():
+        return rows(ingest.read_running_counts(spark, out).filter("src = 'hot'"), "weight")
+
+    written = []
+    for batch in range(batches):
+        add(batch)
+        folder = f"{out}/runs-16-2/batch={batch}"
+        written.append(spark.read.parquet(folder).count())
+    assert ingest.read_running_counts(spark, out).count() == batches * size + 1
+    assert hot() == [(2 * batches,)]
+    # Five levels at most; the table's size alone would be 26 batches' rows.
+    assert max(written) < 7 * size and sum(written) < 6 * batches * size
+    # A batch that is done again, or that died on its way, changes nothing.
+    add(batches - 1)
+    assert hot() == [(2 * batches,)]
+    (tmp_path / "running" / "runs-16-2" / f"batch={batches - 1}" / "_SUCCESS").unlink()
+    assert hot() == [(2 * batches - 2,)]
+    add(batches - 1)
+    assert hot() == [(2 * batches,)]
+    with pytest.raises(ValueError, match="buckets"):
+        ingest.add_counts(spark.createDataFrame([], schema), out, batches, buckets=8, fanout=2)
+
+
+def test_counts_from_before_there_were_buckets_go_on(spark, tmp_path, rows):
+    out, schema = str(tmp_path / "old"), "link_type string, src string, dst string, weight bigint"
+    assert rows(ingest.read_running_counts(spark, out)) == []
+    frame = spark.createDataFrame([("type2", "a", "b", 3)], schema)
+    frame.write.parquet(f"{out}/version=0")
+    ingest.add_counts(frame, out, 1)
+    assert rows(ingest.read_running_counts(spark, out), "src", "dst", "weight") == [("a", "b", 6)]
