@@ -30,6 +30,23 @@ def ranked(attributes: DataFrame, by: str | None = None) -> DataFrame:
     return attributes.orderBy(*_order(sort_attribute(by)))
 
 
+def all_orders(attributes: DataFrame) -> DataFrame:
+    """All rankings at once: a row for each attribute (``sorted_by``) and URL, by attribute, and
+    within it as :func:`ranked`.
+
+    One range sort, whose sample of the table gives the bounds of all attributes together; ties are
+    cut by URL, so that no value has to fit in a task.
+    """
+    kinds = dict(attributes.dtypes)
+    # Whole numbers keep a column of their own, in which they are exact.
+    whole = lambda f: F.col(f).cast("bigint") if kinds[f] != "double" else F.lit(None).cast("bigint")
+    real = lambda f: F.col(f) if kinds[f] == "double" else F.lit(None).cast("double")
+    keys = [F.struct(F.lit(f).alias("sorted_by"), whole(f).alias("_whole"), real(f).alias("_real")) for f in FEATURES]
+    rows = attributes.select(F.explode(F.array(*keys)).alias("_key"), "url", *FEATURES).select("_key.*", "url", *FEATURES)
+    ordered = rows.orderBy("sorted_by", F.desc("_whole"), F.desc("_real"), F.asc("url"))
+    return ordered.select("sorted_by", "url", *FEATURES)
+
+
 def with_rank(attributes: DataFrame, by: str | None = None) -> DataFrame:
     """Add ``rank`` (1 = largest) without bringing the table to one task."""
     return with_position(attributes, _order(sort_attribute(by)), "rank", start=1)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import warnings
 from collections.abc import Callable
 from functools import reduce
 
@@ -765,6 +767,61 @@ def full_run_extracted(spark, sf_dir):
     return _rounded_attributes(spark.read.parquet(f"{out}/metrics/type2/attributes"))
 
 
+#: Another sort column, both kinds of sorted lists and two exclusions.
+LIST_SETTINGS = json.dumps({
+    "types to parse": ["type2"],
+    "link attributes sort parameter": "indeg",
+    "output sorted lists by each attribute": "True",
+    "output filtered sorted lists by each attribute": "True",
+    "filter link attributes by top pagerank": "True",
+    "top N of pagerank to filter": str(TOP_EXCLUDED),
+    "filter custom URL list": "True",
+    "URL filter list": list(EXCLUDED_URLS),
+})
+#: Ranks by PageRank hang on the last bit of sums, so their lists are left to ``sorted_lists_csv``.
+EXACT_FEATURES = tuple(f for f in FEATURES if not f.startswith("pagerank"))
+
+
+def _places(spark, folders: dict[str, str]) -> DataFrame:
+    """(list, rank, url) of CSV rankings, by their lines' places in the files."""
+    parts = [
+        tables.read_csv(spark, path, ATTRIBUTES).select(
+            F.lit(name).alias("list"), "url", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line")
+        )
+        for name, path in folders.items()
+    ]
+    lines = stage(reduce(DataFrame.unionByName, parts), "lines")
+    placed = stage(with_position(lines, [F.col("list"), F.col("file"), F.col("line")], "place"), "places")
+    first = placed.groupBy("list").agg(F.min("place").alias("first"))
+    return placed.join(first, "list").select("list", (F.col("place") - F.col("first") + 1).alias("rank"), "url")
+
+
+@query
+def settings_run(spark, sf_dir):
+    """A run with settings that ask for all lists, over a folder that also holds a log: where each URL
+    stands in the rankings it writes."""
+    source, out = _extracted_folder(spark, sf_dir), scratch_path(spark, "run")
+    again = crawl_pages(spark, sf_dir).select(F.to_json(F.struct("url", "children")).alias("value"))
+    _named_files(spark, {"processed.txt": again}, source)
+    options = Options.from_json(LIST_SETTINGS, pagerank={"fixed_iters": STEPS})
+    run_pipeline(spark, source, out, options, extracted=True)
+    folder = f"{out}/metrics/type2"
+    lists = {f"link_attributes_{kind}": f"{folder}/link_attributes_{kind}" for kind in ("filtered", "non_filtered")}
+    for f in EXACT_FEATURES:
+        lists |= {f"{f}_filtered": f"{folder}/sorted_filtered/{f}_filtered", f"{f}_non_filtered": f"{folder}/sorted/{f}_non_filtered"}
+    return _places(spark, lists)
+
+
+@query
+def unreadable_settings_run(spark, sf_dir):
+    """Settings that are no JSON give a run with the defaults."""
+    out = scratch_path(spark, "run")
+    with warnings.catch_warnings(action="ignore"):
+        options = Options.from_json(LIST_SETTINGS[:-1], pagerank={"fixed_iters": STEPS})
+    run_pipeline(spark, _extracted_folder(spark, sf_dir), out, options, extracted=True)
+    return _places(spark, {"link_attributes_filtered": f"{out}/metrics/type2/link_attributes_filtered"})
+
+
 @query
 def index_files(spark, sf_dir):
     """The index that a run stores."""

@@ -221,6 +221,21 @@ dirty_cleaned as (
         "incremental_full_run": page_attributes,
         "extracted_scan": _with(_CLEANED, "select parent_url as url, href from crawl"),
         "full_run_extracted": _with(f"{legacy_edges}, {_ATTRIBUTES}", "select * from attributes", True),
+        "settings_run": _with(
+            f"{legacy_edges}, {_ATTRIBUTES}, kept as (select * from ratios where node not in {_TOP} and node not in {_LIST})",
+            " union all ".join(
+                f"select '{name}_{kind}' as list, row_number() over (order by {by} desc, node) as rank, node as url from {source}"
+                for kind, source in (("filtered", "kept"), ("non_filtered", "ratios"))
+                for name, by in (("link_attributes", "indeg"), *((f, f) for f in c.EXACT_FEATURES))
+            ),
+            True,
+        ),
+        "unreadable_settings_run": _with(
+            f"{legacy_edges}, {_ATTRIBUTES}",
+            "select 'link_attributes_filtered' as list, row_number() over (order by outdeg desc, node) as rank,"
+            " node as url from ratios",
+            True,
+        ),
         "index_files": _with(
             f"{page_edges}, names as (select src as name from edges union select dst from edges"
             f" union select {_name('url', 'type2')} from pages)",

@@ -3,6 +3,7 @@ order, are the ranking; nothing is funnelled through one task."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from linkrank.functions.urls import LINK_TYPES
 from linkrank.operators.attributes import FEATURES
 from linkrank.operators.graph import connectivity_json
-from linkrank.operators.ranking import ranked
+from linkrank.operators.ranking import all_orders, ranked
 from linkrank.sources.split_gzip import write_lines
 
 
@@ -94,9 +95,28 @@ def write_ranked_csv(attributes: DataFrame, path: str, by: str | None = None) ->
 
 
 def write_sorted_lists(attributes: DataFrame, folder: str, tag: str = "") -> None:
-    """One ranking per attribute; ``attributes`` should be a stored table."""
-    for feature in FEATURES:
-        write_ranked_csv(attributes, f"{folder}/{feature}{tag}", feature)
+    """One ranking per attribute, all from one sort; ``attributes`` should be a stored table.
+
+    The rankings are written beside their places and moved there when all are whole.
+    """
+    spark = attributes.sparkSession
+    hidden = f"{folder}/_sorting-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(hidden).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        # Sorted by the partition column first: a task has one file open.
+        all_orders(attributes).write.partitionBy("sorted_by").options(**CSV).csv(hidden)
+        for feature in FEATURES:
+            made, place = path(f"{hidden}/sorted_by={feature}"), path(f"{folder}/{feature}{tag}")
+            if not system.exists(made):  # no rows
+                write_ranked_csv(attributes, place.toString(), feature)
+                continue
+            system.create(path(f"{made}/_SUCCESS"), True).close()
+            system.delete(place, True)
+            if not system.rename(made, place):
+                raise OSError(f"{made} could not be moved to {place}")
+    finally:
+        system.delete(path(hidden), True)
 
 
 def write_edge_table(table: DataFrame, path: str) -> None:

@@ -211,6 +211,27 @@ def test_ranked_csv_parts_are_in_order(spark, tmp_path):
         assert names == [r["url"] for r in ranking.ranked(table, feature).collect()]
 
 
+def test_all_rankings_come_from_one_sort(spark, tmp_path, rows):
+    big = 1 << 53  # doubles do not tell this from the next number
+    kinds = ", ".join(f"{f} {'double' if 'ratio' in f or 'pagerank' in f else 'bigint'}" for f in FEATURES)
+    table = spark.createDataFrame(
+        [(f"u{i}", i % 2, 7, big + i, -i, i / 7, [None, float("nan"), 0.5][i % 3], 1.0, 0.5) for i in range(40)], f"url string, {kinds}"
+    )
+    found = ranking.all_orders(table)
+    found.write.format("noop").mode("overwrite").save()
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange rangepartitioning") == 1
+    for twice in range(2):  # the second time they are written over
+        tables.write_sorted_lists(table.repartition(8), str(tmp_path), "_all")
+    assert {p.name for p in tmp_path.iterdir()} == {f"{f}_all" for f in FEATURES}
+    for f in FEATURES:
+        wanted = [r["url"] for r in ranking.ranked(table, f).collect()]
+        assert [r["url"] for r in found.filter(F.col("sorted_by") == f).collect()] == wanted
+        lines = [x.split(",")[0] for p in sorted((tmp_path / f"{f}_all").glob("part-*")) for x in p.read_text().splitlines()]
+        assert [x for x in lines if x != "url"] == wanted
+    tables.write_sorted_lists(table.limit(0), str(tmp_path / "none"))
+    assert tables.read_csv(spark, str(tmp_path / "none" / "outdeg"), f"url string, {kinds}").count() == 0
+
+
 def test_edge_table_and_audit_log(spark, tmp_path):
     edges = spark.createDataFrame([("a", "b", 1), ("c", "b", 2)], EDGES)
     tables.write_edge_table(graph.edge_table(edges), str(tmp_path / "edges"))
