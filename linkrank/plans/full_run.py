@@ -193,11 +193,15 @@ def metrics_stage(
 ) -> DataFrame:
     """:func:`measure` on the stored links and edges of one granularity.
 
-    ``keep_ids``: names that the folder has ids for keep them.
+    ``keep_ids``: the folder belongs to incremental runs; names that it has ids for keep them.
     """
     edges = read_edges(spark, f"{out}/edges", [link_type]).select("src", "dst", "weight")
-    pages = read_page_links(spark, f"{out}/links", [link_type])
-    parents = stage(known_parents(pages).select("src"), "parents")
+    if keep_ids:
+        # What incremental runs keep: the links of earlier runs are not read again.
+        pages = ingest.read_known_parents(spark, f"{out}/parents", link_type)
+    else:
+        pages = known_parents(read_page_links(spark, f"{out}/links", [link_type])).select("src")
+    parents = stage(pages, "parents")
     folder, earlier = f"{out}/metrics/{link_type}", None
     keep_ids = keep_ids and not options.previous_run
     if options.previous_run:
@@ -260,6 +264,8 @@ def run_incremental(
     ingest.append_links(_cleaned(pages, options, extracted), f"{out}/links", f"{state}/links").awaitTermination()
     links = ingest.stream_links(spark, f"{out}/links", options.link_types)
     ingest.ingest_edge_counts(links, f"{out}/edge_counts", f"{state}/counts").awaitTermination()
+    parents = ingest.keep_known_parents(spark, f"{out}/links", f"{out}/parents", f"{state}/parents", options.link_types)
+    parents.awaitTermination()
     edges = ingest.compact_edge_counts(spark, f"{out}/edge_counts")
     tables.write_edges(edges, f"{out}/edges")
     return {t: metrics_stage(spark, out, t, options, keep_ids=True) for t in options.link_types}

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from linkrank.functions.urls import LINK_TYPES
-from linkrank.operators.links import EDGE_KEYS, count_links, link_rows, merge_edges, parse_pages
+from linkrank.operators.links import EDGE_KEYS, count_links, known_parents, link_rows, merge_edges, parse_pages
 from linkrank.sinks.tables import writers_per_type
 from linkrank.sources.crawl import (
     CORRUPT_COLUMN,
@@ -242,6 +242,28 @@ def read_running_counts(spark: SparkSession, out: str) -> DataFrame:
     return merge_edges(*parts) if parts else spark.createDataFrame([], EDGES).select(*EDGE_KEYS, "weight")
 
 
+def keep_known_parents(
+    spark: SparkSession, path: str, out: str, checkpoint: str, link_types: Iterable[str] = LINK_TYPES
+) -> StreamingQuery:
+    """The pages named so far in the links that :func:`ingest_links` wrote to ``path``, with or without links.
+
+    Each trigger reads new links only.  The table is one of running counts, with a page as an edge to
+    nowhere, so its writes follow the batch too.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        pages = known_parents(batch).select("link_type", "src", F.lit("").alias("dst"), F.lit(1).cast("bigint").alias("weight"))
+        add_counts(pages, out, batch_id)
+
+    rows = spark.readStream.schema(PAGE_LINKS).parquet(path)
+    return _each_batch(rows.filter(F.col("link_type").isin(*link_types)), write, checkpoint)
+
+
+def read_known_parents(spark: SparkSession, out: str, link_type: str) -> DataFrame:
+    """(src) of one type in the table of :func:`keep_known_parents`."""
+    return read_running_counts(spark, out).filter(F.col("link_type") == link_type).select("src")
+
+
 def _each_batch(links: DataFrame, write, checkpoint: str) -> StreamingQuery:
     return (
         links.writeStream.foreachBatch(write)

@@ -145,6 +145,23 @@ def test_incremental_run_equals_a_full_one(spark, tmp_path, rows, extracted):
         assert ids() == first | {"a.com": 3}
 
 
+def test_an_incremental_run_does_not_read_old_links(spark, tmp_path, rows):
+    src, out = tmp_path / "in", tmp_path / "out"
+    src.mkdir()
+    brief = Options(write_sorted=False, write_sorted_filtered=False, pagerank={"fixed_iters": 1})
+    (src / "a.jl").write_text("\n".join([page("http://b.com", "http://c.com"), page("http://z.com/alone", "#top")]))
+    linkrank.run_incremental(spark, str(src), str(out), brief)
+    old = list((out / "links").rglob("part-*"))
+    for part in old:
+        part.write_bytes(b"no table")
+    (src / "b.jl").write_text("\n".join([page("http://a.com", "http://c.com"), page("http://b.com/more")]))
+    found = linkrank.run_incremental(spark, str(src), str(out), brief)
+    assert rows(found["type2"], "url", "outdeg", "indeg") == [("a.com", 1, 0), ("b.com", 1, 0), ("c.com", 0, 2)]
+    index = spark.read.parquet(f"{out}/metrics/type2/node_index")
+    assert rows(index, "id", "name") == [(0, "b.com"), (1, "c.com"), (2, "z.com"), (3, "a.com")]
+    assert old and all(part.read_bytes() == b"no table" for part in old)
+
+
 def test_counting_unparsed_types_is_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="type2"):
         run_pipeline(spark, str(tmp_path), str(tmp_path), Options(parse_types=("type1",)))
