@@ -798,11 +798,11 @@ def _places(spark, folders: dict[str, str]) -> DataFrame:
 
 @query
 def settings_run(spark, sf_dir):
-    """A run with settings that ask for all lists, over a folder that also holds a log: where each URL
+    """A run with settings that ask for all lists, over a folder that also holds logs: where each URL
     stands in the rankings it writes."""
     source, out = _extracted_folder(spark, sf_dir), scratch_path(spark, "run")
     again = crawl_pages(spark, sf_dir).select(F.to_json(F.struct("url", "children")).alias("value"))
-    _named_files(spark, {"processed.txt": again}, source)
+    again.write.mode("append").text(source)  # each task's file ends in txt, as logs do
     options = Options.from_json(LIST_SETTINGS, pagerank={"fixed_iters": STEPS})
     run_pipeline(spark, source, out, options, extracted=True)
     folder = f"{out}/metrics/type2"
