@@ -95,16 +95,26 @@ def crawl_json_scan(spark, sf_dir):
     return rows.select("url", F.length("raw_content").alias("html_chars"))
 
 
+#: Bytes of a stored table that go into one crawl file.
+CRAWL_BYTES = 128 << 20
+
+
+def _crawl_files(spark, sf_dir, name="pages") -> int:
+    """How many crawl files a table makes: one, and of large tables more, each written by a task."""
+    listed = crawl.list_files(spark, f"{sf_dir}/{name}.parquet")
+    return 1 + (listed.agg(F.sum("bytes")).first()[0] or 0) // CRAWL_BYTES
+
+
 #: Small, so that small tables have several ranges too.
 GZIP_RANGE = 64 << 10
 
 
 @query
 def gzip_ranges_scan(spark, sf_dir):
-    """All pages in one gzip file, read by a task for each byte range."""
+    """All pages in one gzip file, of large tables in several, read by a task for each byte range."""
     path = scratch_path(spark, "crawl")
     written = pages(spark, sf_dir).select("url", F.col("html").alias("raw_content"))
-    tables.write_crawl(written.coalesce(1), path, member_bytes=GZIP_RANGE)
+    tables.write_crawl(written.coalesce(_crawl_files(spark, sf_dir)), path, member_bytes=GZIP_RANGE)
     rows = crawl.read_pages(spark, path, gzip_range_bytes=GZIP_RANGE).filter(F.col(crawl.CORRUPT_COLUMN).isNull())
     return rows.select("url", F.length("raw_content").alias("html_chars"))
 

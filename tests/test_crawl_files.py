@@ -30,6 +30,12 @@ def files(folder, pattern):
     return sorted(p.relative_to(folder).as_posix() for p in Path(folder.removeprefix("file:")).rglob(pattern))
 
 
+def test_gzip_ranges_are_of_files_by_many_tasks(spark, folders, tmp_path, rows):
+    found = rows(catalogue.gzip_ranges_scan(spark, str(tmp_path)))
+    assert found == sorted(((u, len(h)) for _, u, h in PAGES), key=repr)
+    assert len(files(folders["crawl"], "*.json.gz")) == 3
+
+
 def test_logs_of_a_run_by_many_tasks(spark, folders, tmp_path, monkeypatch):
     lines = spark.range(60).select(
         (F.col("id") % 20).alias("l_orderkey"), F.col("id").cast("int").alias("l_linenumber"),
