@@ -664,32 +664,37 @@ def pending_inputs(spark, sf_dir):
     return audit.pending_inputs(inputs, outputs)
 
 
-def _named_files(spark, parts: dict[str, DataFrame], folder: str) -> str:
-    """One gzip JSON crawl file, or another text file, for each name."""
+def _named_files(spark, parts: dict[str, DataFrame], folder: str, files: int = 1) -> list[str]:
+    """Gzip JSON crawl files, or other text files, of each name: one, and with ``files`` up to as many,
+    each written by a task; those after the first are in folders of their own.  Returns their paths."""
+    made = []
     for name, lines in parts.items():
         path = scratch_path(spark, "part")
         packed = {"compression": "gzip"} if name.endswith(".gz") else {}
-        lines.coalesce(1).write.text(path, **packed)
-        target = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
-        system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        system.mkdirs(target.getParent())
-        written = system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/part-*"))
-        system.delete(target, False)
-        system.rename(written[0].getPath(), target)
-    return folder
+        lines.coalesce(files).write.text(path, **packed)
+        pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/part-*")
+        system = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for i, written in enumerate(system.globStatus(pattern)):
+            made.append(f"{folder}/more{i}/{name}" if i else f"{folder}/{name}")
+            target = spark._jvm.org.apache.hadoop.fs.Path(made[-1])
+            system.mkdirs(target.getParent())
+            system.delete(target, False)
+            system.rename(written.getPath(), target)
+    return made
 
 
 @query
 def pending_files(spark, sf_dir):
-    """Crawl files in folders, of which two have been counted; logs and other names do not matter."""
-    rows = pages(spark, sf_dir)
+    """Crawl files in folders, of which two have been counted; logs and other names do not matter.
+    Large tables have several files of a name."""
+    rows, files = pages(spark, sf_dir), _crawl_files(spark, sf_dir)
     folder, done = scratch_path(spark, "crawl"), scratch_path(spark, "counted")
     parts = {f"{n % 2}/crawl{n}.jl.gz": _json_lines(rows.filter(F.col("page_id") % FILES == n)) for n in range(FILES)}
-    _named_files(spark, parts | {"processed.txt": parts["0/crawl0.jl.gz"]}, folder)
+    _named_files(spark, parts | {"processed.txt": parts["0/crawl0.jl.gz"]}, folder, files)
     counted = rows.groupBy((F.col("page_id") % FILES).alias("file")).count()
     values = {f"crawl{n}.csv": counted.filter(F.col("file") == n).select(F.col("count").cast("string")) for n in (1, 2)}
     _named_files(spark, values, done)
-    return file_runs.pending_files(spark, folder, done).select("file_name")
+    return file_runs.pending_files(spark, folder, done).select("file_name").distinct()
 
 
 FILES = 4

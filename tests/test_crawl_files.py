@@ -36,6 +36,11 @@ def test_gzip_ranges_are_of_files_by_many_tasks(spark, folders, tmp_path, rows):
     assert len(files(folders["crawl"], "*.json.gz")) == 3
 
 
+def test_pending_files_of_many_tasks(spark, folders, tmp_path, rows):
+    assert rows(catalogue.pending_files(spark, str(tmp_path))) == [("crawl0.jl.gz",), ("crawl3.jl.gz",)]
+    assert files(folders["crawl"], "crawl0.jl.gz") == ["0/crawl0.jl.gz", "more1/0/crawl0.jl.gz", "more2/0/crawl0.jl.gz"]
+
+
 def test_logs_of_a_run_by_many_tasks(spark, folders, tmp_path, monkeypatch):
     lines = spark.range(60).select(
         (F.col("id") % 20).alias("l_orderkey"), F.col("id").cast("int").alias("l_linenumber"),
