@@ -700,28 +700,37 @@ def pending_files(spark, sf_dir):
 FILES = 4
 
 
+def _cut_short(spark, name: str) -> None:
+    """Leave the first half of a file, copied in small blocks."""
+    named = spark._jvm.org.apache.hadoop.fs.Path
+    path, whole = named(name), named(scratch_path(spark, "whole"))
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.rename(path, whole)
+    source, target = system.open(whole), system.create(path, True)
+    spark._jvm.org.apache.commons.io.IOUtils.copyLarge(source, target, 0, system.getFileStatus(whole).getLen() // 2)
+    source.close()
+    target.close()
+
+
 @query
 def failed_files(spark, sf_dir):
     """Crawl files of which one is cut short at first and mended later: each run's ledger, with the
-    pages that it has of each file."""
-    rows, folder, out = pages(spark, sf_dir), scratch_path(spark, "crawl"), scratch_path(spark, "run")
+    pages that it has of each file.  Large tables have several files of a name, which share a row."""
+    rows, files = pages(spark, sf_dir), _crawl_files(spark, sf_dir)
+    folder, out = scratch_path(spark, "crawl"), scratch_path(spark, "run")
     parts = {f"crawl{n}.jl.gz": _json_lines(rows.filter(F.col("page_id") % FILES == n)) for n in range(FILES)}
-    _named_files(spark, parts, folder)
-    hurt = f"{folder}/crawl2.jl.gz"
-    content = bytes(spark.read.format("binaryFile").load(hurt).first()["content"])
-    path = spark._jvm.org.apache.hadoop.fs.Path(hurt)
-    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
-    stream.write(bytearray(content[: len(content) // 2]))
-    stream.close()
+    hurt = [p for p in _named_files(spark, parts, folder, files) if p.endswith("/crawl2.jl.gz")]
+    for name in hurt:
+        _cut_short(spark, name)
     file_runs.parse_new_files(spark, folder, out)
-    _named_files(spark, {"crawl2.jl.gz": parts["crawl2.jl.gz"]}, folder)
+    _named_files(spark, {"crawl2.jl.gz": parts["crawl2.jl.gz"]}, folder, files)
     file_runs.parse_new_files(spark, folder, out)
     ledger = file_runs.read_ledger(spark, out)
     found = file_runs.read_parsed_links(spark, out).filter("link_type = 'type1'")
     counted = found.groupBy("run", F.col("crawl_file").alias("path")).agg(F.count(F.lit(1)).alias("pages"))
-    return ledger.join(counted, ["run", "path"], "left").select(
-        "run", F.regexp_extract("path", r"([^/]*)$", 1).alias("file"), F.col("reason").isNotNull().alias("failed"),
-        F.coalesce("pages", F.lit(0)).alias("pages"),
+    name = F.regexp_extract("path", r"([^/]*)$", 1).alias("file")
+    return ledger.join(counted, ["run", "path"], "left").groupBy("run", name).agg(
+        F.bool_or(F.col("reason").isNotNull()).alias("failed"), F.coalesce(F.sum("pages"), F.lit(0)).alias("pages")
     )
 
 

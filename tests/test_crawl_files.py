@@ -41,6 +41,13 @@ def test_pending_files_of_many_tasks(spark, folders, tmp_path, rows):
     assert files(folders["crawl"], "crawl0.jl.gz") == ["0/crawl0.jl.gz", "more1/0/crawl0.jl.gz", "more2/0/crawl0.jl.gz"]
 
 
+def test_failed_files_of_many_tasks(spark, folders, tmp_path, rows):
+    found = rows(catalogue.failed_files(spark, str(tmp_path)))
+    first = [(1, f"crawl{n}.jl.gz", n == 2, 0 if n == 2 else 10) for n in range(4)]
+    assert found == [*first, (2, "crawl2.jl.gz", False, 10)]
+    assert len(files(folders["crawl"], "crawl2.jl.gz")) == 3
+
+
 def test_logs_of_a_run_by_many_tasks(spark, folders, tmp_path, monkeypatch):
     lines = spark.range(60).select(
         (F.col("id") % 20).alias("l_orderkey"), F.col("id").cast("int").alias("l_linenumber"),
