@@ -19,9 +19,12 @@ from __future__ import annotations
 
 import os
 import zlib
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,6 +37,8 @@ from linkrank.operators.staging import scratch_path, write_and_read
 END_ID = 0
 #: Chunks that go to the library in one call.
 JOINED = 1_000
+#: Chunks that a worker remembers, see ``chunks.Remembered``.
+REMEMBERED = 400_000
 
 #: Bytes of ids for each task that reads them back.
 READ_BYTES = 8 << 20
@@ -59,31 +64,57 @@ def worker_tokenizer(content: bytes):
         tokenizer.no_truncation()
         tokenizer.no_padding()
         width = 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
-        special = {i: t.content for i, t in tokenizer.get_added_tokens_decoder().items() if t.special}
+        added = tokenizer.get_added_tokens_decoder()
+        special = {i: t.content for i, t in added.items() if t.special}
         mark, between = next(iter(special.items()), (None, None))
+        # A string of this vocabulary has a character for each byte.
+        n_bytes = np.zeros(tokenizer.get_vocab_size(), np.int64)
+        for string, i in tokenizer.get_vocab().items():
+            n_bytes[i] = len(string)
+
+        def ids_of(text: str) -> np.ndarray:
+            return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, number_type(width))
 
         def each(parts: list[str]) -> list[bytes]:
             found = tokenizer.encode_batch_fast(parts, add_special_tokens=False)
             return [np.array(x.ids, number_type(width)).tobytes() for x in found]
 
-        def encode(parts: list[str]) -> list[bytes]:
+        def marked(parts: list[str]) -> list[bytes]:
             """A special token cuts a text for certain: parts joined by it cost one call."""
-            if between is None or not parts:
+            if between is None:
+                return each(parts)
+            text = between.join(parts)
+            if text.count(between) != len(parts) - 1 or "" in parts:
+                return each(parts)
+            ids = ids_of(text)
+            cuts = np.flatnonzero(ids == mark).tolist()
+            starts, stops = [0, *(c + 1 for c in cuts)], [*cuts, len(ids)]
+            return [ids[a:b].tobytes() for a, b in zip(starts, stops, strict=True)]
+
+        def joined(parts: list[str]) -> list[bytes]:
+            """Parts that begin with a blank and a sign: their tokens end where they end."""
+            text = "".join(parts)
+            if any(t.content in text for t in added.values()):
                 return each(parts)
-            out: list[bytes] = []
-            for i in range(0, len(parts), JOINED):
-                own = parts[i : i + JOINED]
-                text = between.join(own)
-                if text.count(between) != len(own) - 1 or "" in own:
-                    out += each(own)
-                    continue
-                ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, number_type(width))
-                cuts = np.flatnonzero(ids == mark).tolist()
-                starts, stops = [0, *(c + 1 for c in cuts)], [*cuts, len(ids)]
-                out += [ids[a:b].tobytes() for a, b in zip(starts, stops, strict=True)]
-            return out
-
-        _libraries[key] = chunks.Remembered(encode), width
+            ids = ids_of(text)
+            ends, wanted = np.cumsum(n_bytes[ids]), np.cumsum(pc.binary_length(pa.array(parts)).to_numpy())
+            stops = np.searchsorted(ends, wanted, side="right")
+            if ends[-1] != wanted[-1] or not np.array_equal(ends[stops - 1], wanted):
+                return marked(parts)
+            raw, stops = ids.tobytes(), (stops * width).tolist()
+            return [raw[a:b] for a, b in zip([0, *stops], stops)]
+
+        def in_runs(parts: list[str], run) -> Iterator[bytes]:
+            return chain.from_iterable(run(parts[i : i + JOINED]) for i in range(0, len(parts), JOINED))
+
+        def encode(parts: list[str]) -> list[bytes]:
+            # The blanks that ``chunks.cut`` cuts before, whatever stands before them.
+            plain = [" !" <= p < " \x7f" or " \xc0" <= p < " \u0800" for p in parts]
+            some = in_runs([p for p, x in zip(parts, plain, strict=True) if x], joined)
+            rest = in_runs([p for p, x in zip(parts, plain, strict=True) if not x], marked)
+            return [next(some) if x else next(rest) for x in plain]
+
+        _libraries[key] = chunks.Remembered(encode, REMEMBERED), width
     return _libraries[key]
 
 

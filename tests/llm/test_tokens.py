@@ -171,3 +171,35 @@ def test_token_files_are_read_by_many_tasks(spark, odd_docs, monkeypatch, tmp_pa
     shards = spark.read.parquet(f"{tmp_path}/manifest").count()
     used = rows.select(F.spark_partition_id().alias("p")).distinct().count()
     assert shards > 1 and used > 1
+
+
+def test_plain_chunks_go_to_the_library_without_marks(monkeypatch, content):
+    """They are cut apart by the bytes of their ids; chunks that hold a special token go alone."""
+    import tokenizers
+
+    given = []
+
+    class Noted:
+        def __init__(self, inner):
+            self.inner = inner
+
+        @staticmethod
+        def from_str(text):
+            return Noted(Tokenizer.from_str(text))
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+        def encode_batch_fast(self, texts, **more):
+            given.extend(texts)
+            return self.inner.encode_batch_fast(texts, **more)
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", Noted)
+    monkeypatch.setattr(token_files, "_libraries", {})
+    remembered, width = token_files.worker_tokenizer(content)
+    one_by_one = lambda parts: [np.array(x.ids, token_files.number_type(width)).tobytes() for x in Tokenizer.from_str(content.decode()).encode_batch_fast(parts, add_special_tokens=False)]
+    plain = [f" w{i}é" for i in range(2_500)] + [" été\n\t", " a b", " Ж'll", " !?  "]
+    assert remembered(plain) == one_by_one(plain)
+    assert len(given) == 3 and not any("<|endoftext|>" in t for t in given)
+    odd = list(dict.fromkeys(chunks.distinct(strings(pa.array(random_texts(3000))))[0])) + ["", " x<|endoftext|>", "no blank"]
+    assert remembered(odd) == one_by_one(odd)
