@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkrank.llm.shared import bitmap, in_bitmap, ship
+from linkrank.llm.shared import bitmap, give_back, in_bitmap, ship
 from linkrank.llm.text import FOLD_ALNUM, hashes, pieces, segments, strings, windows, words
 from linkrank.operators.staging import stage
 
@@ -32,6 +32,8 @@ WINDOW = 13
 SHINGLE = 3
 #: Contaminated: n_hit > 0 and SHARE * n_hit >= n_words.
 SHARE = 20
+#: Bytes of text whose words are held at once.
+HELD_BYTES = 2 << 20
 #: Bits of the filter of shingles: fixed, half a megabyte.
 FILTER_BITS = 1 << 22
 
@@ -101,13 +103,14 @@ def shingle_counts(docs: DataFrame, shingles: DataFrame, sizes: list[int]) -> Da
 
     def run(batches):
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, limit=HELD_BYTES):
                 own, starts = _own_words(piece.column("text"))
                 found = [h[in_bitmap(wanted.value, _slots(h))] for h, _ in (_shingles(own, starts, s) for s in sizes)]
                 distinct, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(_longs(distinct)), pa.array(counts.astype(np.int64))], names=["shingle", "n"]
                 )
+        give_back()
 
     counted = docs.select("text").mapInArrow(run, "shingle long, n long")
     return counted.groupBy("shingle").agg(F.sum("n").alias("n")).join(shingles, "shingle", "left_semi")
@@ -149,7 +152,7 @@ def places(docs: DataFrame, posted: DataFrame, sizes: list[int]) -> DataFrame:
         task, count = TaskContext.get().partitionId() << 40, 0
         names = [f.split()[0] for f in _PLACES.split(", ")]
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, limit=HELD_BYTES):
                 own, starts = _own_words(piece.column("text"))
                 n = len(starts) - 1
                 rid = task + count + np.arange(n)
@@ -181,6 +184,7 @@ def places(docs: DataFrame, posted: DataFrame, sizes: list[int]) -> DataFrame:
                              pa.array(_longs(h)), pa.array(first - begin), around],
                             names=names,
                         )
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, _PLACES)
 

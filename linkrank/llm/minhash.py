@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkrank.llm.components import components
-from linkrank.llm.shared import bitmap, file_system, in_bitmap, ship
+from linkrank.llm.shared import bitmap, file_system, give_back, in_bitmap, ship
 from linkrank.llm.text import hashes, mix, pieces, strings, windows, words
 from linkrank.operators.staging import scratch_path, stage
 
@@ -124,6 +124,7 @@ def described(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
                     ],
                     names=["doc_id", "n_shingles", "fp", "sig"],
                 )
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, fp binary, sig binary")
 
@@ -217,6 +218,10 @@ class _Sets:
             self.bytes += 8 * size
         return self.held[key]
 
+    def forget(self) -> None:
+        """Let go of sets and mapped files, which count while a worker waits for other stages."""
+        self.files, self.held, self.bytes = {}, {}, 0
+
     def _read(self, name: str, first: int, size: int) -> np.ndarray:
         store, path = file_system(f"{self.folder}/{name}")
         if store.type_name != "local":
@@ -279,6 +284,8 @@ def _with_leaders(batches, read: _Sets, percent: int):
         member = member[_matches(parts, member, leader[member]) >= MATCHES]
         member = member[_confirmed(batch, read, member, leader[member], percent)]
         yield _links(batch, member, leader[member])
+    read.forget()
+    give_back()
 
 
 def _across(batches, read: _Sets, percent: int):
@@ -314,6 +321,8 @@ def _across(batches, read: _Sets, percent: int):
             ends = np.sort(np.stack([comps[x], comps[y]], axis=1), axis=1)
             _, once = np.unique(ends, axis=0, return_index=True)
             yield _links(batch, x[once], y[once])
+    read.forget()
+    give_back()
 
 
 def stored_sets(docs: DataFrame, needed: DataFrame, folder: str) -> DataFrame:
@@ -357,6 +366,7 @@ def stored_sets(docs: DataFrame, needed: DataFrame, folder: str) -> DataFrame:
                 )
         if out is not None:
             out.close()
+        give_back()
 
     own_slot = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(FILTER_BITS))
     rows = docs.select("text", own_slot.alias("slot")).mapInArrow(write, "fp binary, file string, first long, size long")

@@ -6,12 +6,14 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from linkrank.llm import decontaminate, lm, minhash, rules
 from linkrank.llm.components import components
+from linkrank.llm.text import strings
 from pyspark.sql import functions as F
 
 
@@ -340,3 +342,42 @@ def test_bit_probabilities_are_a_distribution():
         total += math.exp(logs)
     # What is missing are the codes of the common bytes behind the escape.
     assert 0.9 < total < 1 + 1e-6
+
+
+class Frame:
+    """A frame that keeps the function that it would run in tasks."""
+
+    sparkSession = None
+
+    def select(self, *_):
+        return self
+
+    groupBy = agg = join = select
+
+    def mapInArrow(self, run, _):
+        self.run = run
+        return self
+
+
+@pytest.mark.parametrize("step", ["places", "shingle_counts"])
+def test_decontamination_holds_little_and_gives_memory_back(spark, monkeypatch, prose, step):
+    held, back = [], []
+    monkeypatch.setattr(decontaminate, "strings", lambda column: held.append(column.nbytes) or strings(column))
+    monkeypatch.setattr(decontaminate, "give_back", lambda: back.append(1), raising=False)
+    monkeypatch.setattr(decontaminate, "_filter", lambda *_: SimpleNamespace(value=np.zeros(decontaminate.FILTER_BITS // 64, np.int64)))
+    monkeypatch.setattr(decontaminate, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    texts = [prose(1, 20_000)] * 40
+    batch = pa.record_batch([pa.array(range(40)), pa.array(texts)], names=["doc_id", "text"])
+    frame = getattr(decontaminate, step)(Frame(), Frame(), [3])
+    list(frame.run([batch]))
+    assert batch.nbytes > 4 << 20 and len(held) > 1 and max(held) < 5 << 19 and back == [1]
+
+
+@pytest.mark.parametrize("step", ["_with_leaders", "_across"])
+def test_sets_of_near_duplicates_end_with_the_task(monkeypatch, step):
+    back = []
+    monkeypatch.setattr(minhash, "give_back", lambda: back.append(1), raising=False)
+    read = minhash._Sets("nowhere")
+    read.files["a"], read.held["a", 0] = np.zeros(1), np.zeros(1)
+    assert list(getattr(minhash, step)([], read, 75)) == []
+    assert not read.files and not read.held and back == [1]
