@@ -3,7 +3,9 @@
 A byte-level BPE of this kind first cuts a text by a fixed pattern in which a blank always
 belongs to the word after it, and encodes the parts independently.  A text can therefore be
 cut before a blank, unless the blank lies inside a run of white space, without changing a
-token.  Each distinct chunk of a piece is encoded once, and whole texts are put together
+token.  It can also be cut between a letter or digit and a sign that ends a word or sentence,
+and after a line feed that is the only white space there: words with and without a comma are then
+one chunk.  Each distinct chunk of a piece is encoded once, and whole texts are put together
 from the chunks' ids.
 """
 
@@ -20,8 +22,34 @@ from linkrank.llm.text import buffers, flat_ranges
 REMEMBERED = 200_000
 
 
-def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """(chunks in order, first chunk of every text and the total); see the module."""
+#: Signs that a text can be cut before, if they follow a letter or digit, and the line feed.
+MARKS = b",.;:!?)\n"
+
+_LETTERS = np.zeros(256, bool)
+_LETTERS[[b for b in range(128) if chr(b).isalnum()]] = True
+#: First bytes of two-byte characters that are letters all (Latin, Cyrillic), but for U+00D7 and U+00F7.
+_LEADS = np.zeros(256, bool)
+_LEADS[[0xC3, 0xC4, 0xC5, 0xD0, 0xD1]] = True
+
+
+def _at_marks(data: np.ndarray, padded: np.ndarray, marks: bytes) -> np.ndarray:
+    """Where texts can be cut at the marks; ``padded`` has two more bytes on either side."""
+    known = np.zeros(256, bool)
+    known[list(marks)] = True
+    found = np.flatnonzero(known[data])
+    before2, before, own, after = (padded[found + i] for i in range(4))
+    letter = _LETTERS[before] | (_LEADS[before2] & (before >= 128) & ~((before2 == 0xC3) & ((before & 0xDF) == 0x97)))
+    alone = ((before > 32) & (before < 127)) | ((before >= 128) & (before2 >= 0xC3) & (before2 < 0xE0))
+    alone &= ((after > 32) & (after < 127)) | ((after >= 0xC3) & (after < 0xE0))
+    return np.concatenate([found[letter & (own != 10)], found[alone & (own == 10)] + 1])
+
+
+def cut(texts: pa.Array, marks: bytes = b"") -> tuple[pa.Array, np.ndarray]:
+    """(chunks in order, first chunk of every text and the total); see the module.
+
+    Texts are cut at those of ``MARKS`` that are given, besides blanks.  A mark that is part of a
+    special token must not be among them.
+    """
     offsets, data = buffers(texts)
     padded = np.zeros(len(data) + 4, np.uint8)
     padded[2 : 2 + len(data)] = data
@@ -32,6 +60,8 @@ def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     plain |= ((after > 32) & (after < 127)) | ((after >= 0xC3) & (after < 0xE0))
     begins = np.zeros(len(data) + 1, bool)
     begins[space[plain]] = begins[offsets] = True
+    if marks:
+        begins[_at_marks(data, padded, marks)] = True
     bounds = np.flatnonzero(begins)
     chunks = pa.StringArray.from_buffers(
         len(bounds) - 1,
@@ -66,11 +96,11 @@ class Remembered:
         return found
 
 
-def distinct(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+def distinct(texts: pa.Array, marks: bytes = b"") -> tuple[list[str], np.ndarray, np.ndarray]:
     """(distinct chunks, code of every chunk, first chunk of every text and the total)."""
-    chunks, starts = cut(texts)
+    chunks, starts = cut(texts, marks)
     encoded = chunks.dictionary_encode()
-    return encoded.dictionary.to_pylist(), encoded.indices.to_numpy(), starts
+    return encoded.dictionary.to_numpy(zero_copy_only=False).tolist(), encoded.indices.to_numpy(), starts
 
 
 def assemble(flat: np.ndarray, lengths: np.ndarray, codes: np.ndarray, starts: np.ndarray):

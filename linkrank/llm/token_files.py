@@ -17,6 +17,7 @@ that they need.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -153,7 +154,10 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
     spark = docs.sparkSession
     ship(spark)
     with open(tokenizer, "rb") as f:
-        content = spark.sparkContext.broadcast(f.read())
+        described = f.read()
+    content = spark.sparkContext.broadcast(described)
+    added = "".join(t["content"] for t in json.loads(described).get("added_tokens", ())).encode()
+    marks = bytes(b for b in chunks.MARKS if b not in added)
 
     def write(batches):
         task = TaskContext.get()
@@ -165,7 +169,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
             if shard is None:
                 shard = _Shard(folder, f"shard-{number:06d}-{task.taskAttemptId()}")
             for piece in pieces(batch):
-                chunked, codes, starts = chunks.distinct(strings(piece.column("text")))
+                chunked, codes, starts = chunks.distinct(strings(piece.column("text")), marks)
                 found = remembered(chunked)
                 lengths = np.array([len(x) for x in found], dtype=np.int64) // width
                 # The end of a text is one more chunk, of one id.

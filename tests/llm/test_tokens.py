@@ -1,6 +1,7 @@
 """BPE, token files and word-piece counts against the library and brute force."""
 
 import hashlib
+import json
 import random
 import zlib
 
@@ -203,3 +204,29 @@ def test_plain_chunks_go_to_the_library_without_marks(monkeypatch, content):
     assert len(given) == 3 and not any("<|endoftext|>" in t for t in given)
     odd = list(dict.fromkeys(chunks.distinct(strings(pa.array(random_texts(3000))))[0])) + ["", " x<|endoftext|>", "no blank"]
     assert remembered(odd) == one_by_one(odd)
+
+
+def test_chunks_cut_at_marks_keep_the_tokens(library):
+    """Words with and without a sign are one chunk, and no token is cut."""
+    encode, _ = library
+    distinct, codes, _ = chunks.distinct(strings(pa.array(["one two, two one.\nTwo é1! é1"])), chunks.MARKS)
+    assert distinct == ["one", " two", ",", " one", ".\n", "Two", " é1", "!"] and codes.tolist() == [0, 1, 2, 1, 3, 4, 5, 6, 7, 6]
+    draw = random.Random(6)
+    letters = [*"a Z9.,;:!?)(-'\n\r\té×÷ЖλßŽ\u0301漢😀\x85\u3000", "\xa0", " ", "\n", ",", ".", "'s", "'ll", "<|endoftext|>", "\x1c"]
+    texts = ["".join(draw.choices(letters, k=draw.randint(0, 14))) for _ in range(6_000)]
+    distinct, codes, starts = chunks.distinct(strings(pa.array(texts)), chunks.MARKS)
+    encoded = [encode(c) for c in distinct]
+    for text, a, b in zip(texts, starts[:-1], starts[1:], strict=True):
+        assert encode(text) == [i for c in codes[a:b] for i in encoded[c]], text
+
+
+def test_marks_of_a_special_token_are_not_cut_at(spark, tmp_path, content):
+    described = json.loads(content)
+    described["added_tokens"] = [described["added_tokens"][0] | {"content": "<a.b,c>"}]
+    described["model"]["vocab"]["<a.b,c>"] = described["model"]["vocab"].pop("<|endoftext|>", len(described["model"]["vocab"]))
+    (tmp_path / "t.json").write_text(json.dumps(described))
+    text = "x <a.b,c> y.z<a.b,c>, a.b"
+    expected = [*Tokenizer.from_file(str(tmp_path / "t.json")).encode(text, add_special_tokens=False).ids, 0]
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    (row,) = token_files.checksums(docs, str(tmp_path / "t.json")).collect()
+    assert row.n_tokens == len(expected) and row.ids_crc32 == zlib.crc32(np.array(expected, "<u4").tobytes())
