@@ -260,10 +260,11 @@ def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
     content = spark.sparkContext.broadcast(_file(tokenizer))
 
     def run(batches):
-        _, remembered = worker_encoder(content.value)
+        bpe, remembered = worker_encoder(content.value)
+        marks = chunks.marks_beside(bpe.special)
         for batch in batches:
             for piece in pieces(batch):
-                chunked, codes, starts = chunks.distinct(strings(piece.column("text")))
+                chunked, codes, starts = chunks.distinct(strings(piece.column("text")), marks)
                 found = remembered(chunked)
                 counts = np.array([x[0] for x in found] or [0], dtype=np.int64)[codes]
                 totals = np.concatenate([[0], np.cumsum(counts)])[starts]

@@ -11,7 +11,7 @@ from the chunks' ids.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +32,12 @@ _LEADS = np.zeros(256, bool)
 _LEADS[[0xC3, 0xC4, 0xC5, 0xD0, 0xD1]] = True
 
 
+def marks_beside(special: Iterable[str]) -> bytes:
+    """Those of ``MARKS`` that are in none of the special tokens."""
+    held = "".join(special).encode()
+    return bytes(b for b in MARKS if b not in held)
+
+
 def _at_marks(data: np.ndarray, padded: np.ndarray, marks: bytes) -> np.ndarray:
     """Where texts can be cut at the marks; ``padded`` has two more bytes on either side."""
     known = np.zeros(256, bool)

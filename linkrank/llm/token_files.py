@@ -156,8 +156,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
     with open(tokenizer, "rb") as f:
         described = f.read()
     content = spark.sparkContext.broadcast(described)
-    added = "".join(t["content"] for t in json.loads(described).get("added_tokens", ())).encode()
-    marks = bytes(b for b in chunks.MARKS if b not in added)
+    marks = chunks.marks_beside(t["content"] for t in json.loads(described).get("added_tokens", ()))
 
     def write(batches):
         task = TaskContext.get()

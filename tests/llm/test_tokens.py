@@ -220,6 +220,26 @@ def test_chunks_cut_at_marks_keep_the_tokens(library):
         assert encode(text) == [i for c in codes[a:b] for i in encoded[c]], text
 
 
+def test_words_are_merged_once_with_and_without_a_sign(spark, content, monkeypatch):
+    """Each word, whatever sign follows it, and each sign are encoded once by a round trip."""
+    given = []
+
+    class Noted(bpe.Bpe):
+        def encode_all(self, texts):
+            given.extend(texts)
+            return super().encode_all(texts)
+
+    monkeypatch.setattr(bpe, "Bpe", Noted)
+    monkeypatch.setattr(bpe, "_encoders", {})
+    docs = spark.createDataFrame([(1, "one two, two. two! one")], "doc_id long, text string")
+    run = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: run.append(f) or self)
+    found = bpe.round_trip(docs, tokenizer_path())
+    rows = [r for b in run[0](found.toArrow().to_batches()) for r in b.to_pylist()]
+    assert sorted(given) == sorted(["one", " two", " one", ",", ".", "!"])
+    assert rows[0]["n_tokens"] == 8
+
+
 def test_marks_of_a_special_token_are_not_cut_at(spark, tmp_path, content):
     described = json.loads(content)
     described["added_tokens"] = [described["added_tokens"][0] | {"content": "<a.b,c>"}]
