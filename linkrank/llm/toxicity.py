@@ -90,6 +90,64 @@ class NgramModel:
         return self.intercept + np.bincount(text, weights=self.weights[bucket], minlength=len(texts))
 
 
+class _Packed:
+    """Whole numbers in half the room: 16 bits of each, and where the rest changes from one to the next.
+
+    It seldom does among ascending numbers, such as a row's columns.  Slices are arrays again.
+    """
+
+    def __init__(self, size: int):
+        self.low = np.empty(size, np.uint16)
+        self.starts, self.high = np.zeros(1, np.int64), np.zeros(1, np.int32)
+        self._changes: list[tuple] = []
+
+    def __len__(self) -> int:
+        return len(self.low)
+
+    def put(self, at: int, values: np.ndarray) -> None:
+        """Store ``values`` from place ``at`` on; places are filled in order and sealed once."""
+        self.low[at : at + len(values)] = values & 0xFFFF
+        high = (values >> 16).astype(np.int32)
+        firsts = np.flatnonzero(high[1:] != high[:-1]) + 1
+        firsts = np.concatenate([np.zeros(min(len(values), 1), np.int64), firsts])
+        self._changes.append((firsts + at, high[firsts]))
+
+    def seal(self) -> None:
+        if self._changes:
+            self.starts, self.high = (np.concatenate(x) for x in zip(*self._changes, strict=True))
+        self._changes = []
+
+    def __getitem__(self, part: slice) -> np.ndarray:
+        start, stop, _ = part.indices(len(self))
+        first, last = np.searchsorted(self.starts, start, side="right") - 1, np.searchsorted(self.starts, stop)
+        ends = np.append(self.starts[first + 1 : last], stop)
+        high = np.repeat(self.high[first:last] << 16, np.diff(np.concatenate([[start], ends])) if last > first else 0)
+        return high | self.low[start:stop]
+
+
+class _Renumbered:
+    """The entries of a matrix in the columns ``c`` where ``new[c]`` is not -1, numbered ``new[c]``.
+
+    They are made when whole rows of them are read.
+    """
+
+    def __init__(self, bounds, column, new):
+        self.whole, self.column, self.new = bounds, column, new
+        counts = np.zeros(len(bounds) - 1, np.int64)
+        for rows, entries in _blocks(bounds):
+            inside = np.concatenate([[0], np.cumsum(new[column[entries]] >= 0)])
+            counts[rows] = np.diff(inside[np.append(bounds[rows], entries.stop) - entries.start])
+        self.bounds = np.concatenate([[0], np.cumsum(counts)])
+
+    def __len__(self) -> int:
+        return int(self.bounds[-1])
+
+    def __getitem__(self, part: slice) -> np.ndarray:
+        first, last = np.searchsorted(self.bounds, [part.start, part.stop])
+        own = self.new[self.column[self.whole[first] : self.whole[last]]]
+        return own[own >= 0]
+
+
 def _alike(bounds, column, columns: int, blocks) -> tuple[np.ndarray, np.ndarray]:
     """(group of each column, columns of each group): columns in exactly the same rows are one group.
 
@@ -120,20 +178,18 @@ def _blocks(bounds) -> list[tuple[slice, slice]]:
     return out
 
 
-def _restricted(bounds, column, new, in_place: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """The matrix with the columns ``c`` where ``new[c]`` is not -1, numbered ``new[c]``; ``in_place``
-    it takes the room of the old one."""
-    blocks, counts = _blocks(bounds), np.zeros(len(bounds) - 1, np.int64)
-    size = 0 if in_place else sum(int(np.count_nonzero(new[column[entries]] >= 0)) for _, entries in blocks)
-    out, at = column if in_place else np.empty(size, np.int32), 0
-    for rows, entries in blocks:
+def _restricted(bounds, column, new, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The matrix with the columns ``c`` where ``new[c]`` is not -1, numbered ``new[c]``, of ``size`` entries."""
+    counts = np.zeros(len(bounds) - 1, np.int64)
+    out, at = np.empty(size, np.uint16 if new.max(initial=0) < 1 << 16 else np.int32), 0
+    for rows, entries in _blocks(bounds):
         own = new[column[entries]]
         inside = np.concatenate([[0], np.cumsum(own >= 0)])
         counts[rows] = np.diff(inside[np.append(bounds[rows], entries.stop) - entries.start])
         own = own[own >= 0]
         out[at : at + len(own)] = own
         at += len(own)
-    return np.concatenate([[0], np.cumsum(counts)]), out[:at]
+    return np.concatenate([[0], np.cumsum(counts)]), out
 
 
 class _Logistic:
@@ -203,7 +259,7 @@ def _train(bounds, column, value, y, weight, rounds: int = ROUNDS) -> tuple[floa
     of its members with equal parts of the weight.  Each round looks at the gradient of all columns
     and solves for those that matter: the ones with a weight and the ones that break the optimum most.
     It ends when no column of all breaks it by more than TOLERANCE of the first gradient.  ``column``
-    is overwritten.
+    is an array or ``_Packed``; it is held once, and read in blocks.
     """
     share = weight / weight.sum()
     group, members = _alike(bounds, column, len(value), _blocks(bounds))
@@ -211,10 +267,12 @@ def _train(bounds, column, value, y, weight, rounds: int = ROUNDS) -> tuple[floa
     leader[group[::-1]] = np.arange(len(value))[::-1]
     new = np.full(len(value), -1, np.int32)
     new[leader] = np.arange(len(members))
-    bounds, column = _restricted(bounds, column, new, in_place=True)
+    column = _Renumbered(bounds, column, new)
+    bounds = column.bounds
     value, ridge = value[leader], RIDGE / members
     whole = _Logistic(bounds, column, value, ridge, y, share)
-    w, tolerance, part = np.zeros(len(value) + 1), None, None
+    entries = whole.backward(np.ones(len(y)), np.ones(len(value)))[1:]
+    w, tolerance = np.zeros(len(value) + 1), None
     for _ in range(rounds):
         gradient = whole.gradient(whole.forward(w), w)
         broken = np.where(w[1:] != 0, np.abs(gradient[1:] + LASSO * np.sign(w[1:])), np.maximum(np.abs(gradient[1:]) - LASSO, 0))
@@ -229,9 +287,9 @@ def _train(bounds, column, value, y, weight, rounds: int = ROUNDS) -> tuple[floa
         chosen |= w[1:] != 0
         number = np.full(len(gain), -1, np.int32)
         number[chosen] = np.arange(np.count_nonzero(chosen))
-        part = None  # the last round's goes before the next one is made
-        part = _Logistic(*_restricted(bounds, column, number), value[chosen], ridge[chosen], y, share)
+        part = _Logistic(*_restricted(bounds, column, number, int(entries[chosen].sum())), value[chosen], ridge[chosen], y, share)
         own = part.solve(np.concatenate([w[:1], w[1:][chosen]]), max(tolerance, worst / 10), STEPS)
+        del part  # before all columns are looked at again
         w = np.zeros(len(value) + 1)
         w[0], w[1:][chosen] = own[0], own[1:]
     return float(w[0]), (w[1:] / members)[group]
@@ -265,9 +323,13 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> NgramModel
     counted = sample.select("label", "text").mapInArrow(count, "bucket long, other long, toxic long")
     counted = counted.groupBy("bucket").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
     ratio = F.log(((F.col("toxic") + 1) / (totals[1] + 2)) / ((F.col("other") + 1) / (totals[0] + 2)))
-    found = counted.select("bucket", ratio.alias("ratio")).toPandas()  # at most BUCKETS rows
-    ratios = np.zeros(BUCKETS)
-    ratios[found["bucket"].to_numpy(dtype=np.int64)] = found["ratio"].to_numpy()
+    found = counted.select("bucket", ratio.alias("ratio")).toArrow()  # at most BUCKETS rows
+    known, ratios = found.column("bucket").to_numpy(), np.zeros(BUCKETS)
+    ratios[known] = found.column("ratio").to_numpy()
+    del found
+    known = np.sort(known)
+    place = np.zeros(BUCKETS, np.int32)
+    place[known] = np.arange(len(known))
 
     def features(batches):
         for batch in batches:
@@ -285,24 +347,20 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> NgramModel
         .mapInArrow(features, "doc_id long, label int, weight double, buckets binary"),
         "features",
     )
-    # At most SAMPLE rows of each label, of BUCKETS numbers each, in one array of counted size; they
-    # come in order of id, one of FETCHES parts at a time.
+    # At most SAMPLE rows of each label, of BUCKETS numbers each, in one array of counted size and 16
+    # bits a number; they come in order of id, one of FETCHES parts at a time.
     entries = rows.agg(F.sum(F.length("buckets"))).first()[0] // 4
-    column, ends, y, weight = np.empty(entries, np.int32), [0], [], []
+    column, ends, y, weight = _Packed(entries), [0], [], []
     parts = rows.repartitionByRange(FETCHES, "doc_id").sortWithinPartitions("doc_id")
     for r in parts.toLocalIterator():
         own = np.frombuffer(r["buckets"], "<i4")
-        column[ends[-1] : ends[-1] + len(own)] = own
+        column.put(ends[-1], place[own])
         ends.append(ends[-1] + len(own))
         y.append(r["label"])
         weight.append(r["weight"])
     bounds, y, weight = np.array(ends), np.array(y, float), np.array(weight)
-    known = np.sort(found["bucket"].to_numpy(dtype=np.int64))
-    place = np.zeros(BUCKETS, np.int32)
-    place[known] = np.arange(len(known))
-    for start in range(0, len(column), BLOCK):
-        column[start : start + BLOCK] = place[column[start : start + BLOCK]]
-    del found
+    column.seal()
+    del place
     give_back()
     intercept, w = _train(bounds, column, ratios[known], y, weight)
     del column

@@ -153,3 +153,33 @@ def test_columns_in_the_same_rows_are_one_group():
     bounds, column = np.concatenate([[0], np.cumsum(dense.sum(axis=1))]), np.nonzero(dense)[1].astype(np.int32)
     group, members = toxicity._alike(bounds, column, 5, toxicity._blocks(bounds))
     assert group[0] == group[1] == group[4] and len(set(group.tolist())) == 3 and sorted(members.tolist()) == [1, 1, 3]
+
+
+def test_packed_columns_take_half_the_room_and_train_alike():
+    """Before, the driver held 32 bits for each n-gram of the sample, and a round's part of them as well."""
+    draw = np.random.default_rng(5)
+    n, k, own = 300, 150_000, 4_000
+    rows = [np.unique(draw.integers(0, k, own) // draw.integers(1, 300, own)).astype(np.int32) for _ in range(n)]
+    rows[7] = rows[7][:0]
+    bounds, column = np.concatenate([[0], np.cumsum([len(r) for r in rows])]), np.concatenate(rows)
+    packed = toxicity._Packed(len(column))
+    for at, row in zip(bounds, rows, strict=False):
+        packed.put(at, row)
+    packed.seal()
+    assert packed.low.nbytes + packed.starts.nbytes + packed.high.nbytes < 2.1 * len(column)
+    for start, stop in [(0, 0), (0, 1), (9, 9), (bounds[7], bounds[8]), (5, len(column)), *draw.integers(0, len(column), (50, 2))]:
+        assert np.array_equal(packed[start:stop], column[start:stop])
+    value, y, weight = draw.normal(0, 1, k), (draw.random(n) < 0.3).astype(float), draw.uniform(1, 2, n)
+    plain, other = (toxicity._train(bounds, c, value, y, weight) for c in (column, packed))
+    assert plain[0] == other[0] and np.array_equal(plain[1], other[1]) and np.count_nonzero(plain[1])
+    new = np.where(np.arange(k) % 3, -1, np.arange(k) // 3).astype(np.int32)
+    kept = new[column][new[column] >= 0]
+    assert np.array_equal(toxicity._restricted(bounds, packed, new, len(kept))[1], kept)
+    assert toxicity._restricted(bounds, packed, new, len(kept))[1].dtype == np.uint16
+
+
+def test_empty_packed_columns():
+    packed = toxicity._Packed(0)
+    packed.put(0, np.zeros(0, np.int32))
+    packed.seal()
+    assert len(packed) == 0 and len(packed[0:0]) == 0
