@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,15 @@ _DOCS = pa.schema(
 )
 
 
+#: After a token's number: another token of its side and group, the other side, another group.
+_SIGNS = ",|;"
+
+
+def _content(table: pa.Array, ids: np.ndarray) -> bytes:
+    """The bytes of tokens, one after the other."""
+    return buffers(table.take(pa.array(ids)))[1].tobytes()
+
+
 class Aligner:
     """Aligns chunks that begin with a blank."""
 
@@ -79,13 +89,20 @@ class Aligner:
         for i, data in self.a_bytes.items():
             self.a_sizes[i] = len(data)
         self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
+        self.a_table = pa.array([self.a_bytes.get(i, b"") for i in range(len(self.a_sizes))], pa.binary())
+        self.b_table = pa.array(self.b_bytes, pa.binary())
+        numbers = range(max(len(self.a_sizes), len(self.b_sizes)))
+        self.texts = pa.array([f"{i}{sign}" for i in numbers for sign in _SIGNS], pa.string())
         if len(self.b_bytes) > 1 << 15 or max(self.a_bytes) >= 1 << 16:
             raise ValueError("a pair of ids does not fit in 31 bits")
         self.remembered = chunks.Remembered(self.align, REMEMBERED)
 
     def align(self, parts: list[str]) -> list[tuple]:
-        """(tokens of A, of B, groups, links, text of the groups, pairs, how often) of each chunk;
-        the first is -1 where the tokens do not give the chunk."""
+        """(facts, text of the groups, pairs, how often) of each chunk: facts are the numbers of tokens of A,
+        of B, of groups and of links, the first -1 where the tokens do not give the chunk.
+
+        Facts, pairs and numbers are 64-bit integers as bytes, which take less room than lists.
+        """
         out: list = [None] * len(parts)
         plain = [i for i, p in enumerate(parts) if "!" <= p[-1] <= "~"]
         for start in range(0, len(plain), JOINED):
@@ -106,31 +123,54 @@ class Aligner:
         each library takes them as one text.  None for all if the tokens do not give it."""
         text = "".join(parts)
         data = text.encode()
-        a, b = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.b.encode(text[1:])
-        if b"".join([self.a_bytes[i] for i in a]) != data or b"".join([self.b_bytes[i] for i in b]) != data:
+        a = np.array(self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+        b = np.array(self.b.encode(text[1:]), np.int64)
+        if _content(self.a_table, a) != data or _content(self.b_table, b) != data:
             return [None] * len(parts)
         sizes_a, sizes_b = self.a_sizes[a], self.b_sizes[b]
-        bounds = np.cumsum([len(p.encode()) for p in parts])
-        ends_a, ends_b = np.cumsum(sizes_a), np.cumsum(sizes_b)
+        lengths = list(map(len, parts)) if len(data) == len(text) else [len(p.encode()) for p in parts]
+        bounds, ends_a, ends_b = np.cumsum(lengths), np.cumsum(sizes_a), np.cumsum(sizes_b)
         cut_a, cut_b = np.searchsorted(ends_a, bounds), np.searchsorted(ends_b, bounds)
-        if not (np.array_equal(ends_a[cut_a], bounds) and np.array_equal(ends_b[cut_b], bounds)):
+        if not (sizes_a.all() and sizes_b.all() and np.array_equal(ends_a[cut_a], bounds) and np.array_equal(ends_b[cut_b], bounds)):
             return [None] * len(parts)
-        sizes_a, sizes_b = sizes_a.tolist(), sizes_b.tolist()
-        out, i, j = [], 0, 0
-        for to_i, to_j in zip((cut_a + 1).tolist(), (cut_b + 1).tolist(), strict=True):
-            out.append(self._groups(a[i:to_i], sizes_a[i:to_i], b[j:to_j], sizes_b[j:to_j]))
-            i, j = to_i, to_j
-        return out
+        return self._all_groups(a, ends_a, b, ends_b, bounds)
+
+    def _all_groups(self, a, ends_a, b, ends_b, bounds) -> list[tuple]:
+        """``_groups`` of chunks that end at ``bounds``, where tokens of both end, all at once."""
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
+        first_a, first_b = (np.searchsorted(g, np.arange(len(common) + 1)) for g in (group_a, group_b))
+        own_a, own_b = np.diff(first_a), np.diff(first_b)
+        cut = np.concatenate([[0], np.searchsorted(common, bounds) + 1])  # first group of each chunk, and the total
+        chunk = segments(cut)  # of each group
+        # The groups as text: a token's number and the sign after it, tokens of A before those of B in a group.
+        sign_a, sign_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        sign_a[first_a[1:] - 1], sign_b[first_b[1:] - 1] = 1, 2
+        tokens = np.empty(len(a) + len(b), np.int64)
+        tokens[np.arange(len(a)) + first_b[group_a]] = a * len(_SIGNS) + sign_a
+        tokens[np.arange(len(b)) + first_a[group_b + 1]] = b * len(_SIGNS) + sign_b
+        offsets, letters = buffers(self.texts.take(pa.array(tokens)))
+        letters, at = letters.tobytes(), offsets[(first_a + first_b)[cut]].tolist()
+        # All links, then those of a chunk that are the same pair as one.
+        wide = own_b[group_a]
+        pair = np.repeat(a << 15, wide) | b[flat_ranges(first_b[group_a], wide)]
+        key, times = np.unique(np.repeat(chunk[group_a] << 31, wide) | pair, return_counts=True)
+        held = (np.searchsorted(key >> 31, np.arange(len(bounds) + 1)) * 8).tolist()
+        pair, times = (key & 0x7FFFFFFF).tobytes(), times.astype(np.int64).tobytes()
+        links = np.concatenate([[0], np.cumsum(own_a * own_b)])[cut]
+        facts = np.diff(np.stack([first_a[cut], first_b[cut], cut, links], axis=1), axis=0).tobytes()
+        return [
+            (facts[n : n + 32], letters[i : j - 1], pair[k:m], times[k:m])
+            for n, i, j, k, m in zip(range(0, len(facts), 32), at[:-1], at[1:], held[:-1], held[1:], strict=True)
+        ]
 
     def _checked(self, data: bytes, a: list[int], b: list[int]) -> tuple:
         first, second = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
         if b"".join(first) != data or b"".join(second) != data:
-            return (-1, 0, 0, 0, b"", (), ())
+            return array("q", (-1, 0, 0, 0)).tobytes(), b"", b"", b""
         return self._groups(a, [len(x) for x in first], b, [len(x) for x in second])
 
     def _groups(self, a: list[int], sizes_a: list[int], b: list[int], sizes_b: list[int]) -> tuple:
-        if len(a) == 1 and len(b) == 1:
-            return 1, 1, 1, 1, b"%d|%d" % (a[0], b[0]), (a[0] << 15 | b[0],), (1,)
         groups, found, links = [], {}, 0
         i = j = from_i = from_j = ahead = 0  # bytes that A is ahead of B
         while i < len(a) or j < len(b):
@@ -157,7 +197,8 @@ class Aligner:
                         key = x << 15 | y
                         found[key] = found.get(key, 0) + 1
             from_i, from_j = i, j
-        return len(a), len(b), len(groups), links, ";".join(groups).encode(), tuple(found), tuple(found.values())
+        facts = array("q", (len(a), len(b), len(groups), links))
+        return facts.tobytes(), ";".join(groups).encode(), array("q", found).tobytes(), array("q", found.values()).tobytes()
 
 
 _aligners: dict[tuple, Aligner] = {}
@@ -195,20 +236,20 @@ def align_slab(texts: pa.Array, aligner: Aligner):
     blank = pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     distinct, codes, starts = cut(strings(pc.binary_join_element_wise(pa.scalar(" "), texts, "")))
     found = aligner.remembered(distinct)
-    facts = np.array([x[:4] for x in found] or [(0, 0, 0, 0)], np.int64)
+    facts, fragments, pair, times = zip(*found, strict=True) if found else ((), (), (), ())
+    lengths = np.array([len(x) for x in pair], np.int64) // 8
+    facts, pair, times = (np.frombuffer(b"".join(x), np.int64) for x in (facts, pair, times))
+    facts = facts.reshape(-1, 4)
     wrong = blank.copy()
     doc = segments(starts)
     wrong[doc[facts[codes, 0] < 0]] = True
     sums = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(facts[codes], axis=0)])[starts]
     totals = np.where(wrong[:, None], 0, np.diff(sums, axis=0))
-    fragments, listed, bounds = [x[4] for x in found], codes.tolist(), starts.tolist()
+    listed, bounds = codes.tolist(), starts.tolist()
     digests = [
         "" if bad else hashlib.sha256(b";".join([fragments[c] for c in listed[i:j]])).hexdigest()
         for bad, i, j in zip(wrong.tolist(), bounds[:-1], bounds[1:], strict=True)
     ]
-    lengths = np.array([len(x[5]) for x in found] or [0], np.int64)
-    pair = np.array([p for x in found for p in x[5]], np.int64)
-    times = np.array([m for x in found for m in x[6]], np.int64)
     right = ~wrong[doc]
     held, uses = np.unique(doc[right] * max(len(distinct), 1) + codes[right], return_counts=True)
     doc, code = held // max(len(distinct), 1), held % max(len(distinct), 1)
@@ -377,7 +418,8 @@ def scores(posted: DataFrame, counts: DataFrame) -> DataFrame:
         if open_slab is not None:
             yield open_slab.rows()
 
-    linked = posted.filter(F.col("a") != DOCUMENTS).join(counts.drop("links"), ["a", "b"])
+    # Small counts would be broadcast; shuffled at every size, disk grows as the postings do.
+    linked = posted.filter(F.col("a") != DOCUMENTS).join(counts.drop("links").hint("merge"), ["a", "b"])
     columns = ["slab", "a", "plane", "dense", "bits", "documents", "best"]
     held = posted.filter(F.col("a") == DOCUMENTS).withColumns({"documents": F.lit(0).cast("long"), "best": F.lit(False)})
     by_slab = linked.select(columns).unionByName(held.select(columns)).repartition("slab").sortWithinPartitions("slab", "a")

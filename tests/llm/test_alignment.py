@@ -3,6 +3,8 @@
 import bisect
 import hashlib
 import itertools
+import random
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -122,3 +124,31 @@ def test_chunks_are_cut_where_no_token_crosses(libraries):
     assert "".join(parts) == text and len(parts) > 5
     assert [x for p in parts for x in a.encode(p, add_special_tokens=False).ids] == a.encode(text, add_special_tokens=False).ids
     assert [x for p in parts for x in b.encode(p[1:])] == b.encode(text[1:])
+
+
+def test_joined_chunks_are_grouped_as_each_alone():
+    aligner = alignment.worker_aligner(*(open(p, "rb").read() for p in (tokenizer_path(), pieces_path())))
+    draw = random.Random(3)
+    letters = "aaeeiorstnlcdm.,-'#0123ABéüжд中🙂"
+    parts = list({" " + "".join(draw.choices(letters, k=draw.randint(0, 9))) + draw.choice("aeios.,)~!0") for _ in range(3000)})
+    parts += [" reading", " a", " abababababab", " $$$$,,,,::::x", " " + "naïveté" * 30 + "s"]
+    joined = aligner._joined(parts)
+    assert all(x is not None for x in joined)
+    for part, found in zip(parts, joined, strict=True):
+        own = aligner._checked(part.encode(), aligner.a.encode(part, add_special_tokens=False).ids, aligner.b.encode(part[1:]))
+        assert found[:2] == own[:2], part
+        pairs = [dict(zip(array("q", x[2]), array("q", x[3]), strict=True)) for x in (found, own)]
+        assert pairs[0] == pairs[1], part
+    assert aligner._joined([*parts, " a▁b"]) == [None] * (len(parts) + 1)  # B does not give U+2581 back
+    facts = [tuple(array("q", x[0])) for x in aligner.align([*parts, " a▁b"])]
+    assert facts[-1][0] == -1 and min(x[0] for x in facts[:-1]) > 0
+
+
+def test_small_counts_are_not_broadcast(spark):
+    """Before, postings were shuffled by pair only where the counts were too large to be broadcast."""
+    docs = spark.createDataFrame([(i, f"some words {i} of a text") for i in range(50)], "doc_id long, text string")
+    posted = alignment.posting_table(docs, tokenizer_path(), pieces_path())
+    found = alignment.scores(posted, alignment.pair_counts(posted))
+    assert found.count() == 50
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
