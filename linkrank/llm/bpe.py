@@ -29,7 +29,9 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Texts whose ids are lists at one time, before they become arrays.
 JOINED = 5_000
 #: Bytes of text that are encoded and decoded at once where both are done.
-CHECKED_BYTES = 2 << 20
+CHECKED_BYTES = 1 << 20
+#: Parts of texts that a worker remembers in a stage between others, beside whose memory they count.
+REMEMBERED = 50_000
 
 #: An entry of the queue is rank << _SHIFT | place.
 _SHIFT = 40
@@ -47,7 +49,7 @@ def byte_characters() -> list[str]:
 class Bpe:
     """An encoder from the text of a tokenizer file; see the module."""
 
-    def __init__(self, tokenizer_json: str):
+    def __init__(self, tokenizer_json: str, remembered: int = chunks.REMEMBERED):
         described = json.loads(tokenizer_json)
         vocabulary, merges = described["model"]["vocab"], described["model"]["merges"]
         self.special = {t["content"]: t["id"] for t in described["added_tokens"]}
@@ -69,7 +71,7 @@ class Bpe:
             else lambda text: [text]
         )
         self.flat = None
-        self.words = chunks.Remembered(lambda parts: [self.merge(p.encode()) for p in parts])
+        self.words = chunks.Remembered(lambda parts: [tuple(self.merge(p.encode())) for p in parts], remembered)
 
     def merge(self, part: bytes) -> list[int]:
         symbols = [self.of_byte[b] for b in part]
@@ -207,22 +209,24 @@ def encode_table(
     rest = [c for c in docs.columns if c != out]
     schema = docs.select(*[f"`{c}`" for c in rest]).schema.add(out, ArrayType(IntegerType()))
 
+    def encoded(bpe, piece):
+        texts = strings(piece.column(text_col))
+        chunked, codes, starts = chunks.distinct(texts)
+        flat, lengths = bpe.encode_flat(chunked)
+        values, bounds = chunks.assemble(flat, lengths, codes, starts)
+        if check:
+            _confirm(bpe, texts, values, bounds, piece.column("doc_id"))
+        column = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values))
+        kept = [piece.column(piece.schema.get_field_index(c)) for c in rest]
+        return pa.RecordBatch.from_arrays([*kept, column], names=[*rest, out])
+
     def encode(batches):
-        bpe, _ = worker_encoder(content.value)
+        bpe = Bpe(content.value.decode(), REMEMBERED)
         for batch in batches:
             for piece in pieces(batch, text_col, CHECKED_BYTES if check else PIECE_BYTES):
-                texts = strings(piece.column(text_col))
-                chunked, codes, starts = chunks.distinct(texts)
-                flat, lengths = bpe.encode_flat(chunked)
-                values, bounds = chunks.assemble(flat, lengths, codes, starts)
-                if check:
-                    _confirm(bpe, texts, values, bounds, piece.column("doc_id"))
-                column = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values))
-                kept = [piece.column(piece.schema.get_field_index(c)) for c in rest]
-                yield pa.RecordBatch.from_arrays([*kept, column], names=[*rest, out])
+                yield encoded(bpe, piece)
         # What is remembered ends with the task: stages that follow use the same workers.
-        del bpe
-        _encoders.clear()
+        bpe = batch = piece = None
         give_back()
 
     return docs.select(*[f"`{c}`" for c in docs.columns]).mapInArrow(encode, schema)

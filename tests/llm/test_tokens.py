@@ -250,3 +250,18 @@ def test_marks_of_a_special_token_are_not_cut_at(spark, tmp_path, content):
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
     (row,) = token_files.checksums(docs, str(tmp_path / "t.json")).collect()
     assert row.n_tokens == len(expected) and row.ids_crc32 == zlib.crc32(np.array(expected, "<u4").tobytes())
+
+
+def test_the_pipeline_stage_remembers_little(spark, monkeypatch):
+    """Before, a worker kept 400,000 parts of texts, whatever stage of the pipeline it came from."""
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        small = bpe.Bpe(f.read(), 100)
+    parts = [f"word{i} of {i * 7}" for i in range(2000)]
+    ids = [small.encode(p) for p in parts]
+    assert len(small.words.young) + len(small.words.old) <= 200
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    monkeypatch.setattr(bpe, "CHECKED_BYTES", 64)
+    docs = spark.createDataFrame([*enumerate(parts), (None, None), (None, "")], "doc_id long, text string")
+    found = bpe.encode_table(docs, tokenizer_path(), check=True).collect()
+    assert sorted((r.doc_id, r.ids) for r in found if r.doc_id is not None) == list(enumerate(ids))
+    assert [r.ids for r in found if r.doc_id is None] == [[], []]
